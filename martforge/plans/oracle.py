@@ -68,8 +68,7 @@ CTES: dict[str, tuple[str, list[str]]] = {
       p.p_name || ', ' || p.p_brand AS "Product Name",
       l.l_extendedprice AS "Sales", CAST(l.l_quantity AS INTEGER) AS "Quantity",
       l.l_discount AS "Discount",
-      CAST(CAST(l.l_extendedprice AS DECIMAL(12,2))
-           * (CAST(0.25 AS DECIMAL(3,2)) - CAST(l.l_discount AS DECIMAL(4,2)) * 3) AS DOUBLE) AS "Profit"
+      l.l_extendedprice * (CAST(0.25 AS DOUBLE) - l.l_discount * CAST(3.0 AS DOUBLE)) AS "Profit"
     FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
     JOIN cg ON o.o_custkey = cg.c_custkey JOIN part p ON l.l_partkey = p.p_partkey""", ["cg"]),
     "clean": ("""SELECT * REPLACE (

@@ -8,7 +8,7 @@ rules are plain data-driven expressions (no sampling, no id filters):
 
 * Order Date is the order's date as ``M/d/yyyy`` text; low-priority pending
   orders carry no date yet (empty text -> NULL after parsing).
-* Profit is an invented margin, exact in decimal: price * (0.25 - 3 * discount).
+* Profit is an invented margin: price * (0.25 - 3 * discount), in double.
 * The customer dimension holds customers in good standing (balance >= 0),
   so the ledger has customers without a dimension row.
 * Holidays: the calendar rules below for every year that has orders.
@@ -20,7 +20,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import last_weekday, nth_weekday
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,8 +52,6 @@ def raw_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
            .join(_customer_geo(spark, sf_dir), o.o_custkey == F.col("c_custkey"))
            .join(p, li.l_partkey == p.p_partkey))
     undated = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    discount = F.col("l_discount").cast("decimal(4,2)")
     return j.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("Row ID"),
         F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string")).alias("Order ID"),
@@ -77,7 +74,7 @@ def raw_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").alias("Sales"),
         F.col("l_quantity").cast("int").alias("Quantity"),
         F.col("l_discount").alias("Discount"),
-        (price * (F.lit(0.25).cast("decimal(3,2)") - discount * 3)).cast("double").alias("Profit"),
+        (F.col("l_extendedprice") * (F.lit(0.25) - F.col("l_discount") * F.lit(3.0))).alias("Profit"),
     )
 
 
@@ -120,14 +117,14 @@ HOLIDAY_RULES = [
 ]
 
 
-def _rule_date(year: Column, rule: str, month: int, a: int, b: int) -> Column:
-    if rule == "fixed":
-        return F.make_date(year, F.lit(month), F.lit(a))
-    if rule == "nth":
-        return nth_weekday(year, month, a, b)
-    if rule == "last":
-        return last_weekday(year, month, a)
-    return F.lit(None).cast("date")
+def _rule_date(year: Column, r: Column) -> Column:
+    """Date of one rule (a struct of HOLIDAY_RULES fields) in ``year``."""
+    first = F.make_date(year, r["month"], F.lit(1))
+    last = F.last_day(first)
+    return (F.when(r["rule"] == "fixed", F.make_date(year, r["month"], r["a"]))
+            .when(r["rule"] == "nth", F.date_add(
+                first, (r["a"] - F.dayofweek(first) + 7) % 7 + (r["b"] - 1) * 7))
+            .when(r["rule"] == "last", F.date_sub(last, (F.dayofweek(last) - r["a"] + 7) % 7)))
 
 
 def holiday_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,14 +132,21 @@ def holiday_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     years = (read_table(spark, sf_dir, "orders")
              .select(F.year(F.col("o_orderdate").cast("date")).alias("year"))
              .where(F.col("year").isNotNull()).distinct())
-    y = F.col("year")
-    records = []
-    for name, ptype, rule, month, a, b, suffix in HOLIDAY_RULES:
-        day = _rule_date(y, rule, month, a, b)
-        iso = F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(suffix))
-        records.append(F.struct(F.lit(name).alias("name"), F.struct(iso.alias("iso")).alias("date"),
-                                F.lit(ptype).alias("primary_type")))
-    return years.select(y.cast("int").alias("year"), F.array(*records).alias("holidays"))
+    rules = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(t).alias("ptype"),
+                               F.lit(r).alias("rule"), F.lit(m).alias("month"),
+                               F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(x).alias("suffix"))
+                      for n, t, r, m, a, b, x in HOLIDAY_RULES])
+    entries = years.select(F.col("year").cast("int").alias("year"),
+                           F.posexplode(rules).alias("pos", "r"))
+    r = F.col("r")
+    iso = F.concat(F.date_format(_rule_date(F.col("year"), r), "yyyy-MM-dd"), r["suffix"])
+    record = F.struct(r["name"].alias("name"), F.struct(iso.alias("iso")).alias("date"),
+                      r["ptype"].alias("primary_type"))
+    # re-assembled by an aggregate (one group per year, bounded by the rule
+    # list), so later explodes of the document are never pushed below it
+    return entries.groupBy("year").agg(F.transform(
+        F.array_sort(F.collect_list(F.struct(F.col("pos"), record.alias("h")))),
+        lambda e: e["h"]).alias("holidays"))
 
 
 def _weather_metrics(day: Column, region_key: Column) -> dict[str, Column]:
