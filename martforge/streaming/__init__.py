@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference is a batch program; it has no stream sources, sinks,
+watermarks or stateful operators, so no streaming operator is built here.
+Every operator in this package is a pure DataFrame -> DataFrame function,
+so a user can still apply the row-level ones (cleaning, joins to the
+broadcast day tables, flags) inside ``foreachBatch`` of their own stream.
+"""
