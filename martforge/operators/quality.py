@@ -2,8 +2,9 @@
 
 A rule list is evaluated per dataset with ONE ``agg`` (a row count plus one
 ``count_if`` per value rule); schema rules (columns, types) read metadata
-only.  Sample failing values are fetched with one bounded top-k branch per
-value rule (each partition keeps its first 10, never the whole set).
+only.  Sample failing values are fetched only for rules that failed, with
+one bounded top-k branch each (each partition keeps its first 10, never
+the whole set).
 """
 
 from __future__ import annotations
@@ -148,59 +149,58 @@ def _static(df: DataFrame, rule: Rule) -> tuple[bool, str | None, str | None]:
 
 def validate(df: DataFrame, rules: list[Rule], dataset: str,
              sample_order: list[str] | None = None, samples: bool = True) -> DataFrame:
-    """One result row per rule (schema ``RESULT_SCHEMA``)."""
-    count_cols, structs, sample_specs = [F.count(F.lit(1)).alias("__n")], [], []
-    n = F.col("__n")
+    """One result row per rule (schema ``RESULT_SCHEMA``).
+
+    The counts come from ONE aggregate action over ``df`` (a single row of
+    ``#rules`` numbers reaches the driver, never data rows).  Failing-value
+    samples are then planned only for the value rules that failed, each as
+    a bounded top-k branch.
+    """
+    count_cols = [F.count(F.lit(1)).alias("__n")]
+    plans = []
     for i, rule in enumerate(rules):
         ok, observed, error = _static(df, rule)
-        base = [F.lit(dataset).alias("dataset"), F.lit(i).alias("rule_id"),
-                F.lit(rule.expectation_type).alias("expectation_type"),
-                F.lit(rule.column).cast("string").alias("column"),
-                F.create_map(*[F.lit(x) for kv in rule.kwargs.items() for x in kv])
-                .cast("map<string,string>").alias("kwargs")]
-        bad = None if (error or rule.kind in ("columns", "exists", "type", "row_count")) else _bad(df, rule)
+        schema_only = error or rule.kind in ("columns", "exists", "type", "row_count")
+        bad = None if schema_only else _bad(df, rule)
         if bad is not None:
             count_cols.append(F.count_if(bad[0]).alias(f"__u{i}"))
-            u = F.col(f"__u{i}")
-            pct = F.when(n > 0, F.round(u * 100.0 / n, 2)).otherwise(F.lit(0.0))
-            vals = (F.array().cast("array<string>") if rule.kind == "not_null"
-                    else F.lit(None).cast("array<string>"))
-            structs.append(F.struct(*base, (u == 0).alias("success"), n.alias("element_count"),
-                                    u.cast("long").alias("unexpected_count"),
-                                    pct.alias("unexpected_percent"), vals.alias("unexpected_values"),
-                                    F.lit(None).cast("string").alias("observed"),
-                                    F.lit(None).cast("string").alias("error")))
-            if rule.kind != "not_null":
+        plans.append((i, rule, ok, observed, error, bad))
+    counts = df.agg(*count_cols).first()
+    n = int(counts["__n"])
+    rows, sample_specs = [], []
+    for i, rule, ok, observed, error, bad in plans:
+        head = (dataset, i, rule.expectation_type, rule.column, dict(rule.kwargs))
+        if bad is not None:
+            u = int(counts[f"__u{i}"])
+            pct = _round_half_up(u * 100.0 / n, 2) if n > 0 else 0.0
+            rows.append(head + (u == 0, n, u, pct, [] if rule.kind == "not_null" else None, None, None))
+            if u > 0 and rule.kind != "not_null":
                 sample_specs.append((i, bad))
         elif rule.kind == "row_count" and not error:
             lo, hi = rule.params
-            structs.append(F.struct(*base, n.between(lo, hi).alias("success"),
-                                    n.alias("element_count"),
-                                    F.lit(None).cast("long").alias("unexpected_count"),
-                                    F.lit(None).cast("double").alias("unexpected_percent"),
-                                    F.lit(None).cast("array<string>").alias("unexpected_values"),
-                                    n.cast("string").alias("observed"),
-                                    F.lit(None).cast("string").alias("error")))
+            rows.append(head + (lo <= n <= hi, n, None, None, None, str(n), None))
         else:
-            structs.append(F.struct(*base, F.lit(ok).alias("success"),
-                                    F.lit(None).cast("long").alias("element_count"),
-                                    F.lit(None).cast("long").alias("unexpected_count"),
-                                    F.lit(None).cast("double").alias("unexpected_percent"),
-                                    F.lit(None).cast("array<string>").alias("unexpected_values"),
-                                    F.lit(observed).cast("string").alias("observed"),
-                                    F.lit(error).cast("string").alias("error")))
-    rows = df.agg(*count_cols).select(F.inline(F.array(*structs)))
-    if not (samples and sample_specs):
-        return rows
-    found = sample_values(df, sample_specs, sample_order)
-    out = rows.join(found, on="rule_id", how="left")
+            rows.append(head + (ok, None, None, None, None, observed, error))
+    result = df.sparkSession.createDataFrame(rows, RESULT_SCHEMA)
+    value_rules = [i for i, rule, *_rest, bad in plans if bad is not None and rule.kind != "not_null"]
+    if not samples or not value_rules:
+        return result
+    found = sample_values(df, sample_specs, sample_order, all_ids=value_rules)
+    out = result.join(F.broadcast(found), on="rule_id", how="left")
     return out.select(*[F.coalesce(F.col("__samples"), F.col("unexpected_values"))
                         .alias("unexpected_values") if f.name == "unexpected_values"
                         else F.col(f.name) for f in RESULT_SCHEMA.fields])
 
 
+def _round_half_up(x: float, digits: int) -> float:
+    """Spark's ``round`` on a double: half-up on its shortest decimal text."""
+    from decimal import ROUND_HALF_UP, Decimal
+    return float(Decimal(repr(x)).quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
+
+
 def sample_values(df: DataFrame, specs: list[tuple[int, tuple[Column, Column]]],
-                  order: list[str] | None = None, k: int = SAMPLE_SIZE) -> DataFrame:
+                  order: list[str] | None = None, k: int = SAMPLE_SIZE,
+                  all_ids: list[int] | None = None) -> DataFrame:
     """(rule_id, __samples) for value rules: up to ``k`` failing values each
     (all rules listed get a row; no failure gives an empty array).
 
@@ -208,6 +208,10 @@ def sample_values(df: DataFrame, specs: list[tuple[int, tuple[Column, Column]]],
     so every partition forwards at most ``k`` rows.
     """
     order = order or []
+    ids = df.sparkSession.createDataFrame(
+        [(i,) for i in (all_ids if all_ids is not None else [i for i, _ in specs])], "rule_id int")
+    if not specs:
+        return ids.select("rule_id", F.array().cast("array<string>").alias("__samples"))
     branches = []
     for i, (pred, shown) in specs:
         keys = [F.col(f"`{c}`") for c in order] + [shown]
@@ -223,7 +227,6 @@ def sample_values(df: DataFrame, specs: list[tuple[int, tuple[Column, Column]]],
     got = allrows.groupBy("rule_id").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("__o", "__v"))), lambda x: x["__v"])
         .alias("__samples"))
-    ids = df.sparkSession.createDataFrame([(i,) for i, _ in specs], "rule_id int")
     return ids.join(got, "rule_id", "left").select(
         "rule_id", F.coalesce("__samples", F.array().cast("array<string>")).alias("__samples"))
 

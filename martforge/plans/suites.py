@@ -68,17 +68,29 @@ def final_rules(first_year=FIRST_YEAR, last_year=LAST_YEAR):
     ]
 
 
+def _error_row(dataset: str, exc: Exception) -> DataFrame:
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    row = (dataset, -1, "suite_error", None, {}, False, None, None, None, None, None,
+           f"{type(exc).__name__}: {exc}"[:1000])
+    return spark.createDataFrame([row], Q.RESULT_SCHEMA)
+
+
 def run_suites(datasets: dict[str, tuple[Callable[[], DataFrame | None], list, list[str] | None]]
                ) -> DataFrame | None:
     """Validate every dataset that is present; absent ones (loader returns
-    None) are skipped.  Returns the union of result rows, or None if no
-    dataset ran."""
+    None) are skipped, and a dataset whose load or validation raises is
+    recorded as one failed ``suite_error`` row.  Returns the union of result
+    rows, or None if no dataset ran."""
     results = []
     for name, (load, rules, order) in datasets.items():
-        df = load()
-        if df is None:
-            continue
-        results.append(Q.validate(df, rules, name, sample_order=order))
+        try:
+            df = load()
+            if df is None:
+                continue
+            results.append(Q.validate(df, rules, name, sample_order=order))
+        except Exception as exc:  # noqa: BLE001 - a failing dataset becomes a failed row
+            results.append(_error_row(name, exc))
     if not results:
         return None
     out = results[0]

@@ -22,8 +22,17 @@ from pyspark.sql import functions as F
 
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet table; its schema is read from the footer once per process and
+    then passed explicitly (no footer-reading job on every plan)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+    _SCHEMAS.setdefault(path, df.schema)
+    return df
 
 
 def _customer_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,7 +46,9 @@ def _customer_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _text_date(c: Column) -> Column:
-    return F.date_format(c.cast("date"), "M/d/yyyy")
+    """``M/d/yyyy`` text (what the CSV extract holds), built from date parts."""
+    d = c.cast("date")
+    return F.concat_ws("/", F.month(d), F.dayofmonth(d), F.year(d))
 
 
 def raw_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -111,3 +111,18 @@ def test_jdbc_roundtrip_in_process_derby(spark):
     q = jdbc.read_jdbc(spark, url, query='SELECT "k", "v" FROM T_DIM WHERE "k" < 5',
                        driver="org.apache.derby.jdbc.EmbeddedDriver")
     assert q.count() == 5
+
+
+def test_run_suites_skips_absent_and_records_errors(spark):
+    from martforge.plans.suites import run_suites
+    df = spark.createDataFrame(ROWS, SCHEMA)
+
+    def boom():
+        raise RuntimeError("unreadable")
+
+    out = run_suites({"present": (lambda: df, [Q.column_exists("id")], None),
+                      "absent": (lambda: None, [Q.column_exists("id")], None),
+                      "broken": (boom, [Q.column_exists("id")], None)})
+    got = sorted((r.dataset, r.success, r.error) for r in out.collect())
+    assert got == [("broken", False, "RuntimeError: unreadable"), ("present", True, None)]
+    assert run_suites({"absent": (lambda: None, [], None)}) is None
