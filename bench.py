@@ -58,7 +58,7 @@ def main():
 
     def publish():
         path = work_path(spark, "wide-published")
-        write_table(catalog.wide(spark, sf), path, partition_by=["year", "month"])
+        write_table(catalog.wide(spark, sf), path, partition_by=["year", "month"], cluster_by=["Row ID"])
         paths.append(path)
 
     times["wide_publish"] = statistics.median(timed(publish) for _ in range(repeat))

@@ -74,7 +74,7 @@ def day_features(daily: DataFrame, holidays: DataFrame, date_col: str = "Order D
         _rolling_avg(F.col("__total"), order.rangeBetween(-6, 0)).alias("rolling_sales_7d"),
         _rolling_avg(F.col("__total"), order.rangeBetween(-29, 0)).alias("rolling_sales_30d"),
     ).where(F.col("__total").isNotNull())
-    tg = F.broadcast(thanksgiving_by_year(holidays))  # at most one row per year
+    tg = thanksgiving_by_year(holidays)  # at most one row per year; planner picks the join
     joined = feats.join(tg, F.year(feats["__day"]) == tg["year"], "left")
     season = F.when(F.col("__day").between(
         F.col("thanksgiving_date"), F.make_date(F.col("year"), F.lit(12), F.lit(25))), 1).otherwise(0)

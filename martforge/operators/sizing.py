@@ -18,7 +18,8 @@ def materialize(df: DataFrame, name: str = "table") -> tuple[DataFrame, int]:
     obs = Observation(f"rows_{name}")
     path = work_path(df.sparkSession, name)
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return df.sparkSession.read.parquet(path), int(obs.get["rows"])
+    # the schema is known: read back without a footer-inference job
+    return df.sparkSession.read.schema(df.schema).parquet(path), int(obs.get["rows"])
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int, name: str = "small") -> DataFrame:

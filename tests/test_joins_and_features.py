@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import types as T
 
 from martforge.operators.days import daily_sales, thanksgiving_by_year
 from martforge.operators.features import engineer_features

@@ -126,3 +126,14 @@ def test_run_suites_skips_absent_and_records_errors(spark):
     got = sorted((r.dataset, r.success, r.error) for r in out.collect())
     assert got == [("broken", False, "RuntimeError: unreadable"), ("present", True, None)]
     assert run_suites({"absent": (lambda: None, [], None)}) is None
+
+
+def test_write_table_partitioned_and_clustered(spark):
+    df = spark.range(0, 1000).select((F.col("id") % 3).alias("year"), (F.col("id") % 2).alias("month"),
+                                    F.col("id").alias("row_id"))
+    path = work_path(spark, "test-publish")
+    files.write_table(df, path, partition_by=["year", "month"], cluster_by=["row_id"])
+    back = spark.read.parquet(path)
+    assert back.count() == 1000 and back.where("year = 2 AND month = 1").count() == df.where("year = 2 AND month = 1").count()
+    files.write_table(df.where("year = 0"), path, partition_by=["year", "month"])
+    assert spark.read.parquet(path).count() == 1000  # dynamic overwrite keeps other partitions
