@@ -52,17 +52,20 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                fmt: str = "parquet", cluster_by: list[str] | None = None) -> None:
+                fmt: str = "parquet", cluster_by: list[str] | None = None,
+                files_per_partition: int = 16) -> None:
     """Publish a table: dynamic partition overwrite replaces only the
     partitions present in ``df`` (the staged-publish of the reference).
 
-    With ``cluster_by`` the rows are first range-partitioned on
-    (partition columns, cluster columns): each task then writes a contiguous
-    slice, so files per partition stay few, and a hot partition value is
-    still split over many tasks by the cluster columns (one extra shuffle).
+    With ``cluster_by`` the rows are hash-partitioned on (partition columns,
+    hash(cluster columns) mod ``files_per_partition``) before writing: every
+    partition value is written by at most ``files_per_partition`` tasks (few
+    files), and a hot partition value is still spread over that many tasks.
+    One shuffle, no sampling pass over the input.
     """
     if partition_by and cluster_by:
-        df = df.repartitionByRange(*[F.col(f"`{c}`") for c in partition_by + cluster_by])
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cluster_by]), F.lit(files_per_partition))
+        df = df.repartition(*[F.col(f"`{c}`") for c in partition_by], salt)
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
