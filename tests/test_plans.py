@@ -33,3 +33,41 @@ def test_small_queries_run(spark):
     qs = entry.queries()
     for k in ("bi_kpis", "dq_summary", "filter_dedup_holidays", "customer_dim_upsert", "union_weather"):
         assert qs[k](spark, SF).count() >= 1, k
+
+
+def test_bounded_broadcast_checks_size(spark):
+    from martforge.operators.sizing import bounded_broadcast
+    big = spark.range(0, 1000).withColumnRenamed("id", "k")
+    small = spark.range(0, 5).withColumnRenamed("id", "k")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        within = big.join(bounded_broadcast(small, 10), "k")
+        beyond = big.join(bounded_broadcast(small, 4), "k")
+        assert "BroadcastHashJoin" in _plan(within)
+        assert "BroadcastHashJoin" not in _plan(beyond)
+        assert within.count() == beyond.count() == 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_hot_and_null_keys_stay_whole(spark):
+    from pyspark.sql import functions as F
+    from martforge.operators.dims import customer_dim_build
+    from martforge.operators.joins import join_sales_customers
+    n = 3000
+    sales = spark.range(0, n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).when(F.col("id") % 3 == 1, F.lit(None))
+        .otherwise(F.concat(F.lit("C"), F.col("id").cast("string"))).alias("Customer ID"),
+        F.col("id").alias("row"))
+    staging = sales.select(F.col("Customer ID").alias("customer_id"),
+                           F.concat(F.lit("name-"), (F.col("row") % 7).cast("string")).alias("customer_name"),
+                           F.lit("S").alias("segment"), F.lit("X").alias("country"), F.lit("c").alias("city"),
+                           F.lit("s").alias("state"), F.lit(1).alias("postal_code"), F.lit("r").alias("region"))
+    dim = customer_dim_build(staging)
+    assert dim.where("customer_id = 'HOT'").collect()[0].customer_name == "name-0"
+    assert dim.where("customer_id IS NULL").count() == 0
+    joined = join_sales_customers(sales, dim)
+    assert joined.count() == n
+    assert joined.where("`Customer ID` IS NULL AND db_customer_name IS NOT NULL").count() == 0
+    assert joined.where("`Customer ID` = 'HOT' AND db_customer_name = 'name-0'").count() == n // 3
