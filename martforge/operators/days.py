@@ -58,22 +58,22 @@ def day_features(daily: DataFrame, holidays: DataFrame, date_col: str = "Order D
     """
     days = (daily.where(F.col(date_col).isNotNull())
             .select(F.col(date_col).alias("__day"), F.col("total_daily_sales").alias("__total"),
-                    F.lit(None).cast("date").alias("__hday")))
+                    F.lit(None).cast("date").alias("__hday"), F.lit(True).alias("__is_day")))
     hdays = (holidays.select(F.col("holiday_date").alias("__day")).where(F.col("__day").isNotNull())
              .distinct()
              .select("__day", F.lit(None).cast("double").alias("__total"),
-                     F.col("__day").alias("__hday")))
+                     F.col("__day").alias("__hday"), F.lit(False).alias("__is_day")))
     cal = days.unionByName(hdays)
     order = Window.orderBy(F.unix_date("__day"))
     ahead = order.rangeBetween(0, Window.unboundedFollowing)
     behind = order.rangeBetween(Window.unboundedPreceding, 0)
     feats = cal.select(
-        "__day", "__total",
+        "__day", "__is_day",
         F.datediff(F.min("__hday").over(ahead), F.col("__day")).alias("days_until_next_holiday"),
         F.datediff(F.col("__day"), F.max("__hday").over(behind)).alias("days_since_last_holiday"),
         _rolling_avg(F.col("__total"), order.rangeBetween(-6, 0)).alias("rolling_sales_7d"),
         _rolling_avg(F.col("__total"), order.rangeBetween(-29, 0)).alias("rolling_sales_30d"),
-    ).where(F.col("__total").isNotNull())
+    ).where(F.col("__is_day"))
     tg = thanksgiving_by_year(holidays)  # at most one row per year; planner picks the join
     joined = feats.join(tg, F.year(feats["__day"]) == tg["year"], "left")
     season = F.when(F.col("__day").between(

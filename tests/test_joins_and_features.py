@@ -116,3 +116,11 @@ def test_daily_sales_and_thanksgiving(spark):
     h = spark.createDataFrame([("Thanksgiving Day", D(2014, 11, 27)), ("Thanksgiving Day", D(2015, 11, 26)),
                                ("Christmas Day", D(2014, 12, 25))], HOLIDAYS)
     assert sorted(tuple(r) for r in thanksgiving_by_year(h).collect()) == [(2014, D(2014, 11, 27)), (2015, D(2015, 11, 26))]
+
+
+def test_day_with_only_null_sales_keeps_proximity(spark):
+    rows = [(None, D(2014, 11, 20), None, 1.0), (None, D(2014, 11, 21), 10.0, 1.0)]
+    out = {r["Order Date"]: r for r in _features(spark, rows, [("Thanksgiving Day", D(2014, 11, 27))]).collect()}
+    a = out[D(2014, 11, 20)]
+    assert (a.days_until_next_holiday, a.rolling_sales_7d) == (7, None)
+    assert out[D(2014, 11, 21)].rolling_sales_7d == 10.0
