@@ -55,15 +55,27 @@ def top_products(w: DataFrame, n: int = 10) -> DataFrame:
 
 def top_customers(w: DataFrame, n: int = 10) -> DataFrame:
     """Customers in the top ``n`` by AVG(profit); per customer the order
-    lines, SUM(profit) and SUM(sales) (semi join on the bounded top set)."""
-    top = F.broadcast(top_n(w, "customer_name", "profit", "avg", n, "avg_profit")
-                      .select("customer_name"))
-    rows = w.join(top, on="customer_name", how="left_semi")
-    return (rows.groupBy("customer_name").agg(
+    lines, SUM(profit) and SUM(sales).
+
+    One pass: every per-customer measure is computed by the same grouped
+    aggregate that ranks the customers, so restricting the rows to the top
+    set (the sheet's filter) is the same as keeping the top ``n`` groups.
+    """
+    per_customer = w.groupBy("customer_name").agg(
+        money_avg("profit").alias("__avg_profit"),
         F.count("order_id").alias("order_count"),
         money_sum("profit").alias("sum_profit"),
         money_sum("sales").alias("sum_sales"))
-        .orderBy("sum_profit"))
+    top = (per_customer.orderBy(F.col("__avg_profit").desc(), F.col("customer_name").asc_nulls_first())
+           .limit(n))
+    return top.select("customer_name", "order_count", "sum_profit", "sum_sales").orderBy("sum_profit")
+
+
+def rows_in_top(w: DataFrame, dim: str, measure: str, how: str = "avg", n: int = 10) -> DataFrame:
+    """The rows whose ``dim`` member is in the top ``n`` by the aggregate
+    (left-semi join with the top set, which is broadcast: its size is ``n``)."""
+    top = F.broadcast(top_n(w, dim, measure, how, n, "__m").select(dim))
+    return w.join(top, on=dim, how="left_semi")
 
 
 def customers_by_segment(w: DataFrame) -> DataFrame:

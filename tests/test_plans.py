@@ -71,3 +71,27 @@ def test_hot_and_null_keys_stay_whole(spark):
     assert joined.count() == n
     assert joined.where("`Customer ID` IS NULL AND db_customer_name IS NOT NULL").count() == 0
     assert joined.where("`Customer ID` = 'HOT' AND db_customer_name = 'name-0'").count() == n // 3
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from pyspark.sql import functions as F
+    from martforge.operators.joins import join_sales_customers
+    from martforge.session import work_path
+    from martforge.sources.files import write_bucketed
+    ledger = spark.range(0, 2000).select(
+        F.concat(F.lit("C"), (F.col("id") % 50).cast("string")).alias("Customer ID"), F.col("id").alias("row"))
+    dim = spark.range(0, 50).select(
+        F.concat(F.lit("C"), F.col("id").cast("string")).alias("customer_id"),
+        *[F.lit(x).alias(c) for x, c in [("n", "customer_name"), ("s", "segment"), ("c", "city"),
+                                          ("st", "state"), ("r", "region")]])
+    write_bucketed(ledger, "t_ledger_b", work_path(spark, "ledger-b"), "Customer ID", 8)
+    write_bucketed(dim, "t_dim_b", work_path(spark, "dim-b"), "customer_id", 8)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = join_sales_customers(spark.table("t_ledger_b"), spark.table("t_dim_b"))
+        plan = _plan(j)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.where("db_customer_name = 'n'").count() == 2000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)

@@ -52,3 +52,9 @@ def test_top_n_and_semi_join(spark):
     got = [tuple(r) for r in bi.top_customers(w, 2).collect()]
     assert got == [("Cy", 1, 3.0, 30.0), ("Bob", 1, 8.0, 20.0)]  # top-2 by AVG(profit): Bob 8, Cy 3
     assert [tuple(r) for r in bi.customers_by_segment(w).collect()] == [("A", 1), ("B", 2)]
+
+
+def test_rows_in_top_semi_join(spark):
+    w = _wide(spark)
+    got = sorted(r.order_id for r in bi.rows_in_top(w, "customer_name", "profit", "avg", 2).collect())
+    assert got == ["O2", "O3"]
