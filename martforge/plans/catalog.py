@@ -30,8 +30,8 @@ from ..sources import derived as D
 from ..sources import files
 from ..sources.lookups import region_lookup
 from . import suites
-from .wide import (HOLIDAY_MAX_ROWS, build_wide, clean_sales, holidays_from_documents,
-                   sales_with_holidays)
+from .wide import (HOLIDAY_MAX_ROWS, WEATHER_MAX_ROWS, build_wide, clean_sales,
+                   holidays_from_documents, sales_with_holidays)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -145,7 +145,7 @@ def join_sales_holidays_q(spark, sf):
 @query
 def join_sales_weather_q(spark, sf):
     j = join_sales_customers(clean(spark, sf), D.customer_dimension(spark, sf))
-    j = join_sales_weather(j, bounded_broadcast(weather(spark, sf), 2_000_000, "weather"))
+    j = join_sales_weather(j, bounded_broadcast(weather(spark, sf), WEATHER_MAX_ROWS, "weather"))
     return j.select("Row ID", "Order Date", "Customer ID", "Region", "db_region", "temp_c",
                     "precipitation_mm", "snowfall_cm", "wind_speed_kmh")
 
