@@ -14,8 +14,13 @@ ODD_REPLACEMENTS = '"" '
 
 
 def parse_text_date(c: Column | str, pattern: str = LEDGER_DATE_PATTERN) -> Column:
-    """Text -> date by pattern; anything unparsable (or trailing text) is NULL."""
-    return F.try_to_date(F.col(c) if isinstance(c, str) else c, pattern)
+    """Text -> date by pattern; anything unparsable (or trailing text) is NULL.
+
+    Blank fields (frequent in extracts) skip the parser, which would only
+    fail on them, at the same NULL result.
+    """
+    col = F.col(c) if isinstance(c, str) else c
+    return F.when(F.length(col) > 0, F.try_to_date(col, pattern))
 
 
 def clean_text(c: Column | str) -> Column:
