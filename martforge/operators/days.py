@@ -40,6 +40,29 @@ def daily_sales(rows: DataFrame, date_col: str = "Order Date", sales_col: str =
         .alias("total_daily_sales"))
 
 
+def daily_sales_from_text(rows: DataFrame, holidays: DataFrame, parse,
+                          date_col: str = "Order Date", sales_col: str = "Sales") -> DataFrame:
+    """A1 over (ledger ⟕ holidays) without parsing or joining every row.
+
+    Sales are summed per distinct date *text* (partial aggregation, so a hot
+    date collapses map-side), only the distinct texts are parsed with
+    ``parse``, texts naming the same date are merged, and the holiday fan-out
+    (k holidays on a date repeat each of its rows k times) becomes an exact
+    multiplication of the integral total by k.  Same totals as
+    ``daily_sales(join_sales_holidays(clean rows, holidays))``.
+    """
+    per_text = rows.groupBy(F.col(date_col).alias("__t")).agg(
+        F.sum(_units(F.col(sales_col))).alias("__u"))
+    per_date = (per_text.select(parse(F.col("__t")).alias(date_col), "__u")
+                .groupBy(date_col).agg(F.sum("__u").alias("__u")))
+    fanout = (holidays.where(F.col("holiday_date").isNotNull())
+              .groupBy(F.col("holiday_date").alias("__h")).agg(F.count(F.lit(1)).alias("__k")))
+    j = per_date.join(fanout, per_date[date_col] == fanout["__h"], "left")
+    total = (F.col("__u") * F.coalesce(F.col("__k"), F.lit(1))).cast("double") \
+        / F.lit(float(10 ** MONEY_SCALE))
+    return j.select(date_col, total.alias("total_daily_sales"))
+
+
 def _rolling_avg(total: Column, w) -> Column:
     """round(avg of daily totals in the frame, 2), summed exactly."""
     s = F.sum(_units(total)).over(w).cast("double") / F.lit(float(10 ** MONEY_SCALE))

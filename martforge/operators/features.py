@@ -23,14 +23,16 @@ DAY_TABLE_MAX_ROWS = 200_000
 
 
 def engineer_features(df: DataFrame, holidays: DataFrame | None = None, *,
-                      daily_source: DataFrame | None = None, date_col: str = "Order Date",
-                      sales_col: str = "Sales", profit_col: str = "Profit") -> DataFrame:
+                      daily_source: DataFrame | None = None, daily: DataFrame | None = None,
+                      date_col: str = "Order Date", sales_col: str = "Sales",
+                      profit_col: str = "Profit") -> DataFrame:
     """Add the engineered columns to ``df`` (rows already joined with holidays).
 
     ``daily_source`` holds the rows whose Sales are summed per day for the
     rolling averages (default ``df`` itself).  Passing the ledger joined with
     holidays only gives the same totals whenever the other joins are on
-    unique keys, and avoids recomputing them for the day table.
+    unique keys, and avoids recomputing them for the day table.  ``daily``
+    passes ready daily totals (``date_col``, ``total_daily_sales``) instead.
     """
     spark = df.sparkSession
     if holidays is None:
@@ -45,7 +47,8 @@ def engineer_features(df: DataFrame, holidays: DataFrame | None = None, *,
         "profit_margin": profit_margin(profit_col, sales_col),
         "back_to_school_flag": back_to_school_flag(d),
     })
-    daily = daily_sales(daily_source if daily_source is not None else df, date_col, sales_col)
+    if daily is None:
+        daily = daily_sales(daily_source if daily_source is not None else df, date_col, sales_col)
     days = bounded_broadcast(day_features(daily, holidays, date_col), DAY_TABLE_MAX_ROWS, "days")
     out = rows.join(days, on=date_col, how="left").withColumn(
         "holiday_shopping_season_flag", F.coalesce(F.col("holiday_shopping_season_flag"), F.lit(0)))

@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import back_to_school_flag, weekend_flag
-from ..functions.cleaning import to_number, to_timestamp_tolerant
+from ..functions.cleaning import parse_text_date, to_number, to_timestamp_tolerant
 from ..functions.columns import normalize_columns
 from ..functions.measures import holiday_flag, profit_margin
 from ..operators import bi, dims, profile
 from ..operators import quality as Q
-from ..operators.days import daily_sales, holiday_calendar, thanksgiving_by_year
+from ..operators.days import (daily_sales, daily_sales_from_text, holiday_calendar,
+                              thanksgiving_by_year)
 from ..operators.features import engineer_features
 from ..operators.joins import join_sales_customers, join_sales_holidays, join_sales_weather
 from ..operators.reshape import (filter_dedup_holidays, flatten_holidays, flatten_weather,
@@ -69,14 +70,17 @@ def small_holidays(spark, sf):
 
 
 def wide(spark, sf):
-    return build_wide(clean(spark, sf), D.customer_dimension(spark, sf), holidays(spark, sf),
-                      weather(spark, sf))
+    r = raw(spark, sf)
+    return build_wide(clean_sales(r), D.customer_dimension(spark, sf), holidays(spark, sf),
+                      weather(spark, sf), raw=r)
 
 
 def features(spark, sf):
     """Ledger ⟕ holidays with the engineered columns (no customer/weather joins)."""
     h = small_holidays(spark, sf)
-    return engineer_features(join_sales_holidays(clean(spark, sf), h), h)
+    r = raw(spark, sf)
+    daily = daily_sales_from_text(r.select("Order Date", "Sales"), h, parse_text_date)
+    return engineer_features(join_sales_holidays(clean_sales(r), h), h, daily=daily)
 
 
 def bi_table(spark, sf):

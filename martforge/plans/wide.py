@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cleaning import clean_text, iso_to_date, parse_text_date
 from ..functions.measures import holiday_flag
+from ..operators.days import daily_sales_from_text
 from ..operators.features import engineer_features
 from ..operators.joins import join_sales_customers, join_sales_holidays, join_sales_weather
 from ..operators.reshape import filter_dedup_holidays, flatten_weather
@@ -31,7 +32,7 @@ def holidays_from_documents(documents: DataFrame, names: list[str] | None = None
 
 
 def build_wide(clean: DataFrame, customers: DataFrame, holidays: DataFrame,
-               weather: DataFrame | None = None) -> DataFrame:
+               weather: DataFrame | None = None, raw: DataFrame | None = None) -> DataFrame:
     """Clean ledger ⟕ customers ⟕ holidays ⟕ weather, then features.
 
     * customers: left join, shuffle or broadcast chosen by the planner/AQE;
@@ -41,13 +42,19 @@ def build_wide(clean: DataFrame, customers: DataFrame, holidays: DataFrame,
       joined with holidays only: the customer dimension is keyed
       (primary key) and weather is one row per region-day, so those joins
       cannot change the daily totals, and the shuffle join with the
-      dimension runs once.
+      dimension runs once; given the ``raw`` ledger ``clean`` was made
+      from, the totals are pre-aggregated per date text
+      (``daily_sales_from_text``), so the day job parses distinct texts
+      instead of every row.
     """
     h = bounded_broadcast(holidays.select("holiday_name", "holiday_date"), HOLIDAY_MAX_ROWS,
                           "holidays")
     rows = join_sales_holidays(join_sales_customers(clean, customers), h)
     if weather is not None:
         rows = join_sales_weather(rows, bounded_broadcast(weather, WEATHER_MAX_ROWS, "weather"))
+    if raw is not None:
+        daily = daily_sales_from_text(raw.select("Order Date", "Sales"), h, parse_text_date)
+        return engineer_features(rows, h, daily=daily)
     daily_source = join_sales_holidays(clean.select("Order Date", "Sales"), h)
     return engineer_features(rows, h, daily_source=daily_source)
 
@@ -56,7 +63,7 @@ def wide_from_sources(raw_ledger: DataFrame, customers: DataFrame, holiday_docum
                       weather_payloads: DataFrame | None) -> DataFrame:
     weather = flatten_weather(weather_payloads) if weather_payloads is not None else None
     return build_wide(clean_sales(raw_ledger), customers,
-                      holidays_from_documents(holiday_documents), weather)
+                      holidays_from_documents(holiday_documents), weather, raw=raw_ledger)
 
 
 def sales_with_holidays(clean: DataFrame, holidays: DataFrame) -> DataFrame:

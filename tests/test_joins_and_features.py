@@ -3,6 +3,8 @@
 import datetime as dt
 
 
+from pyspark.sql import functions as F
+
 from martforge.operators.days import daily_sales, thanksgiving_by_year
 from martforge.operators.features import engineer_features
 from martforge.operators.joins import join_sales_customers, join_sales_holidays, join_sales_weather
@@ -124,3 +126,19 @@ def test_day_with_only_null_sales_keeps_proximity(spark):
     a = out[D(2014, 11, 20)]
     assert (a.days_until_next_holiday, a.rolling_sales_7d) == (7, None)
     assert out[D(2014, 11, 21)].rolling_sales_7d == 10.0
+
+
+def test_daily_totals_from_text_match_row_level(spark):
+    from martforge.functions.cleaning import parse_text_date
+    from martforge.operators.days import daily_sales_from_text
+    raw = spark.createDataFrame(
+        [("1/5/2014", 10.25), ("01/05/2014", 1.5), ("1/6/2014", 2.0), ("", 4.0), (None, 1.0),
+         ("13/45/2014", 3.0), ("12/25/2014", 7.0), ("12/25/2014", None)], "`Order Date` string, Sales double")
+    h = spark.createDataFrame([("Christmas Day", D(2014, 12, 25)), ("Other", D(2014, 12, 25)),
+                               ("New Day", D(2014, 1, 6))], HOLIDAYS)
+    from martforge.plans.wide import clean_sales
+    rowwise = {r["Order Date"]: r.total_daily_sales
+               for r in daily_sales(join_sales_holidays(clean_sales(raw.withColumn("Product Name", F.lit("x"))), h)).collect()}
+    fast = {r["Order Date"]: r.total_daily_sales for r in daily_sales_from_text(raw, h, parse_text_date).collect()}
+    assert fast == rowwise
+    assert fast[D(2014, 1, 5)] == 11.75 and fast[D(2014, 12, 25)] == 14.0 and fast[None] == 8.0
