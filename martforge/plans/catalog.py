@@ -25,7 +25,7 @@ from ..operators.joins import join_sales_customers, join_sales_holidays, join_sa
 from ..operators.reshape import (filter_dedup_holidays, flatten_holidays, flatten_weather,
                                  holiday_types, to_documents, union_all)
 from ..operators.sizing import bounded_broadcast
-from ..schemas import HOLIDAYS, HOLIDAY_DOCUMENT, RAW_LEDGER, WEATHER
+from ..schemas import CUSTOMER_EXTRACT_COLUMNS, HOLIDAYS, HOLIDAY_DOCUMENT, RAW_LEDGER, WEATHER
 from ..session import work_path
 from ..sources import derived as D
 from ..sources import files
@@ -365,18 +365,24 @@ def extract_customers(spark, sf):
     return dims.extract_customers(raw(spark, sf))
 
 
+def _staging_rows(ledger):
+    """Customer columns of every ledger row, under the staging names.  The
+    dimension build picks a minimum per key, which duplicates cannot change,
+    so the extract's DISTINCT (a second shuffle) is not needed here."""
+    return dims.staging_customers(ledger.select(*CUSTOMER_EXTRACT_COLUMNS))
+
+
 @query
 def customer_dim_build(spark, sf):
-    return dims.customer_dim_build(dims.staging_customers(dims.extract_customers(raw(spark, sf))))
+    return dims.customer_dim_build(_staging_rows(raw(spark, sf)))
 
 
 @query
 def customer_dim_upsert(spark, sf):
     r = raw(spark, sf)
     early = F.col("Ship Mode").isin("1-URGENT", "2-HIGH")
-    target = dims.customer_dim_build(dims.staging_customers(dims.extract_customers(r.where(early))))
-    source = dims.staging_customers(dims.extract_customers(r.where(~early)))
-    return dims.upsert_by_key(target, source)
+    target = dims.customer_dim_build(_staging_rows(r.where(early)))
+    return dims.upsert_by_key(target, _staging_rows(r.where(~early)))
 
 
 # ---------------------------------------------------------------- quality
