@@ -153,8 +153,8 @@ def validate(df: DataFrame, rules: list[Rule], dataset: str,
 
     The counts come from ONE aggregate action over ``df`` (a single row of
     ``#rules`` numbers reaches the driver, never data rows).  Failing-value
-    samples are then planned only for the value rules that failed, each as
-    a bounded top-k branch.
+    samples are then fetched only for the value rules that failed, each as
+    a bounded top-k branch (at most ``SAMPLE_SIZE`` values per rule return).
     """
     count_cols = [F.count(F.lit(1)).alias("__n")]
     plans = []
@@ -173,7 +173,7 @@ def validate(df: DataFrame, rules: list[Rule], dataset: str,
         if bad is not None:
             u = int(counts[f"__u{i}"])
             pct = _round_half_up(u * 100.0 / n, 2) if n > 0 else 0.0
-            rows.append(head + (u == 0, n, u, pct, [] if rule.kind == "not_null" else None, None, None))
+            rows.append(head + (u == 0, n, u, pct, [], None, None))
             if u > 0 and rule.kind != "not_null":
                 sample_specs.append((i, bad))
         elif rule.kind == "row_count" and not error:
@@ -181,15 +181,12 @@ def validate(df: DataFrame, rules: list[Rule], dataset: str,
             rows.append(head + (lo <= n <= hi, n, None, None, None, str(n), None))
         else:
             rows.append(head + (ok, None, None, None, None, observed, error))
-    result = df.sparkSession.createDataFrame(rows, RESULT_SCHEMA)
-    value_rules = [i for i, rule, *_rest, bad in plans if bad is not None and rule.kind != "not_null"]
-    if not samples or not value_rules:
-        return result
-    found = sample_values(df, sample_specs, sample_order, all_ids=value_rules)
-    out = result.join(F.broadcast(found), on="rule_id", how="left")
-    return out.select(*[F.coalesce(F.col("__samples"), F.col("unexpected_values"))
-                        .alias("unexpected_values") if f.name == "unexpected_values"
-                        else F.col(f.name) for f in RESULT_SCHEMA.fields])
+    if samples and sample_specs:
+        # at most SAMPLE_SIZE values per failed rule reach the driver
+        found = {r["rule_id"]: list(r["__samples"])
+                 for r in sample_values(df, sample_specs, sample_order).collect()}
+        rows = [row[:9] + (found.get(row[1], row[9]),) + row[10:] for row in rows]
+    return df.sparkSession.createDataFrame(rows, RESULT_SCHEMA)
 
 
 def _round_half_up(x: float, digits: int) -> float:
@@ -199,19 +196,14 @@ def _round_half_up(x: float, digits: int) -> float:
 
 
 def sample_values(df: DataFrame, specs: list[tuple[int, tuple[Column, Column]]],
-                  order: list[str] | None = None, k: int = SAMPLE_SIZE,
-                  all_ids: list[int] | None = None) -> DataFrame:
-    """(rule_id, __samples) for value rules: up to ``k`` failing values each
-    (all rules listed get a row; no failure gives an empty array).
+                  order: list[str] | None = None, k: int = SAMPLE_SIZE) -> DataFrame:
+    """(rule_id, __samples): up to ``k`` failing values for each listed rule
+    (a rule without failing rows gets no row).
 
     Each branch is a top-k (``orderBy().limit()`` -> TakeOrderedAndProject),
     so every partition forwards at most ``k`` rows.
     """
     order = order or []
-    ids = df.sparkSession.createDataFrame(
-        [(i,) for i in (all_ids if all_ids is not None else [i for i, _ in specs])], "rule_id int")
-    if not specs:
-        return ids.select("rule_id", F.array().cast("array<string>").alias("__samples"))
     branches = []
     for i, (pred, shown) in specs:
         keys = [F.col(f"`{c}`") for c in order] + [shown]
@@ -224,11 +216,9 @@ def sample_values(df: DataFrame, specs: list[tuple[int, tuple[Column, Column]]],
     allrows = branches[0]
     for b in branches[1:]:
         allrows = allrows.unionByName(b)
-    got = allrows.groupBy("rule_id").agg(
+    return allrows.groupBy("rule_id").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("__o", "__v"))), lambda x: x["__v"])
         .alias("__samples"))
-    return ids.join(got, "rule_id", "left").select(
-        "rule_id", F.coalesce("__samples", F.array().cast("array<string>")).alias("__samples"))
 
 
 def summary(results: DataFrame) -> DataFrame:
