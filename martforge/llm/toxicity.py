@@ -7,7 +7,8 @@ n-grams, in a fixed number of bins.  In a toxic document the tokens whose
 evidence speaks for toxic (or, failing that, the strongest) are tagged, in
 clean documents none.  The field learns emissions of a token's and its
 neighbours' bins, and transitions, on a bounded sample: about ``PER_CLASS``
-documents of each label, chosen by a hash of the id.
+documents of each label, chosen by a hash of the id; their evidence leaves the
+document itself out, so that words it alone holds tell nothing.
 
 A score is the chance that any token is toxic, from forward-backward marginals
 of the whole text, calibrated by logistic regression on the sample; tokens
@@ -31,24 +32,26 @@ from .textkit import list_array, slices
 
 ORDERS = (4, 5)
 BITS = 18
-BINS = 16
-SHRINK = 5.0  # documents of the base rate added to each n-gram
+BINS = 25
+LOW, HIGH = -4.0, 8.0  # log odds that the bins cover
+SHRINK = 1.0  # documents of the base rate added to each n-gram
 PER_CLASS = 1500
 THRESHOLD = 0.3
 TAGGED = 0.5
 
 
-def _evidence(counts: np.ndarray) -> np.ndarray:
-    """Log odds of toxic for each cell, shrunk to the base rate."""
-    clean_docs, toxic = counts[0, :-1], counts[1, :-1]
+def _evidence(counts: np.ndarray, without: int | None = None) -> np.ndarray:
+    """Log odds of toxic for each cell, shrunk to the base rate; ``without`` leaves
+    out one document of that label (the one that is looked at)."""
+    clean_docs, toxic = (np.maximum(counts[k, :-1] - (k == without), 0) for k in (0, 1))
     base = counts[1, -1] / max(counts[:, -1].sum(), 1.0)
     p = (toxic + SHRINK * base) / (toxic + clean_docs + SHRINK)
     return np.log(p / (1.0 - p))
 
 
 def _bin(odds: np.ndarray) -> np.ndarray:
-    """Bin 1 .. BINS - 1 of log odds from -4 to 4; 0 is beyond the ends of a text."""
-    return np.clip(np.floor((odds + 4.0) / 8.0 * (BINS - 1)) + 1, 1, BINS - 1).astype(np.int64)
+    """Bin 1 .. BINS - 1 of the log odds; 0 is beyond the ends of a text."""
+    return np.clip(np.floor((odds - LOW) / (HIGH - LOW) * (BINS - 1)) + 1, 1, BINS - 1).astype(np.int64)
 
 
 def _token_odds(texts: pa.Array, odds: np.ndarray):
@@ -60,11 +63,14 @@ def _token_odds(texts: pa.Array, odds: np.ndarray):
 
 
 def _sampled(docs: DataFrame, odds) -> DataFrame:
-    """(toxic, odds) of the sampled documents, one list of token evidence each."""
+    """(id, toxic, odds) of the sampled documents: token evidence from all other documents."""
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                words, value = _token_odds(part.column("text"), odds.value)
+                kinds = part.column("toxic").to_numpy(zero_copy_only=False)
+                words, value = _token_odds(part.column("text"), odds.value[0])
+                _, other = _token_odds(part.column("text"), odds.value[1])
+                value = np.where(kinds[words.doc] == 1, other, value)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), part.column("toxic"), list_array(value.astype(np.float32), words.count, pa.float32())],
                     ["id", "toxic", "odds"])
@@ -131,12 +137,12 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", per_class: int
     counts = cell_counts(rows.join(known, "id"), "text", "toxic", 2, ORDERS, BITS, True)
     if counts[0, -1] == 0 or counts[1, -1] == 0:
         return None
-    odds = _evidence(counts)
+    others = context.broadcast([_evidence(counts, without=k) for k in (0, 1)])
     unit = F.pmod(F.xxhash64(F.lit(13), "id"), F.lit(1 << 30)) / float(1 << 30)
     rate = [min(1.0, per_class / counts[k, -1]) for k in (0, 1)]
     chosen = known.where(unit < F.when(F.col("toxic") == 1, F.lit(rate[1])).otherwise(F.lit(rate[0])))
     # about 2 * per_class ids, by the sampling rates above: small whatever the input
-    sample = _sampled(rows.join(F.broadcast(chosen), "id"), context.broadcast(odds)).toPandas().sort_values("id", kind="stable")
+    sample = _sampled(rows.join(F.broadcast(chosen), "id"), others).toPandas().sort_values("id", kind="stable")
     y = sample["toxic"].to_numpy(dtype=np.int64)
     value = [np.asarray(v, dtype=float) for v in sample["odds"]]
     tags = []
@@ -152,7 +158,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", per_class: int
     x = _any(_marginals(flat, lengths, weights, trans), first, lengths)
     # weights undo the two sampling rates
     scale = _logistic(x, y.astype(float), np.where(y == 1, 1 / rate[1], 1 / rate[0]))
-    return Model(odds, weights, trans, scale)
+    return Model(_evidence(counts), weights, trans, scale)
 
 
 def tag(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
