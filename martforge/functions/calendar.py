@@ -1,4 +1,4 @@
-"""Calendar expressions on a date column (C7, C8, C11, rule-based dates)."""
+"""Calendar flags on a date column."""
 
 from __future__ import annotations
 
@@ -10,11 +10,6 @@ def _c(c):
     return F.col(c) if isinstance(c, str) else c
 
 
-def date_parts(d: Column | str) -> dict[str, Column]:
-    d = _c(d)
-    return {"month": F.month(d), "year": F.year(d), "quarter": F.quarter(d)}
-
-
 def weekend_flag(d: Column | str) -> Column:
     """1 on Saturday/Sunday (dayofweek 7/1), else 0 (NULL date -> 0)."""
     return F.when(F.dayofweek(_c(d)).isin(1, 7), 1).otherwise(0)
@@ -25,15 +20,3 @@ def back_to_school_flag(d: Column | str) -> Column:
     d = _c(d)
     return (F.when((F.month(d) == 7) & (F.dayofmonth(d) >= 15), 1)
             .when(F.month(d) == 8, 1).otherwise(0))
-
-
-def nth_weekday(year: Column, month: int, weekday: int, n: int) -> Column:
-    """n-th given weekday (Spark numbering: Sunday=1 ... Saturday=7) of a month."""
-    first = F.make_date(year, F.lit(month), F.lit(1))
-    shift = (F.lit(weekday) - F.dayofweek(first) + 7) % 7 + (n - 1) * 7
-    return F.date_add(first, shift)
-
-
-def last_weekday(year: Column, month: int, weekday: int) -> Column:
-    last = F.last_day(F.make_date(year, F.lit(month), F.lit(1)))
-    return F.date_sub(last, (F.dayofweek(last) - F.lit(weekday) + 7) % 7)

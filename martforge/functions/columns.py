@@ -28,10 +28,6 @@ def rename_positional(df: DataFrame, names: list[str]) -> DataFrame:
     return df.toDF(*names)
 
 
-def prefixed(df: DataFrame, mapping: dict[str, str]) -> list:
-    return [F.col(src).alias(dst) for src, dst in mapping.items()]
-
-
 def add_missing_columns(df: DataFrame, names: list[str], data_type=T.DoubleType()) -> DataFrame:
     """Append each absent column as a typed NULL, in the order given."""
     missing = {n: F.lit(None).cast(data_type) for n in names if n not in df.columns}

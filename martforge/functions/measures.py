@@ -37,18 +37,46 @@ def extreme_weather_flag(precip="precipitation_mm", snow="snowfall_cm", wind="wi
     return F.when(hit, 1).otherwise(0)
 
 
-def money_sum(c: Column | str, scale: int = 4) -> Column:
-    """Order-independent SUM of a money column.
+# Money is summed as decimals of this scale: order-independent, 20 digits before the point.
+EXACT = "decimal(38,18)"
 
-    Values are counted in integral units of 10**-scale inside a LONG sum
-    (exact, codegen'd, no decimal slow path), then turned back into a double,
-    so the total is identical whatever the partitioning or task order.
+
+def _exact(c: Column) -> Column:
+    """The value as a decimal; NULL where none holds it (NaN, infinite, 1e20 and more)."""
+    return c.try_cast(EXACT)
+
+
+def _special(c: Column) -> Column:
+    """The values that no decimal holds, as doubles."""
+    return F.when(_exact(c).isNull(), c.cast("double"))
+
+
+def exact_total(c: Column | str, over=None) -> tuple[Column, Column]:
+    """SUM of ``c`` in two parts: the decimal sum and the sum of what no decimal holds
+    (NULL where there is none); ``over`` is a window."""
+    parts = F.try_sum(_exact(_c(c))), F.sum(_special(_c(c)))
+    return parts if over is None else tuple(x.over(over) for x in parts)
+
+
+def as_double(total: Column, special: Column) -> Column:
+    """One double from the two parts of a sum (NaN and infinities win as in plain double sums)."""
+    whole = total.cast("double")
+    return F.when(special.isNull(), whole).otherwise(special + F.coalesce(whole, F.lit(0.0)))
+
+
+def money_sum(c: Column | str) -> Column:
+    """Order-independent SUM of a money column, as a double.
+
+    Values are summed as decimals, so the total is the same whatever the
+    partitioning; NaN gives NaN.  A total beyond the decimals' range falls
+    back to the sum of doubles.
     """
-    units = F.round(_c(c) * F.lit(10 ** scale)).cast("long")
-    return F.sum(units).cast("double") / F.lit(float(10 ** scale))
+    col = _c(c)
+    total, special = exact_total(col)
+    some = F.count(_exact(col)) > 0
+    return F.when(some & total.isNull(), F.sum(col.cast("double"))).otherwise(as_double(total, special))
 
 
-def money_avg(c: Column | str, scale: int = 4) -> Column:
+def money_avg(c: Column | str) -> Column:
     """Order-independent AVG (exact sum / non-null count)."""
-    units = F.round(_c(c) * F.lit(10 ** scale)).cast("long")
-    return F.sum(units).cast("double") / F.lit(float(10 ** scale)) / F.count(_c(c))
+    return money_sum(c) / F.count(_c(c))

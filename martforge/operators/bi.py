@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import money_avg, money_sum
 
-MARGIN_SCALE = 2  # profit_margin is rounded to 2 decimals
-
 
 def kpis(w: DataFrame) -> DataFrame:
     """B1-B5 in one pass."""
@@ -20,24 +18,25 @@ def kpis(w: DataFrame) -> DataFrame:
         money_sum("sales").alias("total_sales"),
         money_sum("profit").alias("total_profit"),
         F.count_distinct("order_id").alias("total_orders"),
-        money_avg("profit_margin", MARGIN_SCALE).alias("avg_profit_margin"),
+        money_avg("profit_margin").alias("avg_profit_margin"),
         F.count_distinct("customer_id").alias("total_customers"),
     )
 
 
 def measure_by(w: DataFrame, dim: str, measure: str, how: str = "sum",
-               alias: str | None = None) -> DataFrame:
-    """SUM / AVG of a money measure per dimension member, ascending by the measure."""
+               alias: str | None = None, by_measure: bool = True) -> DataFrame:
+    """SUM / AVG of a money measure per dimension member, ascending by the
+    measure, or (``by_measure=False``) in the order of the dimension."""
     alias = alias or f"{how}_{measure}"
     agg = money_sum(measure) if how == "sum" else money_avg(measure)
-    return (w.groupBy(dim).agg(agg.alias(alias))
-            .orderBy(F.col(alias).asc_nulls_first(), F.col(dim).asc_nulls_first()))
+    order = [F.col(c).asc_nulls_first() for c in ([alias, dim] if by_measure else [dim])]
+    return w.groupBy(dim).agg(agg.alias(alias)).orderBy(*order)
 
 
 def profit_trend_by_year(w: DataFrame, exclude_year: int = 2016) -> DataFrame:
-    """SUM(profit) by year without one year (NULL years are kept)."""
+    """SUM(profit) by year without one year (NULL years are kept), in time order."""
     kept = w.where((F.col("year") != exclude_year) | F.col("year").isNull())
-    return measure_by(kept, "year", "profit").orderBy("year")
+    return measure_by(kept, "year", "profit", by_measure=False)
 
 
 def top_n(w: DataFrame, dim: str, measure: str, how: str, n: int, alias: str) -> DataFrame:
@@ -54,27 +53,20 @@ def top_products(w: DataFrame, n: int = 10) -> DataFrame:
 
 
 def top_customers(w: DataFrame, n: int = 10) -> DataFrame:
-    """Customers in the top ``n`` by AVG(profit); per customer the order
-    lines, SUM(profit) and SUM(sales).
-
-    One pass: every per-customer measure is computed by the same grouped
-    aggregate that ranks the customers, so restricting the rows to the top
-    set (the sheet's filter) is the same as keeping the top ``n`` groups.
-    """
-    per_customer = w.groupBy("customer_name").agg(
-        money_avg("profit").alias("__avg_profit"),
+    """Rows of the top ``n`` customer ids by AVG(profit); per customer *name*
+    the order lines, SUM(profit) and SUM(sales) (ids may share a name)."""
+    return (rows_in_top(w, "customer_id", "profit", "avg", n).groupBy("customer_name").agg(
         F.count("order_id").alias("order_count"),
         money_sum("profit").alias("sum_profit"),
-        money_sum("sales").alias("sum_sales"))
-    top = (per_customer.orderBy(F.col("__avg_profit").desc(), F.col("customer_name").asc_nulls_first())
-           .limit(n))
-    return top.select("customer_name", "order_count", "sum_profit", "sum_sales").orderBy("sum_profit")
+        money_sum("sales").alias("sum_sales")).orderBy("sum_profit", "customer_name"))
 
 
 def rows_in_top(w: DataFrame, dim: str, measure: str, how: str = "avg", n: int = 10) -> DataFrame:
     """The rows whose ``dim`` member is in the top ``n`` by the aggregate
-    (left-semi join with the top set, which is broadcast: its size is ``n``)."""
-    top = F.broadcast(top_n(w, dim, measure, how, n, "__m").select(dim))
+    (left-semi join with the top set, which is broadcast: its size is ``n``).
+    NULL is no member."""
+    known = w.where(F.col(dim).isNotNull())
+    top = F.broadcast(top_n(known, dim, measure, how, n, "__m").select(dim))
     return w.join(top, on=dim, how="left_semi")
 
 

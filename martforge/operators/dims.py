@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import rename_positional
@@ -24,27 +25,49 @@ def staging_customers(extract: DataFrame) -> DataFrame:
 def customer_dim_build(staging: DataFrame, key: str = "customer_id") -> DataFrame:
     """One row per non-NULL key: the smallest row in column order (NULLs first).
 
-    An aggregate (``min`` of a struct), not a window: partial aggregation
-    collapses a hot key map-side.
+    Duplicates go first, in a hash aggregate (one row per task and listing),
+    so the sort aggregate of the minimum sees few rows, however hot a key is.
     """
-    pick = F.min(F.struct(*[F.col(c) for c in DIM_VALUE_COLUMNS])).alias("__v")
-    return (staging.where(F.col(key).isNotNull()).groupBy(key).agg(pick)
-            .select(key, *[F.col(f"__v.{c}").alias(c) for c in DIM_VALUE_COLUMNS]))
+    return _least_row(staging.where(F.col(key).isNotNull()).select(key, *DIM_VALUE_COLUMNS).distinct(), key)
+
+
+def _least_row(rows: DataFrame, key: str, first: tuple[str, ...] = ()) -> DataFrame:
+    pick = F.min(F.struct(*[F.col(c) for c in (*first, *DIM_VALUE_COLUMNS)])).alias("__v")
+    return rows.groupBy(key).agg(pick).select(key, *[F.col(f"__v.{c}").alias(c) for c in DIM_VALUE_COLUMNS])
 
 
 def upsert_by_key(target: DataFrame, source: DataFrame, key: str = "customer_id") -> DataFrame:
     """INSERT ... ON CONFLICT (key) DO UPDATE: source rows replace target rows
-    (all value columns, NULLs included); target keys absent from source stay."""
-    src = customer_dim_build(source, key)
-    kept = target.join(src.select(key), on=key, how="left_anti")
-    return kept.unionByName(src.select(*target.columns))
+    (all value columns, NULLs included); target keys absent from source stay.
+
+    One union and one group by key: source rows rank before target rows.
+    """
+    columns = [key, *DIM_VALUE_COLUMNS]
+    new = source.where(F.col(key).isNotNull()).select(*columns).distinct().withColumn("__rank", F.lit(0))
+    old = target.where(F.col(key).isNotNull()).select(*columns).withColumn("__rank", F.lit(1))
+    return _least_row(new.unionByName(old), key, ("__rank",))
+
+
+def ensure_dimension(spark: SparkSession, path: str) -> DataFrame:
+    """K6: the stored dimension, created empty if there is none; its key is checked."""
+    try:
+        found = spark.read.schema(CUSTOMER_DIM).parquet(path)
+    except AnalysisException as exc:
+        if not (exc.getCondition() or "").startswith("PATH_NOT_FOUND"):
+            raise
+        spark.createDataFrame([], CUSTOMER_DIM).write.parquet(path)
+        found = spark.read.schema(CUSTOMER_DIM).parquet(path)
+    broken = key_violations(found).first()
+    if broken["null_keys"] or broken["duplicate_keys"]:
+        raise ValueError(f"{path}: {broken['null_keys']} rows without key, {broken['duplicate_keys']} repeated keys")
+    return found
 
 
 def key_violations(df: DataFrame, key: str = "customer_id") -> DataFrame:
     """Primary-key check: rows, NULL keys, keys seen more than once."""
     per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     return per_key.agg(
-        F.sum("n").alias("row_count"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
         F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), F.lit(0)).alias("null_keys"),
         F.count_if(F.col(key).isNotNull() & (F.col("n") > 1)).alias("duplicate_keys"),
         F.count_if(F.col(key).isNotNull()).alias("distinct_keys"))

@@ -9,8 +9,8 @@ from ..functions.calendar import back_to_school_flag, weekend_flag
 from ..functions.columns import add_missing_columns
 from ..functions.measures import extreme_weather_flag, holiday_flag, positive_flag, profit_margin
 from ..schemas import HOLIDAYS, WEATHER_COLUMNS
-from .days import daily_sales, day_features
-from .sizing import bounded_broadcast
+from .days import add_proximity, add_season, daily_totals, rolling_sales
+from .sizing import materialize
 
 ROW_FEATURES = ["holiday_flag", "month", "year", "quarter", "weekend_flag", "profit_margin",
                 "back_to_school_flag"]
@@ -18,8 +18,20 @@ DAY_FEATURES = ["days_until_next_holiday", "days_since_last_holiday",
                 "holiday_shopping_season_flag", "rolling_sales_7d", "rolling_sales_30d"]
 WEATHER_FLAGS = ["is_raining", "is_snowing", "extreme_weather_flag"]
 
-# A day table holds one row per calendar date: 200,000 rows is ~550 years.
-DAY_TABLE_MAX_ROWS = 200_000
+
+def row_features(df: DataFrame, date_col: str = "Order Date", sales_col: str = "Sales",
+                 profit_col: str = "Profit") -> DataFrame:
+    """The features that need the row alone (after the holiday join)."""
+    d = F.col(date_col)
+    return df.withColumns({
+        "holiday_flag": holiday_flag("holiday_name"),
+        "month": F.month(d),
+        "year": F.year(d),
+        "quarter": F.quarter(d),
+        "weekend_flag": weekend_flag(d),
+        "profit_margin": profit_margin(profit_col, sales_col),
+        "back_to_school_flag": back_to_school_flag(d),
+    })
 
 
 def engineer_features(df: DataFrame, holidays: DataFrame | None = None, *,
@@ -32,26 +44,18 @@ def engineer_features(df: DataFrame, holidays: DataFrame | None = None, *,
     rolling averages (default ``df`` itself).  Passing the ledger joined with
     holidays only gives the same totals whenever the other joins are on
     unique keys, and avoids recomputing them for the day table.  ``daily``
-    passes ready daily totals (``date_col``, ``total_daily_sales``) instead.
+    passes ready daily totals (``daily_totals``) instead.  The rolling table is
+    written once (one row per date); the rest is lazy.
     """
     spark = df.sparkSession
     if holidays is None:
         holidays = spark.createDataFrame([], HOLIDAYS)
-    d = F.col(date_col)
-    rows = df.withColumns({
-        "holiday_flag": holiday_flag("holiday_name"),
-        "month": F.month(d),
-        "year": F.year(d),
-        "quarter": F.quarter(d),
-        "weekend_flag": weekend_flag(d),
-        "profit_margin": profit_margin(profit_col, sales_col),
-        "back_to_school_flag": back_to_school_flag(d),
-    })
+    rows = row_features(df, date_col, sales_col, profit_col)
     if daily is None:
-        daily = daily_sales(daily_source if daily_source is not None else df, date_col, sales_col)
-    days = bounded_broadcast(day_features(daily, holidays, date_col), DAY_TABLE_MAX_ROWS, "days")
-    out = rows.join(days, on=date_col, how="left").withColumn(
-        "holiday_shopping_season_flag", F.coalesce(F.col("holiday_shopping_season_flag"), F.lit(0)))
+        daily = daily_totals(daily_source if daily_source is not None else df, date_col, sales_col)
+    rolling = materialize(rolling_sales(daily, date_col), "days")
+    out = add_season(add_proximity(rows, holidays, date_col), holidays, date_col)
+    out = out.join(rolling, on=date_col, how="left")
     had_weather = [c for c in WEATHER_COLUMNS if c in df.columns]
     out = add_missing_columns(out, WEATHER_COLUMNS)
     out = out.withColumns({

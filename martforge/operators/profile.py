@@ -29,13 +29,15 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """Long form: (metric, column_name, value)."""
-    rc = row_count(df).select(F.lit("row_count").alias("metric"),
-                              F.lit(None).cast("string").alias("column_name"),
-                              F.col("row_count").alias("value"))
-    dup = duplicate_rows(df).select(F.lit("duplicate_rows").alias("metric"),
-                                    F.lit(None).cast("string").alias("column_name"),
+    """Long form (metric, column_name, value) in two passes: one aggregate for the
+    row and missing counts, one grouped count for duplicates."""
+    names = df.columns
+    counts = df.agg(F.count(F.lit(1)).alias("n"),
+                    *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"m{i}") for i, c in enumerate(names)])
+    none = F.lit(None).cast("string")
+    rows = F.array(F.struct(F.lit("row_count").alias("metric"), none.alias("column_name"), F.col("n").alias("value")),
+                   *[F.struct(F.lit("missing").alias("metric"), F.lit(c).alias("column_name"),
+                              F.col(f"m{i}").alias("value")) for i, c in enumerate(names)])
+    dup = duplicate_rows(df).select(F.lit("duplicate_rows").alias("metric"), none.alias("column_name"),
                                     F.col("duplicate_rows").alias("value"))
-    miss = missing_by_column(df).select(F.lit("missing").alias("metric"), "column_name",
-                                        F.col("missing_count").alias("value"))
-    return rc.unionByName(dup).unionByName(miss)
+    return counts.select(F.inline(rows)).unionByName(dup)

@@ -2,9 +2,9 @@
 
 A rule list is evaluated per dataset with ONE ``agg`` (a row count plus one
 ``count_if`` per value rule); schema rules (columns, types) read metadata
-only.  Sample failing values are fetched only for rules that failed, with
-one bounded top-k branch each (each partition keeps its first 10, never
-the whole set).
+only.  Sample failing values are fetched only for rules that failed, all in
+one scan, of which each partition forwards its first 10 per rule.  A rule that
+cannot be evaluated is one failed row with its error; the others keep theirs.
 """
 
 from __future__ import annotations
@@ -12,7 +12,8 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,24 +107,38 @@ def _value(df: DataFrame, column: str) -> Column:
     return c
 
 
+def _number(v: Column, data_type: T.DataType, bound) -> Column:
+    """The value compared with a numeric bound; text counts by the number it holds."""
+    if isinstance(data_type, T.StringType) and not isinstance(bound, str):
+        return v.try_cast("double")
+    return v
+
+
 def _bad(df: DataFrame, rule: Rule) -> tuple[Column, Column] | None:
-    """(unexpected predicate, value shown in samples) for a value rule."""
+    """(unexpected predicate, value shown in samples) for a value rule.
+
+    Text that holds no number cannot satisfy a numeric bound: it is unexpected.
+    """
     v = _value(df, rule.column)
+    data_type = df.schema[rule.column].dataType
     if rule.kind == "not_null":
-        return v.isNull(), F.lit(None).cast("string")
+        blank = (v == "") if isinstance(data_type, T.StringType) else F.lit(False)
+        return v.isNull() | blank, F.lit(None).cast("string")
     if rule.kind == "between":
         lo, hi, parse_date = rule.params
         if parse_date:
-            ts = to_timestamp_tolerant(v, df.schema[rule.column].dataType)
+            ts = to_timestamp_tolerant(v, data_type)
             lo_c, hi_c = F.lit(str(lo)).cast("timestamp"), F.lit(str(hi)).cast("timestamp")
             return ts.isNotNull() & ((ts < lo_c) | (ts > hi_c)), ts.cast("string")
-        return v.isNotNull() & ((v < F.lit(lo)) | (v > F.lit(hi))), v.cast("string")
+        x = _number(v, data_type, lo)
+        return v.isNotNull() & F.coalesce((x < F.lit(lo)) | (x > F.lit(hi)), F.lit(True)), v.cast("string")
     if rule.kind == "in_set":
         (allowed,) = rule.params
         return v.isNotNull() & ~v.isin(list(allowed)), v.cast("string")
     if rule.kind == "gte":
         (value,) = rule.params
-        return v.isNotNull() & (v < F.lit(value)), v.cast("string")
+        x = _number(v, data_type, value)
+        return v.isNotNull() & F.coalesce(x < F.lit(value), F.lit(True)), v.cast("string")
     return None
 
 
@@ -147,35 +162,62 @@ def _static(df: DataFrame, rule: Rule) -> tuple[bool, str | None, str | None]:
     return True, None, None
 
 
+def _counted(df: DataFrame, bad: dict[int, tuple]) -> tuple[int | None, dict[int, int], dict[int, str]]:
+    """(rows, unexpected rows by rule, errors by rule): one aggregate; if that
+    fails, one per rule, so that a rule that cannot run is told from the others."""
+    def run(part):
+        got = df.agg(F.count(F.lit(1)).alias("__n"),
+                     *[F.count_if(pred).alias(f"__u{i}") for i, (pred, _) in part.items()]).first()
+        return int(got["__n"]), {i: int(got[f"__u{i}"]) for i in part}
+
+    try:
+        rows, counts = run(bad)
+        return rows, counts, {}
+    except PySparkException:
+        rows, _ = run({})  # an error here is the dataset's, not a rule's
+    counts, errors = {}, {}
+    for i, pair in bad.items():
+        try:
+            counts.update(run({i: pair})[1])
+        except PySparkException as exc:
+            errors[i] = f"{type(exc).__name__}: {exc}"
+    return rows, counts, errors
+
+
 def validate(df: DataFrame, rules: list[Rule], dataset: str,
              sample_order: list[str] | None = None, samples: bool = True) -> DataFrame:
     """One result row per rule (schema ``RESULT_SCHEMA``).
 
     The counts come from ONE aggregate action over ``df`` (a single row of
-    ``#rules`` numbers reaches the driver, never data rows).  Failing-value
-    samples are then fetched only for the value rules that failed, each as
-    a bounded top-k branch (at most ``SAMPLE_SIZE`` values per rule return).
+    ``#rules`` numbers reaches the driver, never data rows); a list of schema
+    rules alone reads nothing.  Failing values are then fetched for the value
+    rules that failed, in one more scan.
     """
-    count_cols = [F.count(F.lit(1)).alias("__n")]
-    plans = []
+    plans, bad = [], {}
     for i, rule in enumerate(rules):
         ok, observed, error = _static(df, rule)
-        schema_only = error or rule.kind in ("columns", "exists", "type", "row_count")
-        bad = None if schema_only else _bad(df, rule)
-        if bad is not None:
-            count_cols.append(F.count_if(bad[0]).alias(f"__u{i}"))
-        plans.append((i, rule, ok, observed, error, bad))
-    counts = df.agg(*count_cols).first()
-    n = int(counts["__n"])
+        if not error and rule.kind not in ("columns", "exists", "type", "row_count"):
+            try:
+                bad[i] = _bad(df, rule)
+                df.select(bad[i][0], bad[i][1])  # types are checked here
+            except PySparkException as exc:
+                bad.pop(i, None)
+                ok, error = False, f"{type(exc).__name__}: {exc}"
+        plans.append((i, rule, ok, observed, error))
+    n, counts, errors = None, {}, {}
+    if bad or any(rule.kind == "row_count" for rule in rules):
+        n, counts, errors = _counted(df, bad)
     rows, sample_specs = [], []
-    for i, rule, ok, observed, error, bad in plans:
+    for i, rule, ok, observed, error in plans:
         head = (dataset, i, rule.expectation_type, rule.column, dict(rule.kwargs))
-        if bad is not None:
-            u = int(counts[f"__u{i}"])
+        if i in counts:
+            u = counts[i]
             pct = _round_half_up(u * 100.0 / n, 2) if n > 0 else 0.0
             rows.append(head + (u == 0, n, u, pct, [], None, None))
             if u > 0 and rule.kind != "not_null":
-                sample_specs.append((i, bad))
+                sample_specs.append((i, bad[i]))
+        elif i in errors:
+            rows.append(head + (False, None, None, None, None, None, errors[i]))
         elif rule.kind == "row_count" and not error:
             lo, hi = rule.params
             rows.append(head + (lo <= n <= hi, n, None, None, None, str(n), None))
@@ -200,27 +242,36 @@ def sample_values(df: DataFrame, specs: list[tuple[int, tuple[Column, Column]]],
     """(rule_id, __samples): up to ``k`` failing values for each listed rule
     (a rule without failing rows gets no row).
 
-    Each branch is a top-k (``orderBy().limit()`` -> TakeOrderedAndProject),
-    so every partition forwards at most ``k`` rows.
+    One scan: each row yields an entry per rule it fails, and a rank per rule
+    keeps the first ``k``; the rank limit is applied in each partition before
+    the exchange.
     """
-    order = order or []
-    branches = []
-    for i, (pred, shown) in specs:
-        keys = [F.col(f"`{c}`") for c in order] + [shown]
-        picked = (df.where(pred)
-                  .select(F.struct(*[x.alias(f"k{j}") for j, x in enumerate(keys)]).alias("__o"),
-                          shown.alias("__v"))
-                  .orderBy("__o").limit(k)
-                  .select(F.lit(i).alias("rule_id"), "__o", "__v"))
-        branches.append(picked)
-    allrows = branches[0]
-    for b in branches[1:]:
-        allrows = allrows.unionByName(b)
-    return allrows.groupBy("rule_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("__o", "__v"))), lambda x: x["__v"])
+    keys = [F.col(f"`{c}`").alias(f"k{j}") for j, c in enumerate(order or [])]
+    entries = F.array(*[F.when(pred, F.struct(F.lit(i).alias("rule_id"), shown.alias("__v"))) for i, (pred, shown) in specs])
+    failed = df.select(*keys, F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("e"))
+    flat = failed.select(*[F.col(f"k{j}") for j in range(len(keys))], "e.rule_id", "e.__v")
+    ranked = [F.col(f"k{j}").asc_nulls_first() for j in range(len(keys))] + [F.col("__v").asc_nulls_first()]
+    place = F.row_number().over(Window.partitionBy("rule_id").orderBy(*ranked))
+    first = flat.withColumn("__place", place).where(F.col("__place") <= k)
+    return first.groupBy("rule_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("__place", "__v"))), lambda x: x["__v"])
         .alias("__samples"))
 
 
+def not_in_table(df: DataFrame, column: str, allowed: DataFrame, allowed_column: str) -> DataFrame:
+    """Q6 against a table of any size: (element_count, unexpected_count) of the
+    non-missing values that ``allowed`` does not hold.  Values are counted
+    first, so the anti join moves one row per distinct value and task."""
+    v = _value(df, column)
+    values = df.groupBy(v.alias("__v")).agg(F.count(F.lit(1)).alias("n"))
+    known = allowed.select(F.col(f"`{allowed_column}`").alias("__v")).where("__v is not null").distinct().withColumn("__hit", F.lit(1))
+    joined = values.join(known, "__v", "left")
+    return joined.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("element_count"),
+        F.coalesce(F.sum(F.when(F.col("__v").isNotNull() & F.col("__hit").isNull(), F.col("n"))), F.lit(0))
+        .alias("unexpected_count"))
+
+
 def summary(results: DataFrame) -> DataFrame:
     """total / passed / failed / pass % (1 decimal) / status over all rule rows."""
     agg = results.agg(F.count(F.lit(1)).alias("total_checks"),

@@ -1,4 +1,4 @@
-"""Size-checked broadcast of small derived tables."""
+"""Small derived tables, written once and read by every later use."""
 
 from __future__ import annotations
 
@@ -8,26 +8,25 @@ from pyspark.sql import functions as F
 from ..session import work_path
 
 
-def materialize(df: DataFrame, name: str = "table") -> tuple[DataFrame, int]:
-    """Write ``df`` once as parquet under the shared checkpoint folder and
-    read it back; the row count is observed by the same write job.
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
 
-    The written copy cuts the lineage: a lost executor re-reads files
-    instead of recomputing the plan that produced them.
+    The written copy cuts the lineage, and its file sizes are known: the
+    planner broadcasts it below ``spark.sql.autoBroadcastJoinThreshold`` bytes
+    and joins by shuffle beyond that.  The rows read back are counted against
+    the rows written, so a folder that not every machine sees is an error and
+    not an empty table.
     """
     obs = Observation(f"rows_{name}")
     path = work_path(df.sparkSession, name)
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     # the schema is known: read back without a footer-inference job
-    return df.sparkSession.read.schema(df.schema).parquet(path), int(obs.get["rows"])
+    return verified(df.sparkSession.read.schema(df.schema).parquet(path), int(obs.get["rows"]), path)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int, name: str = "small") -> DataFrame:
-    """Materialize a small derived table and broadcast it if it is small.
-
-    The table is marked for broadcast only when its observed row count is
-    within ``max_rows``; beyond that bound the plain table is returned and
-    the planner falls back to a shuffle join.
-    """
-    small, rows = materialize(df, name)
-    return F.broadcast(small) if rows <= max_rows else small
+def verified(df: DataFrame, rows: int, path: str) -> DataFrame:
+    """``df`` if it has ``rows`` rows, else an error."""
+    found = df.count()
+    if found != rows:
+        raise RuntimeError(f"{path}: {rows} rows written, {found} read back; is the folder shared?")
+    return df

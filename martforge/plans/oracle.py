@@ -11,9 +11,17 @@ from __future__ import annotations
 
 import json
 
-from ..schemas import RAW_LEDGER_COLUMNS
-from ..sources.derived import HOLIDAY_RULES
-from ..sources.lookups import RETAIL_HOLIDAYS
+# Every name, rule and constant below is written out here and not taken from the
+# engine, so that a wrong one there cannot hide.
+LEDGER_TYPES = {
+    "Row ID": "bigint", "Order ID": "string", "Order Date": "string", "Ship Date": "string",
+    "Ship Mode": "string", "Customer ID": "string", "Customer Name": "string", "Segment": "string",
+    "Country": "string", "City": "string", "State": "string", "Postal Code": "bigint",
+    "Region": "string", "Product ID": "string", "Category": "string", "Sub-Category": "string",
+    "Product Name": "string", "Sales": "double", "Quantity": "int", "Discount": "double",
+    "Profit": "double",
+}
+RAW_LEDGER_COLUMNS = list(LEDGER_TYPES)
 
 
 def rnd(expr: str, digits: int) -> str:
@@ -32,31 +40,61 @@ def lit(v) -> str:
     return repr(v)
 
 
-def money_sum(x: str, scale: int = 4) -> str:
-    return f"CAST(SUM(CAST(ROUND(({x}) * {10 ** scale}) AS BIGINT)) AS DOUBLE) / {float(10 ** scale)}"
+def money_sum(x: str) -> str:
+    """Exact decimal sum; by way of text, so that both conversions round correctly."""
+    return f"CAST(CAST({exact_sum(x)} AS VARCHAR) AS DOUBLE)"
+
+
+def exact_sum(x: str) -> str:
+    return f"SUM(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,18)))"
+
+
+def money_avg(x: str) -> str:
+    return f"({money_sum(x)}) / COUNT({x})"
 
 
-def money_avg(x: str, scale: int = 4) -> str:
-    return f"({money_sum(x, scale)}) / COUNT({x})"
+def rolling(window: str) -> str:
+    return f"CAST(CAST(SUM(total) OVER {window} AS VARCHAR) AS DOUBLE) / COUNT(total) OVER {window}"
 
 
-_RULE_ROWS = ",\n    ".join(
-    f"({i}, {lit(n)}, {lit(t)}, {lit(r)}, {m}, {a}, {b}, {lit(s)})"
-    for i, (n, t, r, m, a, b, s) in enumerate(HOLIDAY_RULES))
-_NAMES = ", ".join(lit(n) for n in RETAIL_HOLIDAYS)
+_RULE_ROWS = """(0, 'New Year''s Day', 'National holiday', 'fixed', 1, 1, 0, ''),
+    (1, 'Martin Luther King Jr. Day', 'National holiday', 'nth', 1, 2, 3, ''),
+    (2, 'Valentine''s Day', 'Observance', 'fixed', 2, 14, 0, ''),
+    (3, 'Presidents'' Day', 'National holiday', 'nth', 2, 2, 3, ''),
+    (4, 'Tax Day', 'Observance', 'fixed', 4, 15, 0, ''),
+    (5, 'Mother''s Day', 'Observance', 'nth', 5, 1, 2, ''),
+    (6, 'Memorial Day', 'National holiday', 'last', 5, 2, 0, ''),
+    (7, 'Father''s Day', 'Observance', 'nth', 6, 1, 3, 'T00:00:00-04:00'),
+    (8, 'Independence Day', 'National holiday', 'fixed', 7, 4, 0, ''),
+    (9, 'Labor Day', 'National holiday', 'nth', 9, 2, 1, ''),
+    (10, 'Columbus Day', 'National holiday', 'nth', 10, 2, 2, ''),
+    (11, 'Halloween', 'Observance', 'fixed', 10, 31, 0, ''),
+    (12, 'Veterans Day', 'National holiday', 'fixed', 11, 11, 0, ''),
+    (13, 'Thanksgiving Day', 'National holiday', 'nth', 11, 5, 4, ''),
+    (14, 'Christmas Eve', 'Observance', 'fixed', 12, 24, 0, ''),
+    (15, 'Christmas Day', 'National holiday', 'fixed', 12, 25, 0, ''),
+    (16, 'Christmas Day', 'Christian', 'fixed', 12, 25, 0, ''),
+    (17, 'Valentine''s Day', 'Observance', 'none', 2, 0, 0, ''),
+    (18, 'Mother''s Day', 'Observance', 'fixed', 7, 4, 0, '')"""
+_NAMES = """'New Year''s Day', 'Martin Luther King Jr. Day', 'Presidents'' Day', 'Memorial Day',
+    'Independence Day', 'Labor Day', 'Columbus Day', 'Veterans Day', 'Thanksgiving Day',
+    'Christmas Day', 'Valentine''s Day', 'Mother''s Day', 'Father''s Day'"""
 
 CTES: dict[str, tuple[str, list[str]]] = {
-    "cg": ("""SELECT c.c_custkey, c.c_name, c.c_nationkey, c.c_mktsegment, c.c_acctbal,
-           n.n_name, r.r_regionkey, r.r_name
+    "cg": ("""SELECT c.c_custkey, 'Customer ' || CAST(c.c_custkey - c.c_custkey % 2 AS VARCHAR) AS c_name,
+           c.c_nationkey, c.c_mktsegment, n.n_name, r.r_regionkey,
+           CASE r.r_name WHEN 'EUROPE' THEN 'Central' WHEN 'ASIA' THEN 'East' WHEN 'AFRICA' THEN 'South'
+                WHEN 'AMERICA' THEN 'West' ELSE r.r_name END AS r_name
     FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
     JOIN region r ON n.n_regionkey = r.r_regionkey""", []),
     "raw": ("""SELECT l.l_orderkey * 10 + l.l_linenumber AS "Row ID",
       'ORD-' || CAST(o.o_orderkey AS VARCHAR) AS "Order ID",
-      CASE WHEN o.o_orderstatus = 'P' AND o.o_orderpriority = '5-LOW' THEN ''
+      CASE WHEN o.o_orderstatus = 'P' AND o.o_orderpriority = '5-LOW' THEN NULL
            ELSE strftime(CAST(o.o_orderdate AS DATE), '%-m/%-d/%Y') END AS "Order Date",
       strftime(CAST(l.l_shipdate AS DATE), '%-m/%-d/%Y') AS "Ship Date",
       o.o_orderpriority AS "Ship Mode",
-      'CUST-' || CAST(cg.c_custkey AS VARCHAR) AS "Customer ID",
+      CASE WHEN o.o_orderstatus = 'P' AND o.o_orderpriority = '4-NOT SPECIFIED' THEN NULL
+           ELSE 'CUST-' || CAST(cg.c_custkey AS VARCHAR) END AS "Customer ID",
       cg.c_name AS "Customer Name", cg.c_mktsegment AS "Segment",
       'United States' AS "Country",
       'City ' || CAST(cg.c_nationkey AS VARCHAR) || '-' || CAST(o.o_orderkey % 4 AS VARCHAR) AS "City",
@@ -65,12 +103,13 @@ CTES: dict[str, tuple[str, list[str]]] = {
       cg.r_name AS "Region",
       'PART-' || CAST(l.l_partkey AS VARCHAR) AS "Product ID",
       p.p_type AS "Category", p.p_brand AS "Sub-Category",
-      p.p_name || ', ' || p.p_brand AS "Product Name",
+      p.p_name || ', ' || chr(147) || p.p_brand || chr(148) || chr(160) AS "Product Name",
       l.l_extendedprice AS "Sales", CAST(l.l_quantity AS INTEGER) AS "Quantity",
       l.l_discount AS "Discount",
       l.l_extendedprice * (CAST(0.25 AS DOUBLE) - l.l_discount * CAST(3.0 AS DOUBLE)) AS "Profit"
     FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-    JOIN cg ON o.o_custkey = cg.c_custkey JOIN part p ON l.l_partkey = p.p_partkey""", ["cg"]),
+    JOIN cg ON o.o_custkey = cg.c_custkey JOIN part p ON l.l_partkey = p.p_partkey
+    JOIN (VALUES (0), (1)) t(copy) ON t.copy = 0 OR l.l_orderkey % 500 = 3""", ["cg"]),
     "clean": ("""SELECT * REPLACE (
       CAST(try_strptime("Order Date", '%m/%d/%Y') AS DATE) AS "Order Date",
       replace(replace(replace(replace("Product Name", ',', ' -'), chr(147), '"'), chr(148), '"'),
@@ -79,7 +118,7 @@ CTES: dict[str, tuple[str, list[str]]] = {
     "dim": ("""SELECT 'CUST-' || CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS customer_name,
       c_mktsegment AS segment, 'City ' || CAST(c_nationkey AS VARCHAR) || '-0' AS city,
       n_name AS state, r_name AS region
-    FROM cg WHERE c_acctbal >= 0""", ["cg"]),
+    FROM cg""", ["cg"]),
     "years": ("""SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders
     WHERE o_orderdate IS NOT NULL""", []),
     "hrules": (f"""SELECT * FROM (VALUES
@@ -115,8 +154,10 @@ CTES: dict[str, tuple[str, list[str]]] = {
                 ["wdays"]),
     "sh": ("""SELECT c.*, h.holiday_name, h.holiday_date FROM clean c
     LEFT JOIN hol h ON c."Order Date" = h.holiday_date""", ["clean", "hol"]),
-    "daily": ("""SELECT "Order Date" AS d, SUM(CAST(ROUND("Sales" * 10000) AS BIGINT)) AS units
+    "daily": (f"""SELECT "Order Date" AS d, {exact_sum('"Sales"')} AS total
     FROM sh GROUP BY 1""", ["sh"]),
+    "regional": (f"""SELECT "Region" AS r, "Order Date" AS d, {exact_sum('"Sales"')} AS total
+    FROM sh WHERE "Order Date" IS NOT NULL GROUP BY 1, 2""", ["sh"]),
     "tg": ("""SELECT year(holiday_date) AS y, max(holiday_date) AS tg FROM hol
     WHERE holiday_name = 'Thanksgiving Day' AND holiday_date IS NOT NULL GROUP BY 1""", ["hol"]),
     "dayt": (f"""SELECT d,
@@ -126,8 +167,8 @@ CTES: dict[str, tuple[str, list[str]]] = {
         AS days_since_last_holiday,
       CASE WHEN d BETWEEN (SELECT tg FROM tg WHERE tg.y = year(d)) AND make_date(year(d), 12, 25)
            THEN 1 ELSE 0 END AS holiday_shopping_season_flag,
-      {rnd("CAST(SUM(units) OVER w7 AS DOUBLE) / 10000.0 / COUNT(units) OVER w7", 2)} AS rolling_sales_7d,
-      {rnd("CAST(SUM(units) OVER w30 AS DOUBLE) / 10000.0 / COUNT(units) OVER w30", 2)} AS rolling_sales_30d
+      {rnd(rolling("w7"), 2)} AS rolling_sales_7d,
+      {rnd(rolling("w30"), 2)} AS rolling_sales_30d
     FROM (SELECT *, date_diff('day', DATE '1970-01-01', d) AS dn FROM daily WHERE d IS NOT NULL)
     WINDOW w7 AS (ORDER BY dn RANGE BETWEEN 6 PRECEDING AND CURRENT ROW),
            w30 AS (ORDER BY dn RANGE BETWEEN 29 PRECEDING AND CURRENT ROW)""", ["daily", "hol", "tg"]),

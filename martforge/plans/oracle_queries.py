@@ -3,26 +3,29 @@
 from __future__ import annotations
 
 import json
+from collections import namedtuple
 
-from ..functions.columns import normalized_name
-from ..operators.features import DAY_FEATURES, ROW_FEATURES, WEATHER_FLAGS
-from ..operators.joins import DIM_COLUMNS
-from ..schemas import CUSTOMER_EXTRACT_COLUMNS, RAW_LEDGER, RAW_LEDGER_COLUMNS, WEATHER_COLUMNS
-from ..sources.lookups import REGIONS
-from . import catalog
-from .oracle import (DQ_SELECT, columns_observed, dq_count_row, dq_rowcount_row, dq_static_row,
-                     lit, money_avg, money_sum, q, rnd, sql, with_)
+from .oracle import (DQ_SELECT, LEDGER_TYPES, RAW_LEDGER_COLUMNS, columns_observed, dq_count_row,
+                     dq_rowcount_row, dq_static_row, lit, money_avg, money_sum, q, rnd, rolling, sql, with_)
 
 ORACLE: dict[str, str] = {}
 
-# ------------------------------------------------------------------ column types
-CLEAN_TYPES = {f.name: f.dataType.simpleString() for f in RAW_LEDGER.fields}
-CLEAN_TYPES["Order Date"] = "date"
-RAW_TYPES = {f.name: f.dataType.simpleString() for f in RAW_LEDGER.fields}
-WIDE_COLUMNS = (["Order Date"] + [c for c in RAW_LEDGER_COLUMNS if c != "Order Date"]
-                + list(DIM_COLUMNS.values()) + ["holiday_name", "holiday_date"] + WEATHER_COLUMNS
-                + ROW_FEATURES + DAY_FEATURES + WEATHER_FLAGS)
-WIDE_TYPES = dict(CLEAN_TYPES, **{c: "string" for c in DIM_COLUMNS.values()},
+# ------------------------------------------------------------------ column names and types
+CUSTOMER_EXTRACT_COLUMNS = ["Customer ID", "Customer Name", "Segment", "Country", "City", "State",
+                            "Postal Code", "Region"]
+WEATHER_COLUMNS = ["temp_c", "precipitation_mm", "snowfall_cm", "wind_speed_kmh"]
+DB_COLUMNS = ["db_customer_name", "db_segment", "db_city", "db_state", "db_region"]
+ROW_FEATURES = ["holiday_flag", "month", "year", "quarter", "weekend_flag", "profit_margin",
+                "back_to_school_flag"]
+DAY_FEATURES = ["days_until_next_holiday", "days_since_last_holiday",
+                "holiday_shopping_season_flag", "rolling_sales_7d", "rolling_sales_30d"]
+WEATHER_FLAGS = ["is_raining", "is_snowing", "extreme_weather_flag"]
+FOLDED = {c: c.lower().replace(" ", "_").replace("-", "_") for c in RAW_LEDGER_COLUMNS}
+RAW_TYPES = dict(LEDGER_TYPES)
+CLEAN_TYPES = dict(LEDGER_TYPES, **{"Order Date": "date"})
+WIDE_COLUMNS = (["Order Date"] + [c for c in RAW_LEDGER_COLUMNS if c != "Order Date"] + DB_COLUMNS
+                + ["holiday_name", "holiday_date"] + WEATHER_COLUMNS + ROW_FEATURES + DAY_FEATURES + WEATHER_FLAGS)
+WIDE_TYPES = dict(CLEAN_TYPES, **{c: "string" for c in DB_COLUMNS},
                   holiday_name="string", holiday_date="date",
                   **{c: "double" for c in WEATHER_COLUMNS},
                   **{c: "int" for c in ROW_FEATURES + WEATHER_FLAGS + DAY_FEATURES[:3]})
@@ -30,6 +33,78 @@ WIDE_TYPES.update(profit_margin="double", rolling_sales_7d="double", rolling_sal
 HOL_TYPES = {"holiday_name": "string", "holiday_date": "date"}
 WEATHER_TYPES = {"weather_region": "string", "weather_date": "string",
                  **{c: "double" for c in WEATHER_COLUMNS}}
+REGIONS = [("Central", 41.8781, -87.6298, "Chicago"), ("East", 40.7128, -74.0060, "New York"),
+           ("South", 33.7490, -84.3880, "Atlanta"), ("West", 34.0522, -118.2437, "Los Angeles")]
+
+# ------------------------------------------------------------------ the rules, written out
+R = namedtuple("R", "expectation_type kind column params")
+
+
+def _columns(*names):
+    return R("expect_table_columns_to_match_set", "columns", None, (names, False))
+
+
+def _rows(lo, hi):
+    return R("expect_table_row_count_to_be_between", "row_count", None, (lo, hi))
+
+
+def _not_null(c):
+    return R("expect_column_values_to_not_be_null", "not_null", c, ())
+
+
+def _type(c, name):
+    return R("expect_column_values_to_be_of_type", "type", c, (name,))
+
+
+def _between(c, lo, hi, dates=False):
+    return R("expect_column_values_to_be_between", "between", c, (lo, hi, dates))
+
+
+def _in_set(c, *values):
+    return R("expect_column_values_to_be_in_set", "in_set", c, (values,))
+
+
+def _gte(c, value):
+    return R("expect_column_values_to_be_greater_than_or_equal_to", "gte", c, (value,))
+
+
+LEDGER_RULES = {
+    "dq_not_null": [_not_null("Order ID"), _not_null("Order Date"), _not_null("missing")],
+    "dq_between": [_between("Quantity", 1, 50), _between("Quantity", 10, 40), _between("Discount", 0.0, 0.05)],
+    "dq_between_date": [_between("Order Date", "1995-01-01", "2001-12-31", True),
+                        _between("Order Date", "1996-01-01", "1999-12-31", True),
+                        _between("Ship Date", "1995-01-01", "2001-06-30", True)],
+    "dq_in_set": [_in_set("Segment", "AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"),
+                  _in_set("Segment", "AUTOMOBILE", "BUILDING")],
+    "dq_gte": [_gte("Sales", 0.0), _gte("Profit", 0.0), _gte("Quantity", 25)],
+    "dq_row_count": [_rows(1, 10 ** 12), _rows(5000, 15000)],
+}
+SUITE_RULES = {
+    "raw_sales": [
+        _columns(*RAW_LEDGER_COLUMNS), _rows(5000, 15000),
+        _not_null("Order ID"), _not_null("Customer ID"), _not_null("Order Date"), _not_null("Sales"),
+        _gte("Sales", 0.0), _gte("Quantity", 1), _between("Order Date", "1995-01-01", "2001-12-31", True)],
+    "raw_holidays": [
+        _columns("holiday_name", "holiday_date"), _not_null("holiday_name"), _not_null("holiday_date"),
+        _between("holiday_date", "1995-01-01", "2001-12-31", True), _rows(10, 150)],
+    "raw_weather": [
+        _columns("weather_region", "weather_date", "temp_c", "precipitation_mm", "snowfall_cm", "wind_speed_kmh"),
+        _not_null("weather_date"), _not_null("weather_region"),
+        _in_set("weather_region", "Central", "East", "South", "West"),
+        _between("temp_c", -50.0, 50.0), _gte("precipitation_mm", 0.0), _gte("snowfall_cm", 0.0)],
+    "final_analytics": [
+        _columns("Order Date", "Customer ID", "Sales", "Profit", "holiday_name", "holiday_flag", "month", "year",
+                 "quarter", "weekend_flag", "profit_margin", "temp_c", "precipitation_mm", "snowfall_cm",
+                 "wind_speed_kmh", "is_raining", "is_snowing", "extreme_weather_flag", "days_until_next_holiday",
+                 "days_since_last_holiday", "holiday_shopping_season_flag", "rolling_sales_7d", "rolling_sales_30d"),
+        _type("Sales", "numeric"), _type("Profit", "numeric"), _type("holiday_flag", "integer"),
+        _in_set("holiday_flag", 0, 1), _in_set("weekend_flag", 0, 1), _in_set("is_raining", 0, 1),
+        _in_set("is_snowing", 0, 1), _in_set("extreme_weather_flag", 0, 1),
+        _in_set("holiday_shopping_season_flag", 0, 1),
+        _between("month", 1, 12), _between("quarter", 1, 4), _between("year", 1995, 2001),
+        _between("profit_margin", -1000.0, 100.0), _gte("days_until_next_holiday", 0),
+        _gte("days_since_last_holiday", 0), _not_null("rolling_sales_7d")],
+}
 INT_FAMILY = {"tinyint", "smallint", "int", "bigint"}
 FAMILIES = {
     "numeric": INT_FAMILY | {"double", "float", "boolean"} | {"decimal"},
@@ -45,7 +120,7 @@ def _bad(rule, types):
     c, t = q(rule.column), types[rule.column]
     v = f"(CASE WHEN NOT isnan({c}) THEN {c} END)" if t == "double" else c
     if rule.kind == "not_null":
-        return f"{c} IS NULL" + (f" OR isnan({c})" if t == "double" else ""), None
+        return f"{c} IS NULL" + (f" OR isnan({c})" if t == "double" else f" OR {c} = ''" if t == "string" else ""), None
     if rule.kind == "between":
         lo, hi, parse_date = rule.params
         if parse_date:
@@ -100,7 +175,7 @@ def dq_query(deps, dataset, source, rules, types, columns):
 
 
 CLEAN_COLUMNS = list(RAW_LEDGER_COLUMNS)
-for _key, _rules in catalog.DQ_LEDGER_RULES.items():
+for _key, _rules in LEDGER_RULES.items():
     ORACLE[_key] = dq_query(["clean"], "ledger", "clean", _rules, CLEAN_TYPES, CLEAN_COLUMNS)
 
 SUITES = {
@@ -115,7 +190,7 @@ SUITES = {
 
 def suite_sql(name):
     deps, source, types, columns, _ = SUITES[name]
-    return dq_query(deps, name, source, catalog.SUITE_RULES[name], types, columns)
+    return dq_query(deps, name, source, SUITE_RULES[name], types, columns)
 
 
 ORACLE["dq_suite_sales"] = suite_sql("raw_sales")
@@ -128,7 +203,7 @@ def _all_suites_body():
     deps, parts, ctes = ["raw", "hol", "weather", "wide"], [], []
     for k, name in enumerate(SUITES):
         _, source, types, columns, _ = SUITES[name]
-        cte, body = dq_rows(name, source, catalog.SUITE_RULES[name], types, columns)
+        cte, body = dq_rows(name, source, SUITE_RULES[name], types, columns)
         ctes.append(cte.replace("counts AS", f"counts{k} AS", 1))
         parts.append(body.replace("FROM counts", f"FROM counts{k}"))
     return with_(*deps)[:-1] + ",\n" + ",\n".join(ctes) + "\n", " UNION ALL ".join(parts)
@@ -147,7 +222,7 @@ FROM (SELECT *, CASE WHEN total_checks > 0 THEN {rnd('passed_checks * 100.0 / to
 def _samples(name):
     deps, source, types, columns, order = SUITES[name]
     parts = []
-    for i, r in enumerate(catalog.SUITE_RULES[name]):
+    for i, r in enumerate(SUITE_RULES[name]):
         if r.kind not in ("between", "in_set", "gte") or r.column not in columns:
             continue
         bad, shown = _bad(r, types)
@@ -165,7 +240,9 @@ ORACLE["dq_samples"] = with_(*(_d1 + _d2)) + " UNION ALL ".join(f"({p})" for p i
 
 # ------------------------------------------------------------------ sources / sinks
 ORACLE["csv_roundtrip"] = sql(["raw"], "SELECT * FROM raw")
-ORACLE["clean_sales_typed"] = sql(["raw"], "SELECT * FROM raw")
+ORACLE["clean_sales_typed"] = sql(["raw"], """SELECT * REPLACE (
+  CASE WHEN "Ship Mode" = '1-URGENT' THEN NULL ELSE "Quantity" END AS "Quantity",
+  CASE WHEN "Ship Mode" = '2-HIGH' THEN NULL ELSE "Sales" END AS "Sales") FROM raw""")
 ORACLE["json_holidays_scan"] = sql(["hol"], "SELECT holiday_name, holiday_date FROM hol")
 ORACLE["json_weather_scan"] = sql(["weather"], "SELECT * FROM weather")
 ORACLE["flatten_weather"] = ORACLE["json_weather_scan"]
@@ -174,7 +251,7 @@ ORACLE["holiday_join_missing_source"] = sql(["clean"], """SELECT "Row ID", "Orde
   CAST(NULL AS INTEGER) AS days_until_next_holiday, CAST(NULL AS INTEGER) AS days_since_last_holiday,
   0 AS holiday_shopping_season_flag FROM clean""")
 _lk = ", ".join(f"({lit(r)}, {a!r}, {b!r}, {lit(c)})" for r, a, b, c in REGIONS)
-ORACLE["region_lookup"] = sql(["raw"], f"""SELECT x."Region", x.line_count, lk.lat, lk.lon, lk.city
+ORACLE["region_lookup"] = sql(["raw"], f"""SELECT x."Region", x.line_count, CAST(lk.lat AS DOUBLE) AS lat, CAST(lk.lon AS DOUBLE) AS lon, lk.city
 FROM (SELECT "Region", COUNT(*) AS line_count FROM raw GROUP BY 1) x
 LEFT JOIN (VALUES {_lk}) lk(region, lat, lon, city) ON x."Region" = lk.region""")
 ORACLE["dim_key_unique"] = sql(["dim"], """SELECT COUNT(*) AS row_count,
@@ -206,7 +283,7 @@ UNION ALL SELECT weather_region, weather_date, CAST(NULL AS DOUBLE), CAST(NULL A
 # ------------------------------------------------------------------ columns / cleaning
 ORACLE["clean_sales"] = sql(["clean"], "SELECT * FROM clean")
 ORACLE["normalize_columns"] = sql(["clean"], "SELECT " + ", ".join(
-    f"{q(c)} AS {normalized_name(c)}" for c in RAW_LEDGER_COLUMNS) + " FROM clean")
+    f"{q(c)} AS {FOLDED[c]}" for c in RAW_LEDGER_COLUMNS) + " FROM clean")
 ORACLE["rename_positional"] = sql(["raw"], "SELECT DISTINCT " + ", ".join(
     f"{q(c)} AS {n}" for c, n in zip(CUSTOMER_EXTRACT_COLUMNS,
                                      ["customer_id", "customer_name", "segment", "country", "city",
@@ -234,7 +311,13 @@ ORACLE["weather_flags"] = sql(["wide"], """SELECT "Row ID", "Order Date", precip
   wind_speed_kmh, is_raining, is_snowing, extreme_weather_flag FROM wide""")
 
 # ------------------------------------------------------------------ day-grain features
-ORACLE["daily_sales"] = sql(["daily"], 'SELECT d AS "Order Date", CAST(units AS DOUBLE) / 10000.0 AS total_daily_sales FROM daily')
+ORACLE["daily_sales"] = sql(["daily"], """SELECT d AS "Order Date",
+  CAST(CAST(total AS VARCHAR) AS DOUBLE) AS total_daily_sales FROM daily""")
+ORACLE["rolling_sales_by_region"] = sql(["regional"], f"""SELECT r AS "Region", d AS "Order Date",
+  {rnd(rolling("w7"), 2)} AS rolling_sales_7d, {rnd(rolling("w30"), 2)} AS rolling_sales_30d
+FROM (SELECT *, date_diff('day', DATE '1970-01-01', d) AS dn FROM regional)
+WINDOW w7 AS (PARTITION BY r ORDER BY dn RANGE BETWEEN 6 PRECEDING AND CURRENT ROW),
+       w30 AS (PARTITION BY r ORDER BY dn RANGE BETWEEN 29 PRECEDING AND CURRENT ROW)""")
 ORACLE["rolling_sales"] = sql(["feat"], 'SELECT "Row ID", "Order Date", rolling_sales_7d, rolling_sales_30d FROM feat')
 ORACLE["days_until_next_holiday"] = sql(["feat"], 'SELECT "Row ID", "Order Date", days_until_next_holiday FROM feat')
 ORACLE["days_since_last_holiday"] = sql(["feat"], 'SELECT "Row ID", "Order Date", days_since_last_holiday FROM feat')
@@ -267,6 +350,19 @@ ORACLE["sample_rows"] = sql(["clean"], "SELECT * FROM clean ORDER BY " + ", ".jo
 _DIMV = ["customer_name", "segment", "city", "state", "region"]
 
 
+ORACLE["publish_replaces"] = sql(["clean"], """SELECT CAST(year("Order Date") AS INTEGER) AS year,
+  COUNT(*) AS line_count FROM clean WHERE year("Order Date") >= 1997 GROUP BY 1""")
+ORACLE["union_weather_partial"] = sql(["weather"], "SELECT * FROM weather")
+ORACLE["load_published"] = sql(["sh"], "SELECT " + ", ".join(
+    f"{q(c)} AS {FOLDED[c]}" for c in RAW_LEDGER_COLUMNS if c not in ("Order Date", "Ship Date")) + """,
+  CAST("Order Date" AS TIMESTAMP) AS order_date, try_strptime("Ship Date", '%m/%d/%Y') AS ship_date,
+  holiday_name, CAST(holiday_date AS TIMESTAMP) AS holiday_date,
+  CASE WHEN holiday_name IS NOT NULL THEN 1 ELSE 0 END AS holiday_flag FROM sh""")
+ORACLE["dq_in_table"] = sql(["raw", "dim"], """SELECT COUNT(*) AS element_count,
+  COUNT(*) FILTER (WHERE "Customer ID" IS NOT NULL AND "Customer ID" NOT IN
+    (SELECT customer_id FROM dim WHERE region <> 'South')) AS unexpected_count FROM raw""")
+
+
 def _dim_build(source: str) -> str:
     order = ", ".join(f"{c} ASC NULLS FIRST" for c in _DIMV)
     return f"""SELECT customer_id, {', '.join(_DIMV)} FROM (
@@ -281,7 +377,8 @@ def _staging(where: str) -> str:
 
 
 ORACLE["customer_dim_build"] = sql(["raw"], _dim_build(f"({_staging('TRUE')})"))
-_EARLY = "\"Ship Mode\" IN ('1-URGENT', '2-HIGH')"
+ORACLE["dim_first_load"] = ORACLE["customer_dim_build"]
+_EARLY = "coalesce(\"Ship Mode\" IN ('1-URGENT', '2-HIGH'), FALSE)"
 ORACLE["customer_dim_upsert"] = sql(["raw"], f"""SELECT coalesce(s.customer_id, t.customer_id) AS customer_id,
   """ + ",\n  ".join(f"CASE WHEN s.customer_id IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}" for c in _DIMV) + f"""
 FROM ({_dim_build(f"({_staging(_EARLY)})")}) t
@@ -311,17 +408,20 @@ ORACLE["bi_profit_trend_by_year"] = sql(["wide"], f"""SELECT year, {money_sum('"
 FROM wide WHERE year <> 2016 OR year IS NULL GROUP BY 1""")
 ORACLE["bi_kpis"] = sql(["wide"], f"""SELECT {money_sum('"Sales"')} AS total_sales,
   {money_sum('"Profit"')} AS total_profit, COUNT(DISTINCT "Order ID") AS total_orders,
-  {money_avg('profit_margin', 2)} AS avg_profit_margin, COUNT(DISTINCT "Customer ID") AS total_customers
+  {money_avg('profit_margin')} AS avg_profit_margin, COUNT(DISTINCT "Customer ID") AS total_customers
 FROM wide""")
 ORACLE["bi_top_products"] = sql(["wide"], f"""SELECT product_name, sum_sales FROM (
   SELECT "Product Name" AS product_name, {money_sum('"Sales"')} AS sum_sales FROM wide GROUP BY 1
   ORDER BY sum_sales DESC, product_name ASC NULLS FIRST LIMIT 10)""")
 ORACLE["bi_top_customers"] = sql(["wide"], f"""SELECT "Customer Name" AS customer_name,
   COUNT("Order ID") AS order_count, {money_sum('"Profit"')} AS sum_profit, {money_sum('"Sales"')} AS sum_sales
-FROM wide WHERE "Customer Name" IN (
-  SELECT customer_name FROM (SELECT "Customer Name" AS customer_name, {money_avg('"Profit"')} AS a
-    FROM wide GROUP BY 1 ORDER BY a DESC, customer_name ASC NULLS FIRST LIMIT 10))
+FROM wide WHERE "Customer ID" IN (
+  SELECT id FROM (SELECT "Customer ID" AS id, {money_avg('"Profit"')} AS a
+    FROM wide WHERE "Customer ID" IS NOT NULL GROUP BY 1 ORDER BY a DESC, id ASC LIMIT 10))
 GROUP BY 1""")
+ORACLE["bi_rows_in_top"] = sql(["wide"], f"""SELECT "Row ID" AS row_id, "Product Name" AS product_name, "Sales" AS sales
+FROM wide WHERE "Product Name" IN (
+  SELECT p FROM (SELECT "Product Name" AS p, {money_sum('"Sales"')} AS s FROM wide GROUP BY 1 ORDER BY s DESC, p LIMIT 5))""")
 ORACLE["bi_customers_by_segment"] = sql(["wide"], """SELECT "Segment" AS segment,
   COUNT(DISTINCT "Customer ID") AS customers FROM wide GROUP BY 1""")
 

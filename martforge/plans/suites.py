@@ -10,7 +10,7 @@ from ..operators import quality as Q
 from ..schemas import RAW_LEDGER_COLUMNS
 from ..sources.lookups import REGION_NAMES
 
-# Reference defaults (parameters): years covered and accepted sizes.
+# Years covered, accepted sizes, columns and bounds of the four rule lists.
 FIRST_YEAR, LAST_YEAR = 2014, 2017
 FINAL_COLUMNS = [
     "Order Date", "Customer ID", "Sales", "Profit", "holiday_name", "holiday_flag",
@@ -72,7 +72,7 @@ def _error_row(dataset: str, exc: Exception) -> DataFrame:
     from pyspark.sql import SparkSession
     spark = SparkSession.getActiveSession()
     row = (dataset, -1, "suite_error", None, {}, False, None, None, None, None, None,
-           f"{type(exc).__name__}: {exc}"[:1000])
+           f"{type(exc).__name__}: {exc}")
     return spark.createDataFrame([row], Q.RESULT_SCHEMA)
 
 

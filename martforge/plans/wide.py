@@ -7,15 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions.cleaning import clean_text, iso_to_date, parse_text_date
 from ..functions.measures import holiday_flag
-from ..operators.days import daily_sales_from_text
+from ..operators.days import daily_totals_from_text
 from ..operators.features import engineer_features
 from ..operators.joins import join_sales_customers, join_sales_holidays, join_sales_weather
-from ..operators.reshape import filter_dedup_holidays, flatten_weather
-from ..operators.sizing import bounded_broadcast
-
-# Bounds for broadcasting derived day-grain inputs (checked at run time).
-HOLIDAY_MAX_ROWS = 100_000      # ~13 per year
-WEATHER_MAX_ROWS = 2_000_000    # regions x days
+from ..operators.reshape import filter_dedup_holidays
+from ..operators.sizing import materialize
 
 
 def clean_sales(raw: DataFrame, date_col: str = "Order Date",
@@ -36,37 +32,36 @@ def build_wide(clean: DataFrame, customers: DataFrame, holidays: DataFrame,
     """Clean ledger ⟕ customers ⟕ holidays ⟕ weather, then features.
 
     * customers: left join, shuffle or broadcast chosen by the planner/AQE;
-    * holidays and weather: day-grain tables, materialized once and broadcast
-      behind a row-count check;
-    * the day table (rolling, proximity, season) is summed from the ledger
-      joined with holidays only: the customer dimension is keyed
-      (primary key) and weather is one row per region-day, so those joins
-      cannot change the daily totals, and the shuffle join with the
-      dimension runs once; given the ``raw`` ledger ``clean`` was made
-      from, the totals are pre-aggregated per date text
-      (``daily_sales_from_text``), so the day job parses distinct texts
-      instead of every row.
+    * holidays and weather: day-grain tables, written once; the planner
+      broadcasts them by their bytes;
+    * the rolling table is summed from the ledger joined with holidays only:
+      the customer dimension is keyed and weather is one row per region-day
+      (``unique_key`` checks say so), so those joins cannot change the daily
+      totals; given the ``raw`` ledger ``clean`` was made from, the totals are
+      pre-aggregated per date text, so the day job parses distinct texts only.
     """
-    h = bounded_broadcast(holidays.select("holiday_name", "holiday_date"), HOLIDAY_MAX_ROWS,
-                          "holidays")
-    rows = join_sales_holidays(join_sales_customers(clean, customers), h)
+    h = materialize(holidays.select("holiday_name", "holiday_date"), "holidays")
+    rows = join_sales_holidays(join_sales_customers(clean, unique_key(customers, ["customer_id"])), h)
     if weather is not None:
-        rows = join_sales_weather(rows, bounded_broadcast(weather, WEATHER_MAX_ROWS, "weather"))
+        w = materialize(weather, "weather")
+        rows = join_sales_weather(rows, unique_key(w, ["weather_region", "weather_date"]))
     if raw is not None:
-        daily = daily_sales_from_text(raw.select("Order Date", "Sales"), h, parse_text_date)
+        daily = daily_totals_from_text(raw.select("Order Date", "Sales"), h, parse_text_date)
         return engineer_features(rows, h, daily=daily)
     daily_source = join_sales_holidays(clean.select("Order Date", "Sales"), h)
     return engineer_features(rows, h, daily_source=daily_source)
 
 
-def wide_from_sources(raw_ledger: DataFrame, customers: DataFrame, holiday_documents: DataFrame,
-                      weather_payloads: DataFrame | None) -> DataFrame:
-    weather = flatten_weather(weather_payloads) if weather_payloads is not None else None
-    return build_wide(clean_sales(raw_ledger), customers,
-                      holidays_from_documents(holiday_documents), weather, raw=raw_ledger)
+def unique_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df``, checked to hold each non-NULL key once (one small aggregate); else an error."""
+    present = df.where(F.concat(*[F.col(k).cast("string") for k in keys]).isNotNull())
+    twice = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not twice.isEmpty():
+        raise ValueError(f"more than one row for a key {keys}: the join would repeat ledger rows")
+    return df
 
 
 def sales_with_holidays(clean: DataFrame, holidays: DataFrame) -> DataFrame:
     """X11: ledger ⟕ holidays with holiday_flag (no customers, no weather)."""
-    h = bounded_broadcast(holidays.select("holiday_name", "holiday_date"), HOLIDAY_MAX_ROWS)
+    h = materialize(holidays.select("holiday_name", "holiday_date"), "holidays")
     return join_sales_holidays(clean, h).withColumn("holiday_flag", holiday_flag())

@@ -8,32 +8,52 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+_local: dict[str, str] = {}
+_made: list[str] = []
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names.
+    """The shared checkpoint folder the cluster names (``spark.checkpoint.dir``).
 
-    The session's ``spark.checkpoint.dir`` (or the context's directory) wins.
-    Only when neither is set, as in local tests, a private folder is chosen.
+    Nothing is set on the session.  Only on a local master, where driver and
+    tasks are one process, a private folder stands in when none is named;
+    anywhere else a missing setting is an error, because files in a folder of
+    one machine are lost to the others.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no context
-        sc = None
-    current = sc.getCheckpointDir() if sc is not None else None
-    if current:
-        return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="martforge-ckpt-")
-    if sc is None:
+        try:
+            configured = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no context
+            configured = None
+    if configured:
         return configured
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on master {master!r}")
+    app = spark.sparkContext.applicationId
+    if app not in _local:
+        _local[app] = tempfile.mkdtemp(prefix="martforge-ckpt-")
+    return _local[app]
 
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/martforge-{name}-{uuid.uuid4().hex}"
+    path = f"{base}/martforge-{name}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clean_work(spark: SparkSession) -> int:
+    """Delete the work paths handed out so far; call it once their results are no
+    longer read.  Returns how many existed."""
+    jvm, gone = spark.sparkContext._jvm, 0
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        gone += path.getFileSystem(conf).delete(path, True)
+    return gone
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -55,5 +75,4 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark

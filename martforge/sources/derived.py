@@ -7,10 +7,14 @@ so this module derives each one, lazily and at the tables' scale, from
 rules are plain data-driven expressions (no sampling, no id filters):
 
 * Order Date is the order's date as ``M/d/yyyy`` text; low-priority pending
-  orders carry no date yet (empty text -> NULL after parsing).
+  orders carry no date yet (NULL).
 * Profit is an invented margin: price * (0.25 - 3 * discount), in double.
-* The customer dimension holds customers in good standing (balance >= 0),
-  so the ledger has customers without a dimension row.
+* Pending orders of unspecified priority come without a customer id, so the
+  ledger has rows that match no dimension row; every customer is in the
+  dimension, and two neighbouring ids share a customer name.
+* The lines of one order in 500 arrive twice (duplicate rows).
+* Product names carry the odd characters of a Latin-1 extract.
+* Four regions get the names the lookups know; the fifth keeps its own.
 * Holidays: the calendar rules below for every year that has orders.
 * Weather: one payload per region over the days that region has orders.
 """
@@ -20,7 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
+# Table regions that stand for the sales regions.
+REGION_OF = {"EUROPE": "Central", "ASIA": "East", "AFRICA": "South", "AMERICA": "West"}
 
 _SCHEMAS: dict[str, object] = {}
 
@@ -37,9 +42,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _customer_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal")
+        "c_custkey", "c_nationkey", "c_mktsegment")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    named = F.coalesce(*[F.when(F.col("r_name") == k, v) for k, v in REGION_OF.items()], F.col("r_name"))
+    r = read_table(spark, sf_dir, "region").select("r_regionkey", named.alias("r_name"))
+    c = c.withColumn("c_name", F.concat(F.lit("Customer "), (F.col("c_custkey") - F.col("c_custkey") % 2).cast("string")))
     # nation and region are tiny files: Spark broadcasts them by file size
     return (c.join(n, c.c_nationkey == n.n_nationkey)
              .join(r, n.n_regionkey == r.r_regionkey))
@@ -63,13 +70,15 @@ def raw_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
            .join(_customer_geo(spark, sf_dir), o.o_custkey == F.col("c_custkey"))
            .join(p, li.l_partkey == p.p_partkey))
     undated = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")
-    return j.select(
+    nobody = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "4-NOT SPECIFIED")
+    twice = F.when(F.col("l_orderkey") % 500 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return j.withColumn("copy", F.explode(twice)).select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("Row ID"),
         F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string")).alias("Order ID"),
-        F.when(undated, F.lit("")).otherwise(_text_date(F.col("o_orderdate"))).alias("Order Date"),
+        F.when(~undated, _text_date(F.col("o_orderdate"))).alias("Order Date"),
         _text_date(F.col("l_shipdate")).alias("Ship Date"),
         F.col("o_orderpriority").alias("Ship Mode"),
-        F.concat(F.lit("CUST-"), F.col("c_custkey").cast("string")).alias("Customer ID"),
+        F.when(~nobody, F.concat(F.lit("CUST-"), F.col("c_custkey").cast("string"))).alias("Customer ID"),
         F.col("c_name").alias("Customer Name"),
         F.col("c_mktsegment").alias("Segment"),
         F.lit("United States").alias("Country"),
@@ -81,7 +90,7 @@ def raw_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("PART-"), F.col("l_partkey").cast("string")).alias("Product ID"),
         F.col("p_type").alias("Category"),
         F.col("p_brand").alias("Sub-Category"),
-        F.concat(F.col("p_name"), F.lit(", "), F.col("p_brand")).alias("Product Name"),
+        F.concat(F.col("p_name"), F.lit(", \u0093"), F.col("p_brand"), F.lit("\u0094\u00a0")).alias("Product Name"),
         F.col("l_extendedprice").alias("Sales"),
         F.col("l_quantity").cast("int").alias("Quantity"),
         F.col("l_discount").alias("Discount"),
@@ -90,8 +99,8 @@ def raw_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customer_dim (6 columns): customers in good standing only."""
-    g = _customer_geo(spark, sf_dir).where(F.col("c_acctbal") >= 0)
+    """customer_dim (6 columns), one row per customer."""
+    g = _customer_geo(spark, sf_dir)
     return g.select(
         F.concat(F.lit("CUST-"), F.col("c_custkey").cast("string")).alias("customer_id"),
         F.col("c_name").alias("customer_name"),
@@ -125,6 +134,7 @@ HOLIDAY_RULES = [
     ("Christmas Day", "National holiday", "fixed", 12, 25, 0, ""),
     ("Christmas Day", "Christian", "fixed", 12, 25, 0, ""),
     ("Valentine's Day", "Observance", "none", 2, 0, 0, ""),
+    ("Mother's Day", "Observance", "fixed", 7, 4, 0, ""),  # two holidays on one date
 ]
 
 

@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LATIN_1 = "ISO-8859-1"
+from ..functions.cleaning import to_timestamp_tolerant
+from ..functions.columns import normalize_columns
+from ..operators.reshape import union_all
+
+LATIN_1 = "ISO-8859-1"  # encoding of the sales extract
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
-             encoding: str = LATIN_1, null_value: str | None = None) -> DataFrame:
+             encoding: str = "UTF-8", null_value: str | None = None) -> DataFrame:
     """Header CSV with an explicit schema; '"' escapes quotes inside fields.
 
     ``path`` may be a glob (``dir/part-*.csv``) or a list, so multi-part
@@ -29,12 +33,14 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite",
               partition_by: list[str] | None = None, encoding: str = "UTF-8") -> None:
-    """Header CSV, NULL written as ``null`` (empty text stays ``""``).
+    """Header CSV, NULL written as ``null`` (empty text stays ``""``, blanks at
+    the ends of a value stay).
 
     No ``coalesce(1)``: every task writes its own part file.
     """
     writer = (df.write.mode(mode).option("header", True).option("nullValue", "null")
-              .option("escape", '"').option("encoding", encoding))
+              .option("escape", '"').option("encoding", encoding)
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.csv(path)
@@ -53,9 +59,10 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 fmt: str = "parquet", cluster_by: list[str] | None = None,
-                files_per_partition: int = 16) -> None:
-    """Publish a table: dynamic partition overwrite replaces only the
-    partitions present in ``df`` (the staged-publish of the reference).
+                files_per_partition: int = 16, keep_others: bool = False) -> None:
+    """Publish a table in place of the one at ``path``: partitions that ``df``
+    does not hold are gone afterwards.  ``keep_others`` replaces only the
+    partitions present in ``df`` instead.
 
     With ``cluster_by`` the rows are hash-partitioned on (partition columns,
     hash(cluster columns) mod ``files_per_partition``) before writing: every
@@ -68,7 +75,8 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
         df = df.repartition(*[F.col(f"`{c}`") for c in partition_by], salt)
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
+        mode = "dynamic" if keep_others else "static"
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", mode)
     writer.save(path)
 
 
@@ -95,3 +103,17 @@ def read_or_empty(spark: SparkSession, load: Callable[[], DataFrame],
         if (exc.getCondition() or "").startswith("PATH_NOT_FOUND"):
             return spark.createDataFrame([], schema)
         raise
+
+
+def load_published(spark: SparkSession, path: str | list[str], schema: T.StructType, date_columns: list[str],
+                   encoding: str = "UTF-8", null_value: str | None = "null") -> DataFrame:
+    """Published part files -> one table: multi-part read, folded column
+    names, the date columns that are present as timestamps (bad text is NULL)."""
+    table = normalize_columns(read_csv(spark, path, schema, encoding, null_value))
+    types = {f.name: f.dataType for f in table.schema.fields}
+    return table.withColumns({c: to_timestamp_tolerant(c, types[c]) for c in date_columns if c in types})
+
+
+def union_available(spark: SparkSession, loads: list[Callable[[], DataFrame]], schema: T.StructType) -> DataFrame:
+    """Union of the parts that can be loaded; a part whose path is missing is skipped."""
+    return union_all([read_or_empty(spark, load, schema) for load in loads])

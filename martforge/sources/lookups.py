@@ -34,7 +34,3 @@ REGION_NAMES = [r[0] for r in REGIONS]
 
 def region_lookup(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(REGIONS, "region string, lat double, lon double, city string")
-
-
-def retail_holiday_names(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(n,) for n in RETAIL_HOLIDAYS], "name string")

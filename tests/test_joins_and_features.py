@@ -130,7 +130,8 @@ def test_day_with_only_null_sales_keeps_proximity(spark):
 
 def test_daily_totals_from_text_match_row_level(spark):
     from martforge.functions.cleaning import parse_text_date
-    from martforge.operators.days import daily_sales_from_text
+    from martforge.functions.measures import as_double
+    from martforge.operators.days import daily_totals_from_text
     raw = spark.createDataFrame(
         [("1/5/2014", 10.25), ("01/05/2014", 1.5), ("1/6/2014", 2.0), ("", 4.0), (None, 1.0),
          ("13/45/2014", 3.0), ("12/25/2014", 7.0), ("12/25/2014", None)], "`Order Date` string, Sales double")
@@ -139,6 +140,29 @@ def test_daily_totals_from_text_match_row_level(spark):
     from martforge.plans.wide import clean_sales
     rowwise = {r["Order Date"]: r.total_daily_sales
                for r in daily_sales(join_sales_holidays(clean_sales(raw.withColumn("Product Name", F.lit("x"))), h)).collect()}
-    fast = {r["Order Date"]: r.total_daily_sales for r in daily_sales_from_text(raw, h, parse_text_date).collect()}
+    totals = daily_totals_from_text(raw, h, parse_text_date)
+    fast = {r[0]: r[1] for r in totals.select("Order Date", as_double(F.col("total"), F.col("special"))).collect()}
     assert fast == rowwise
     assert fast[D(2014, 1, 5)] == 11.75 and fast[D(2014, 12, 25)] == 14.0 and fast[None] == 8.0
+
+
+def test_rolling_within_groups_and_nan(spark):
+    from martforge.operators.days import daily_totals, rolling_sales
+    import math
+    rows = [("a", D(2014, 1, 1), 10.0), ("a", D(2014, 1, 3), 20.0), ("b", D(2014, 1, 2), 7.0),
+            ("b", D(2014, 1, 20), float("nan")), ("b", D(2014, 2, 25), 3.0)]
+    df = spark.createDataFrame(rows, "r string, `Order Date` date, Sales double")
+    got = {(x.r, x["Order Date"].day): x for x in
+           rolling_sales(daily_totals(df, partition_by=("r",)), partition_by=("r",)).collect()}
+    assert got["a", 3].rolling_sales_7d == 15.0 and got["b", 2].rolling_sales_7d == 7.0
+    assert math.isnan(got["b", 20].rolling_sales_30d) and got["b", 25].rolling_sales_30d == 3.0
+
+
+def test_distances_beyond_and_between_holidays(spark):
+    from martforge.operators.days import add_proximity
+    h = spark.createDataFrame([("x", D(2014, 3, 1)), ("y", D(2014, 3, 1)), ("z", D(2014, 3, 5)), (None, None)], HOLIDAYS)
+    days = [D(2010, 1, 1), D(2014, 2, 28), D(2014, 3, 1), D(2014, 3, 3), D(2014, 3, 5), D(2014, 3, 9), None]
+    rows = spark.createDataFrame([(d,) for d in days], "`Order Date` date")
+    got = {r[0]: (r[1], r[2]) for r in add_proximity(rows, h).collect()}
+    assert got == {D(2010, 1, 1): (1520, None), D(2014, 2, 28): (1, None), D(2014, 3, 1): (0, 0), D(2014, 3, 3): (2, 2),
+                   D(2014, 3, 5): (0, 0), D(2014, 3, 9): (None, 4), None: (None, None)}

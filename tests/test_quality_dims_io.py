@@ -10,44 +10,71 @@ from martforge.operators import quality as Q
 from martforge.session import work_path
 from martforge.sources import files, jdbc
 
-SCHEMA = ("id int, name string, age int, score double, category string, "
-          "order_date timestamp, has_nulls double")
-ROWS = [(1, "Alice", 25, 85.5, "A", dt.datetime(2014, 1, 1), 1.0),
-        (2, "Bob", 30, 90.0, "B", dt.datetime(2015, 6, 15), math.nan),
-        (3, "Charlie", 35, 75.0, "C", dt.datetime(2016, 12, 31), 3.0),
-        (4, "David", 40, 95.0, "D", dt.datetime(2017, 12, 31), 4.0)]
+SCHEMA = ("line int, sku string, pieces int, weight double, grade string, "
+          "packed_at timestamp, discount double")
+ROWS = [(71, "bolt", 12, 4.25, "low", dt.datetime(2019, 3, 5), 0.1),
+        (72, "nut", 40, 1.5, "mid", dt.datetime(2019, 7, 9), math.nan),
+        (73, "gear", 7, 90.0, "high", dt.datetime(2020, 2, 29), 0.0),
+        (74, "belt", 25, 11.75, "top", dt.datetime(2021, 11, 1), 0.3)]
 
 
 def _run(spark, rules):
     df = spark.createDataFrame(ROWS, SCHEMA)
-    return [r.asDict() for r in Q.validate(df, rules, "t", sample_order=["id"]).orderBy("rule_id").collect()]
+    return [r.asDict() for r in Q.validate(df, rules, "t", sample_order=["line"]).orderBy("rule_id").collect()]
 
 
 def test_rules_pass_and_fail(spark):
-    rules = [Q.columns_match(["id", "name", "age"]), Q.columns_match(["id", "missing"]),
-             Q.columns_match(["id", "name"], ordered=True),
-             Q.columns_match(["id", "name", "age", "score", "category", "order_date", "has_nulls"], ordered=True),
-             Q.column_exists("id"), Q.column_exists("missing"),
-             Q.not_null("id"), Q.not_null("has_nulls"), Q.not_null("missing"),
-             Q.of_type("id", "integer"), Q.of_type("score", "numeric"), Q.of_type("name", "string"),
-             Q.of_type("order_date", "datetime"), Q.of_type("name", "integer"),
-             Q.between("age", 20, 50), Q.between("score", 70, 100), Q.between("age", 30, 50),
-             Q.between("order_date", "2014-01-01", "2018-01-01", parse_date=True),
-             Q.in_set("category", ["A", "B", "C", "D"]), Q.in_set("category", ["A", "B"]),
-             Q.gte("age", 25), Q.gte("age", 30),
-             Q.row_count_between(2, 6), Q.row_count_between(5, 10)]
-    res = _run(spark, rules)
-    assert [r["success"] for r in res] == [True, False, False, True, True, False, True, False, False,
-                                           True, True, True, True, False, True, True, False, True,
-                                           True, False, True, False, True, False]
+    names = ["line", "sku", "pieces", "weight", "grade", "packed_at", "discount"]
+    cases = [  # (rule, success)
+        (Q.columns_match(["sku", "line"]), True), (Q.columns_match(["line", "absent"]), False),
+        (Q.columns_match(["line", "sku"], ordered=True), False), (Q.columns_match(names, ordered=True), True),
+        (Q.column_exists("weight"), True), (Q.column_exists("absent"), False),
+        (Q.not_null("line"), True), (Q.not_null("discount"), False), (Q.not_null("absent"), False),
+        (Q.of_type("pieces", "integer"), True), (Q.of_type("weight", "numeric"), True),
+        (Q.of_type("sku", "string"), True), (Q.of_type("packed_at", "datetime"), True), (Q.of_type("sku", "integer"), False),
+        (Q.between("pieces", 5, 40), True), (Q.between("pieces", 10, 40), False), (Q.between("weight", 1.5, 90.0), True),
+        (Q.between("packed_at", "2019-01-01", "2022-01-01", parse_date=True), True),
+        (Q.in_set("grade", ["low", "mid", "high", "top"]), True), (Q.in_set("grade", ["low", "mid"]), False),
+        (Q.gte("pieces", 7), True), (Q.gte("pieces", 8), False),
+        (Q.row_count_between(4, 9), True), (Q.row_count_between(5, 9), False)]
+    res = _run(spark, [rule for rule, _ in cases])
+    assert [r["success"] for r in res] == [ok for _, ok in cases]
     assert res[8]["error"] == "Column not found"
     assert res[7]["unexpected_count"] == 1 and res[7]["unexpected_percent"] == 25.0
-    assert res[16]["unexpected_values"] == ["25"]
-    assert res[19]["unexpected_values"] == ["C", "D"] and res[19]["unexpected_percent"] == 50.0
-    assert res[21]["unexpected_values"] == ["25"]
+    assert res[15]["unexpected_values"] == ["7"] and res[21]["unexpected_values"] == ["7"]
+    assert res[19]["unexpected_values"] == ["high", "top"] and res[19]["unexpected_percent"] == 50.0
     assert res[22]["observed"] == "4"
 
 
+def test_text_blank_and_bad_rules(spark):
+    df = spark.createDataFrame([(1, "5", "x"), (2, "", ""), (3, "12", None), (4, "many", "y")], "k int, n string, t string")
+    rules = [Q.not_null("t"), Q.gte("n", 6), Q.between("n", 0, 10), Q.gte("k", 2), Q.in_set("k", [[1]]), Q.not_null("k")]
+    res = {r["rule_id"]: r for r in Q.validate(df, rules, "t", sample_order=["k"]).collect()}
+    assert res[0]["unexpected_count"] == 2  # blank text is missing
+    assert res[1]["unexpected_values"] == ["5", "", "many"] and res[1]["error"] is None
+    assert res[2]["unexpected_values"] == ["", "12", "many"]
+    assert res[3]["unexpected_count"] == 1
+    assert not res[4]["success"] and res[4]["error"]  # one rule that cannot run ...
+    assert res[5]["success"]  # ... leaves the others
+
+
+def test_samples_keep_the_first_of_each_rule(spark):
+    df = spark.range(0, 500).select((F.col("id") * 7 % 500).cast("int").alias("k"), F.col("id").alias("v")).repartition(5)
+    res = {r["rule_id"]: r for r in Q.validate(df, [Q.gte("v", 400), Q.between("k", 0, 20), Q.gte("k", 0)], "t",
+                                               sample_order=["k"]).collect()}
+    order = sorted((int(i) * 7 % 500, int(i)) for i in range(500))
+    assert res[0]["unexpected_values"] == [str(v) for k, v in order if v < 400][:10]
+    assert res[1]["unexpected_values"] == [str(k) for k, v in order if k > 20][:10]
+    assert res[2]["unexpected_values"] == []
+
+
+def test_values_against_a_table(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), ("z",), ("z",)], "c string")
+    allowed = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "id string")
+    assert tuple(Q.not_in_table(df, "c", allowed, "id").first()) == (6, 2)
+    assert tuple(Q.not_in_table(df.limit(0), "c", allowed, "id").first()) == (0, 0)
+
+
 def test_between_dates_midnight_and_unparsable(spark):
     df = spark.createDataFrame([("2017-12-31",), ("2017-12-31 10:00:00",), ("garbage",), (None,), ("2013-12-31",)], "d string")
     r = Q.validate(df, [Q.between("d", "2014-01-01", "2017-12-31", parse_date=True)], "t").collect()[0]
@@ -56,7 +83,7 @@ def test_between_dates_midnight_and_unparsable(spark):
 
 
 def test_summary_status(spark):
-    res = Q.validate(spark.createDataFrame(ROWS, SCHEMA), [Q.column_exists("id")] * 9 + [Q.column_exists("x")], "t")
+    res = Q.validate(spark.createDataFrame(ROWS, SCHEMA), [Q.column_exists("sku")] * 9 + [Q.column_exists("x")], "t")
     s = Q.summary(res).collect()[0]
     assert (s.total_checks, s.passed_checks, s.failed_checks, s.pass_percent, s.status) == (10, 9, 1, 90.0, "Healthy")
 
@@ -89,7 +116,7 @@ def test_csv_roundtrip_latin1_nulls(spark):
     df = spark.createDataFrame([(1, "Café, \u0093best\u0094", None), (2, 'say "hi"', "")], "`Row ID` int, name string, note string")
     path = work_path(spark, "test-csv")
     files.write_csv(df, path, encoding=files.LATIN_1)
-    back = files.read_csv(spark, f"{path}/part-*", df.schema, null_value="null")
+    back = files.read_csv(spark, f"{path}/part-*", df.schema, encoding=files.LATIN_1, null_value="null")
     assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in df.collect())
 
 
@@ -120,9 +147,9 @@ def test_run_suites_skips_absent_and_records_errors(spark):
     def boom():
         raise RuntimeError("unreadable")
 
-    out = run_suites({"present": (lambda: df, [Q.column_exists("id")], None),
-                      "absent": (lambda: None, [Q.column_exists("id")], None),
-                      "broken": (boom, [Q.column_exists("id")], None)})
+    out = run_suites({"present": (lambda: df, [Q.column_exists("sku")], None),
+                      "absent": (lambda: None, [Q.column_exists("sku")], None),
+                      "broken": (boom, [Q.column_exists("sku")], None)})
     got = sorted((r.dataset, r.success, r.error) for r in out.collect())
     assert got == [("broken", False, "RuntimeError: unreadable"), ("present", True, None)]
     assert run_suites({"absent": (lambda: None, [], None)}) is None
@@ -135,8 +162,49 @@ def test_write_table_partitioned_and_clustered(spark):
     files.write_table(df, path, partition_by=["year", "month"], cluster_by=["row_id"])
     back = spark.read.parquet(path)
     assert back.count() == 1000 and back.where("year = 2 AND month = 1").count() == df.where("year = 2 AND month = 1").count()
+    files.write_table(df.where("year = 0"), path, partition_by=["year", "month"], keep_others=True)
+    assert spark.read.parquet(path).count() == 1000
     files.write_table(df.where("year = 0"), path, partition_by=["year", "month"])
-    assert spark.read.parquet(path).count() == 1000  # dynamic overwrite keeps other partitions
+    assert {r.year for r in spark.read.parquet(path).select("year").distinct().collect()} == {0}  # no stale partition
+
+
+def test_plain_csv_round_trip_keeps_other_scripts(spark):
+    df = spark.createDataFrame([(1, " naïve – 東京 ")], "k int, v string")
+    path = work_path(spark, "utf8-csv")
+    files.write_csv(df, path)
+    assert files.read_csv(spark, f"{path}/part-*", df.schema).first().v == " naïve – 東京 "
+
+
+def test_load_published_parts(spark):
+    df = spark.createDataFrame([(1, "2014-01-05", "1/6/2014", None), (2, "bad", None, "x")],
+                               "`Row ID` int, `Order Date` string, `Ship Date` string, `Sub-Category` string")
+    path = work_path(spark, "published")
+    files.write_csv(df.repartition(2), path)
+    back = files.load_published(spark, f"{path}/part-*", df.schema, ["order_date", "ship_date", "holiday_date"])
+    assert back.columns == ["row_id", "order_date", "ship_date", "sub_category"]
+    got = {r.row_id: (r.order_date, r.ship_date) for r in back.collect()}
+    assert got == {1: (dt.datetime(2014, 1, 5), dt.datetime(2014, 1, 6)), 2: (None, None)}
+
+
+def test_union_skips_missing_parts(spark):
+    from martforge.schemas import WEATHER
+    path = work_path(spark, "weather-part")
+    files.write_json(spark.createDataFrame([("East", "2014-01-01", 1.0, 0.0, 0.0, 2.0)], WEATHER), path)
+    gone = work_path(spark, "weather-gone")
+    got = files.union_available(spark, [lambda p=p: files.read_json(spark, p, WEATHER) for p in (gone, path, gone)], WEATHER)
+    assert got.count() == 1 and got.schema == WEATHER
+
+
+def test_dimension_is_created_once_and_checked(spark):
+    import pytest
+    path = work_path(spark, "dimension")
+    assert dims.ensure_dimension(spark, path).count() == 0
+    row = ("1", "a", "S", "c", "s", "r")
+    files.write_table(spark.createDataFrame([row], dims.CUSTOMER_DIM), path)
+    assert dims.ensure_dimension(spark, path).count() == 1
+    files.write_table(spark.createDataFrame([row, row], dims.CUSTOMER_DIM), path)
+    with pytest.raises(ValueError):
+        dims.ensure_dimension(spark, path)
 
 
 def test_json_document_and_record_array_reads(spark):
