@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -23,11 +24,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
     Cuts the lineage: a lost executor rereads files instead of recomputing,
-    and every later use sees the same rows in the same files.
+    and every later use sees the same rows in the same files.  The shuffle
+    files behind it are garbage then; a collection on the driver lets Spark's
+    cleaner delete them now and not whenever the driver's heap next fills.
     """
     spark = df.sparkSession
     path = work_path(spark, name)
     df.write.parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -149,38 +149,49 @@ def t_occurrence(query: np.ndarray, keys: np.ndarray, owner: np.ndarray, sizes:
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, text: str, size: int, percent: int) -> DataFrame:
-    """Links (u, v) among candidate ``pairs`` (q, x) of document ids."""
-    spark = docs.sparkSession
-    ship(spark)
+    """Links (u, v) among candidate ``pairs`` (q, x) of document ids.
+
+    A block is a query document and up to about ``BLOCK`` of its candidates;
+    one join takes every text to the blocks that need it.
+    """
+    ship(docs.sparkSession)
     pairs = stored(pairs, "pairs")
-    involved = pairs.select(F.col("x").alias("_id")).unionByName(pairs.select(F.col("q").alias("_id"))).distinct()
-    texts = stored(docs.join(involved, docs["_id"] == involved["_id"], "left_semi").select("_id", text), "texts")
-    blocks = stored(pairs.groupBy("q").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")), "blocks")
-    dealt = (pairs.join(blocks, "q").withColumn("block", F.pmod(F.xxhash64(F.lit(5), "x"), F.col("blocks")).cast("int"))
-             .drop("blocks"))
-    right = dealt.join(texts.withColumnRenamed("_id", "x"), "x").select("q", "block", "x", text)
-    asked = texts.select(F.col("_id").alias("q"), F.col(text).alias("asked"))
-    left = (blocks.withColumn("block", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))))
-            .join(asked, "q").select("q", "block", "asked"))
-    flat = np.zeros(1 << 1, dtype=np.uint8)
-
-    def search(query: pa.Table, index: pa.Table) -> pa.Table:
-        if not query.num_rows or not index.num_rows:
-            return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
-        wanted, _ = ordered_sets(query.column("asked").combine_chunks().slice(0, 1), size, flat)
-        keys, sizes = ordered_sets(index.column(text).combine_chunks(), size, flat)
-        hit = t_occurrence(wanted, keys, np.repeat(np.arange(len(sizes)), sizes), sizes, percent)
-        x = index.column("x").combine_chunks().filter(pa.array(hit))
-        q = pa.array(np.full(len(x), query.column("q")[0].as_py()), pa.int64())
-        return pa.table({"u": q, "v": x})
-
-    return (left.groupBy("q", "block").cogroup(right.groupBy("q", "block"))
-            .applyInArrow(search, "u bigint, v bigint"))
-
-
-def _postings(classes: DataFrame) -> DataFrame:
-    """Stored postings (token, rep, n, i, pivot, members) of the lists with two members or more."""
-    rows = classes.select("rep", F.col("n_shingles").alias("n"), F.posexplode("prefix").alias("i", "token"))
+    counts = stored(pairs.groupBy("q").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "blocks")
+    dealt = (pairs.join(counts, "q")
+             .select("q", F.pmod(F.xxhash64(F.lit(5), "x"), F.col("blocks")).cast("int").alias("block"), "x"))
+    asked = counts.select("q", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("q").alias("x"))
+    uses = stored(dealt.unionByName(asked), "uses")
+    rows = uses.join(docs.select(F.col("_id").alias("x"), F.col(text).alias("body")), "x")
+    flat = np.zeros(2, dtype=np.uint8)  # any one order serves inside a block
+
+    def search(block: pa.Table) -> pa.Table:
+        q = block.column("q")[0].as_py()
+        is_query = np.asarray(block.column("x")) == q
+        body = block.column("body").combine_chunks()
+        keys, sizes = ordered_sets(body, size, flat)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        query = np.flatnonzero(is_query)[:1]
+        links = np.zeros(len(sizes), dtype=bool)
+        if len(query):
+            links = t_occurrence(keys[owner == query[0]], keys, owner, sizes, percent) & ~is_query
+        x = block.column("x").combine_chunks().filter(pa.array(links))
+        return pa.table({"u": pa.array(np.full(len(x), q), pa.int64()), "v": x})
+
+    return rows.groupBy("q", "block").applyInArrow(search, "u bigint, v bigint")
+
+
+def _postings(sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """Stored postings (token, rep, n, i, pivot, members) of the lists with two members or more.
+
+    Shingles that occur once are found by their counts alone, before anything
+    else is exchanged; copies still count there, which keeps a list too many.
+    """
+    often = (sets.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("c"))
+             .where("c > 1").select("token"))
+    often = stored(often, "tokens")
+    own = sets.join(classes.select(F.col("rep").alias("_id")), "_id", "left_semi")
+    rows = own.select(F.col("_id").alias("rep"), F.col("n_shingles").alias("n"), F.posexplode("prefix").alias("i", "token"))
+    rows = stored(rows.join(often, "token", "left_semi"), "shared")
     # the pivot stands earliest in the list's own order: fewest rarer shingles before it
     key = F.shiftleft(F.col("i").cast("long"), 40).bitwiseOR(F.xxhash64("rep").bitwiseAND(F.lit((1 << 40) - 1)))
     lists = (rows.withColumn("_k", key).groupBy("token")
@@ -240,8 +251,8 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: i
     sets = stored(_sets(docs, text, size, percent, levels), "sets")
     keys = ["n_shingles", "d1", "d2"]
     filled = sets.where("n_shingles > 0")
-    folded = stored(filled.groupBy(*keys).agg(F.min("_id").alias("rep"), F.first("prefix").alias("prefix")), "classes")
-    postings = _postings(folded)
+    folded = stored(filled.groupBy(*keys).agg(F.min("_id").alias("rep")), "classes")
+    postings = _postings(filled, folded)
     links = stored(_verify(_first_pairs(postings, percent), docs, text, size, percent), "first-links")
     more = stored(_more_pairs(postings, components(links), percent), "more-pairs")
     if not more.isEmpty():
