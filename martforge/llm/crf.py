@@ -26,11 +26,11 @@ class Chains:
         self.valid = np.zeros((BLOCK, self.blocks), dtype=bool)
         self.valid[self.step, self.block] = True
 
-    def marginals(self, score: np.ndarray, trans: np.ndarray):
+    def marginals(self, score: np.ndarray, trans: np.ndarray, weight: np.ndarray | None = None):
         """P(toxic) of each token and the expected counts of the four transitions.
 
         ``score`` is each token's log weight of toxic against clean; the state
-        before a sequence is clean.
+        before a sequence is clean.  ``weight`` weighs the counts by sequence.
         """
         m = np.exp(trans)
         x = np.ones((BLOCK, self.blocks))
@@ -79,7 +79,8 @@ class Chains:
             for j in (0, 1):
                 pairs[i, j] = ahead[:-1, i] * m[i, j] * (x if j else 1.0) * behind[1:, j]
         pairs /= pairs.sum(axis=(0, 1))
-        return marginal, (pairs * self.valid).sum(axis=(2, 3))
+        each = self.valid if weight is None else self.valid * np.repeat(weight, self.per)
+        return marginal, (pairs * each).sum(axis=(2, 3))
 
     def _products(self, m: np.ndarray, x: np.ndarray) -> np.ndarray:
         p = np.zeros((2, 2, self.blocks))
@@ -112,9 +113,12 @@ def neighbours(bins: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
     return [bins, before, after]
 
 
-def fit(bins: np.ndarray, tags: np.ndarray, lengths: np.ndarray, size: int, rounds: int = 80,
-        penalty: float = 1.0, rate: float = 0.5) -> tuple[np.ndarray, np.ndarray]:
-    """Emission weights (3, size) and log transitions (2, 2) of greatest penalised likelihood (AdaGrad)."""
+def fit(bins: np.ndarray, tags: np.ndarray, lengths: np.ndarray, size: int, weight: np.ndarray | None = None,
+        rounds: int = 100, penalty: float = 0.5, rate: float = 0.5) -> tuple[np.ndarray, np.ndarray]:
+    """Emission weights (3, size) and log transitions (2, 2) of greatest penalised
+    likelihood (AdaGrad); ``weight`` is how often each sequence counts."""
+    weight = np.ones(len(lengths)) if weight is None else np.asarray(weight, dtype=float)
+    each = np.repeat(weight, lengths)
     chains = Chains(lengths)
     starts = np.zeros(len(bins), dtype=bool)
     lengths = np.asarray(lengths)
@@ -122,11 +126,11 @@ def fit(bins: np.ndarray, tags: np.ndarray, lengths: np.ndarray, size: int, roun
     views = neighbours(bins, starts)
     weights, trans = np.zeros((3, size)), np.zeros((2, 2))
     before = np.where(starts, 0, np.concatenate([[0], tags[:-1]]))
-    seen = np.bincount(before * 2 + tags, minlength=4).reshape(2, 2).astype(float)
+    seen = np.bincount(before * 2 + tags, each, minlength=4).reshape(2, 2)
     square_w, square_t = np.full_like(weights, 1e-6), np.full_like(trans, 1e-6)
     for _ in range(rounds):
-        marginal, expected = chains.marginals(token_score(bins, starts, weights), trans)
-        gap = tags - marginal
+        marginal, expected = chains.marginals(token_score(bins, starts, weights), trans, weight)
+        gap = (tags - marginal) * each
         g = np.stack([np.bincount(v, gap, minlength=size) for v in views]) - penalty * weights
         h = seen - expected - penalty * trans
         h[0, 0] = 0.0  # the scale is fixed by clean-to-clean

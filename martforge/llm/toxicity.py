@@ -3,15 +3,17 @@
 Labels mark documents, so tokens are labelled from them: over all labelled
 training rows, the share of toxic documents among those that hold a hashed
 n-gram (or whole word) gives every token its evidence, the greatest among its
-n-grams, in a fixed number of bins.  In a toxic document the tokens whose
-evidence speaks for toxic (or, failing that, the strongest) are tagged, in
-clean documents none.  The field learns emissions of a token's and its
-neighbours' bins, and transitions, on a bounded sample: about ``PER_CLASS``
-documents of each label, chosen by a hash of the id; their evidence leaves the
-document itself out, so that words it alone holds tell nothing.
-
-A score is the chance that any token is toxic, from forward-backward marginals
-of the whole text, calibrated by logistic regression on the sample; tokens
+n-grams: log odds in bins, crossed with how many documents they rest on.  In a
+toxic document the tokens of the strongest evidence are tagged, in clean
+documents none.  The field learns emissions of a token's and its neighbours'
+bins, and transitions, on a bounded sample: about ``PER_CLASS`` documents of
+each label, chosen by a hash of the id and weighted back to all rows; their
+evidence leaves the document itself out, so that words it alone holds tell
+nothing.
+
+A score combines the chances that any token and that the strongest token is
+toxic, from forward-backward marginals of the whole text, with the length, by
+logistic regression on the sample; tokens
 with a marginal of one half or more are the offending spans.  Null or empty
 texts have no tokens and get the calibrated score of that.  A document with
 several label rows counts as toxic if one says so; null labels are left out.
@@ -32,8 +34,11 @@ from .textkit import list_array, slices
 
 ORDERS = (4, 5)
 BITS = 18
-BINS = 25
-LOW, HIGH = -4.0, 8.0  # log odds that the bins cover
+STEPS = 24  # bins of log odds, from LOW to HIGH
+LOW, HIGH = -4.0, 8.0
+LEVELS = 6  # of support: documents that hold the n-gram, by powers of four
+BINS = STEPS * LEVELS + 1  # 0 stands beyond the ends of a text
+NEAR = 4  # bins below a document's strongest evidence that are tagged with it
 SHRINK = 1.0  # documents of the base rate added to each n-gram
 PER_CLASS = 800
 THRESHOLD = 0.3
@@ -41,55 +46,58 @@ TAGGED = 0.5
 
 
 def _evidence(counts: np.ndarray, without: int | None = None) -> np.ndarray:
-    """Log odds of toxic for each cell, shrunk to the base rate; ``without`` leaves
-    out one document of that label (the one that is looked at)."""
+    """Bin of each cell: log odds of toxic, shrunk to the base rate, then support.
+    ``without`` leaves out one document of that label (the one that is looked at)."""
     clean_docs, toxic = (np.maximum(counts[k, :-1] - (k == without), 0) for k in (0, 1))
     base = counts[1, -1] / max(counts[:, -1].sum(), 1.0)
     p = (toxic + SHRINK * base) / (toxic + clean_docs + SHRINK)
-    return np.log(p / (1.0 - p))
+    step = np.clip(np.floor((np.log(p / (1.0 - p)) - LOW) / (HIGH - LOW) * STEPS), 0, STEPS - 1)
+    level = np.clip(np.floor(np.log2(np.maximum(toxic + clean_docs, 1.0)) / 2), 0, LEVELS - 1)
+    return (1 + step * LEVELS + level).astype(np.int16)
 
 
-def _bin(odds: np.ndarray) -> np.ndarray:
-    """Bin 1 .. BINS - 1 of the log odds; 0 is beyond the ends of a text."""
-    return np.clip(np.floor((odds - LOW) / (HIGH - LOW) * (BINS - 1)) + 1, 1, BINS - 1).astype(np.int64)
-
-
-def _token_odds(texts: pa.Array, odds: np.ndarray):
-    """Words of a slice and each token's evidence."""
+def _token_bins(texts: pa.Array, bins: np.ndarray):
+    """Words of a slice and each token's bin, the greatest of its cells."""
     words, vocab, index = vocabulary(texts)
     cells, begin = by_word(*word_ngrams(vocab, ORDERS, BITS, True), len(vocab))
-    best = np.maximum.reduceat(odds[cells], begin[:-1]) if len(vocab) else np.zeros(0)
-    return words, best[index]
+    best = np.maximum.reduceat(bins[cells], begin[:-1]) if len(vocab) else np.zeros(0, dtype=np.int16)
+    return words, best[index].astype(np.int64)
+
+
+def _tags(bins: np.ndarray, toxic: int) -> np.ndarray:
+    """1 for the tokens of a toxic document that are nearest to its strongest evidence."""
+    step = (bins - 1) // LEVELS
+    if not toxic or not len(step):
+        return np.zeros(len(step), dtype=np.int64)
+    even = int((0.0 - LOW) / (HIGH - LOW) * STEPS)
+    return (step >= min(max(step.max() - NEAR, even), step.max())).astype(np.int64)
 
 
-def _sampled(docs: DataFrame, odds) -> DataFrame:
-    """(id, toxic, odds) of the sampled documents: token evidence from all other documents."""
+def _sampled(docs: DataFrame, tables) -> DataFrame:
+    """(id, toxic, bins) of the sampled documents: token evidence from all other documents."""
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
                 kinds = part.column("toxic").to_numpy(zero_copy_only=False)
-                words, value = _token_odds(part.column("text"), odds.value[0])
-                _, other = _token_odds(part.column("text"), odds.value[1])
+                words, value = _token_bins(part.column("text"), tables.value[0])
+                _, other = _token_bins(part.column("text"), tables.value[1])
                 value = np.where(kinds[words.doc] == 1, other, value)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("toxic"), list_array(value.astype(np.float32), words.count, pa.float32())],
-                    ["id", "toxic", "odds"])
+                    [part.column("id"), part.column("toxic"), list_array(value, words.count, pa.int16())],
+                    ["id", "toxic", "bins"])
 
-    return map_arrow(docs, run, "id bigint, toxic int, odds array<float>")
+    return map_arrow(docs, run, "id bigint, toxic int, bins array<smallint>")
 
 
 class Model:
-    """Evidence per cell, emission weights, transitions and the calibration of document scores."""
+    """Bin of each cell, emission weights, transitions and the calibration of document scores."""
 
-    def __init__(self, odds, weights, trans, scale):
-        self.odds, self.weights, self.trans, self.scale = odds, weights, trans, scale
-
-    def marginals(self, value: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        return _marginals(value, lengths, self.weights, self.trans)
+    def __init__(self, bins, weights, trans, scale):
+        self.bins, self.weights, self.trans, self.scale = bins, weights, trans, scale
 
     def score(self, texts: pa.Array) -> list[pa.Array]:
-        words, value = _token_odds(texts, self.odds)
-        marginal = self.marginals(value, words.count)
+        words, value = _token_bins(texts, self.bins)
+        marginal = _marginals(value, words.count, self.weights, self.trans)
         logit = _any(marginal, words.first, words.count) @ self.scale
         score = 1.0 / (1.0 + np.exp(-np.clip(logit, -40, 40)))
         bad = np.flatnonzero(marginal >= TAGGED)
@@ -102,15 +110,22 @@ class Model:
 def _marginals(value, lengths, weights, trans):
     starts = np.zeros(len(value), dtype=bool)
     starts[(np.cumsum(lengths) - lengths)[lengths > 0]] = True
-    return Chains(lengths).marginals(token_score(_bin(value), starts, weights), trans)[0]
+    return Chains(lengths).marginals(token_score(value, starts, weights), trans)[0]
+
+
+def _logit(p: np.ndarray) -> np.ndarray:
+    p = np.clip(p, 1e-6, 1 - 1e-6)
+    return np.log(p / (1 - p))
 
 
 def _any(marginal: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """Per text: log odds that any token is toxic, log of its length, one."""
+    """Per text: log odds that any token is toxic and that the strongest one is, log of its length, one."""
     none = np.concatenate([[0.0], np.cumsum(np.log1p(-np.minimum(marginal, 1 - 1e-9)))])
-    none = none[first[1:]] - none[first[:-1]]
-    some = np.clip(-np.expm1(none), 1e-6, 1 - 1e-6)
-    return np.stack([np.log(some / (1 - some)), np.log1p(count), np.ones(len(count))], axis=1)
+    some = -np.expm1(none[first[1:]] - none[first[:-1]])
+    top = np.zeros(len(count))
+    if len(marginal):
+        top[count > 0] = np.maximum.reduceat(marginal, first[:-1][count > 0])
+    return np.stack([_logit(some), _logit(top), np.log1p(count), np.ones(len(count))], axis=1)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-2) -> np.ndarray:
@@ -145,20 +160,15 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", per_class: int
     # about 2 * per_class ids, by the sampling rates above: small whatever the input
     sample = _sampled(rows.join(F.broadcast(chosen), "id"), others).toPandas().sort_values("id", kind="stable")
     y = sample["toxic"].to_numpy(dtype=np.int64)
-    value = [np.asarray(v, dtype=float) for v in sample["odds"]]
-    tags = []
-    for v, toxic in zip(value, y):
-        tag = ((v >= 0.0) & (toxic == 1)).astype(np.int64)
-        if toxic and len(v) and not tag.any():
-            tag[int(np.argmax(v))] = 1
-        tags.append(tag)
+    value = [np.asarray(v, dtype=np.int64) for v in sample["bins"]]
     lengths = np.array([len(v) for v in value], dtype=np.int64)
-    flat = np.concatenate(value) if value else np.zeros(0)
-    weights, trans = fit(_bin(flat), np.concatenate(tags), lengths, BINS)
+    flat = np.concatenate(value) if value else np.zeros(0, dtype=np.int64)
+    tags = np.concatenate([_tags(v, k) for v, k in zip(value, y)]) if value else flat
+    weight = np.where(y == 1, 1 / rate[1], 1 / rate[0])  # undoes the two sampling rates
+    weights, trans = fit(flat, tags, lengths, BINS, weight / weight.mean())
     first = np.concatenate([[0], np.cumsum(lengths)])
     x = _any(_marginals(flat, lengths, weights, trans), first, lengths)
-    # weights undo the two sampling rates
-    scale = _logistic(x, y.astype(float), np.where(y == 1, 1 / rate[1], 1 / rate[0]))
+    scale = _logistic(x, y.astype(float), weight)
     return Model(_evidence(counts), weights, trans, scale)
 
 
