@@ -5,10 +5,12 @@ similarity reaches ``percent``.  Linked sets of sizes a and b share at least
 T = ceil(percent (a + b) / (100 + percent)) shingles.
 
 1. Equal sets are folded into one class (smallest document id represents it).
-2. Shingles get one global order: shingles that a fixed-size count sketch
-   shows to be frequent come last, else by hash.  Linked sets share a shingle
-   of their prefixes (the first a - ceil(percent a / 100) + 1 in that order).
-   Inverted lists of prefix shingles with one member are dropped.
+2. Shingles get one global order: frequent ones last, else by hash.  Linked
+   sets share a shingle of their prefixes (the first a - ceil(percent a / 100)
+   + 1 in that order), whatever the order; a good one keeps lists short.  Very
+   frequent shingles show in a count sketch of fixed size; of the others the
+   prefixes are counted, and the most frequent (at most ``FREQUENT``) moved
+   back.  Inverted lists of prefix shingles with one member are dropped.
 3. Each list's member with fewest rare shingles is its pivot.  Every member is
    checked against the pivots of its lists, if the shingles that the prefixes
    share leave room for T.  The links found give provisional components.
@@ -40,6 +42,8 @@ from .textkit import Words, list_array, mix, sequence_hash, slices
 SIZE = 4
 PERCENT = 85
 SKETCH_BITS = 18  # counters of the frequency sketch: 2**18, whatever the input
+FREQUENT = 1 << 20  # shingles that are moved back by their counts, whatever the input
+LEAST_FREQUENT = 8  # lists up to here are short
 BLOCK = 64  # sets per index block
 _U = np.uint64
 
@@ -57,7 +61,7 @@ def shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, int]:
 
 
 def _sketch(docs: DataFrame, text: str, size: int, bits: int) -> np.ndarray:
-    """Level of each sketch counter: 0, or how often it doubles the mean count."""
+    """Level of each sketch counter: 0 below twice the mean count, else the logarithm of its count."""
     def count(batches):
         total = np.zeros(1 << bits, dtype=np.int64)
         for batch in batches:
@@ -72,14 +76,40 @@ def _sketch(docs: DataFrame, text: str, size: int, bits: int) -> np.ndarray:
     counts = np.zeros(1 << bits, dtype=np.float64)
     counts[got["cell"].to_numpy(dtype=np.int64)] = got["n"].to_numpy(dtype=np.float64)
     mean = max(counts.mean(), 1.0)
-    return np.clip(np.floor(np.log2(np.maximum(counts / mean, 1.0))), 0, 62).astype(np.uint8)
+    return np.where(counts >= 2 * mean, np.floor(np.log2(np.maximum(counts, 1.0))), 0).astype(np.uint8)
 
 
-def ordered_sets(texts: pa.Array, size: int, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles of each row in the global order (level, hash): flat keys, sizes."""
+class Order:
+    """Level of every shingle: about the logarithm of how often it occurs, 0 if it is rare.
+
+    ``cells`` are the levels by sketch counter, ``frequent`` the sorted keys of
+    shingles that counting showed to be frequent, with their levels.
+    """
+
+    def __init__(self, cells: np.ndarray, frequent: np.ndarray, levels: np.ndarray):
+        self.cells, self.frequent, self.levels = cells, frequent, levels
+        self.bits = np.zeros(1 << 24, dtype=bool)
+        self.bits[(frequent & _U((1 << 24) - 1)).astype(np.int64)] = True
+
+    def keys(self, value: np.ndarray) -> np.ndarray:
+        """Sort keys of shingle hashes: level, then hash."""
+        level = self.cells[(value & _U(len(self.cells) - 1)).astype(np.int64)].astype(_U)
+        short = value >> _U(7)
+        if len(self.frequent):
+            maybe = np.flatnonzero(self.bits[(short & _U((1 << 24) - 1)).astype(np.int64)])
+            at = np.minimum(np.searchsorted(self.frequent, short[maybe]), len(self.frequent) - 1)
+            hit = self.frequent[at] == short[maybe]
+            level[maybe[hit]] = np.maximum(level[maybe[hit]], self.levels[at[hit]])
+        return (level << _U(57)) | short
+
+
+PLAIN = Order(np.zeros(2, dtype=np.uint8), np.zeros(0, dtype=_U), np.zeros(0, dtype=_U))
+
+
+def ordered_sets(texts: pa.Array, size: int, order: Order) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of each row in the global order: flat keys, sizes."""
     value, row, docs = shingles(texts, size)
-    level = levels[(value & _U(len(levels) - 1)).astype(np.int64)].astype(_U)
-    key = (level << _U(57)) | (value >> _U(7))
+    key = order.keys(value)
     by = np.lexsort((key, row))
     key, row = key[by], row[by]
     fresh = np.ones(len(key), dtype=bool)
@@ -88,6 +118,41 @@ def ordered_sets(texts: pa.Array, size: int, levels: np.ndarray) -> tuple[np.nda
     return key, np.bincount(row, minlength=docs)
 
 
+def prefixes(key: np.ndarray, n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys are in the prefix of their row, and the prefix length of each row."""
+    first = np.cumsum(n) - n
+    take = np.where(n > 0, n - _least(n, percent) + 1, 0)
+    return np.arange(len(key)) - np.repeat(first, n) < np.repeat(take, n), take
+
+
+def _frequent(docs: DataFrame, text: str, size: int, percent: int, cells: np.ndarray) -> Order:
+    """The order by sketch, refined by counting the prefixes that it gives."""
+    first = docs.sparkSession.sparkContext.broadcast(Order(cells, np.zeros(0, dtype=_U), np.zeros(0, dtype=_U)))
+
+    def count(batches):
+        for batch in batches:
+            for part in slices(batch, text):
+                key, n = ordered_sets(part.column(text), size, first.value)
+                token, times = np.unique(key[prefixes(key, n, percent)[0]], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), pa.array(times)], ["token", "n"])
+
+    rows = map_arrow(docs.select(text), count, "token bigint, n bigint")
+    often = stored(rows.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_FREQUENT)
+                   .select("token", F.floor(F.log2("n")).cast("int").alias("level")), "frequent")
+    sizes = {r["level"]: r["count"] for r in often.groupBy("level").count().collect()}  # at most 63 rows
+    least, total = 64, 0
+    for level in sorted(sizes, reverse=True):
+        total += sizes[level]
+        if total > FREQUENT:
+            break
+        least = level
+    got = often.where(F.col("level") >= least).toPandas().sort_values("token")  # at most FREQUENT rows
+    short = got["token"].to_numpy(dtype=np.int64).view(_U) & _U((1 << 57) - 1)
+    levels = got["level"].to_numpy().astype(_U)
+    by = np.argsort(short, kind="stable")
+    return Order(cells, short[by], levels[by])
+
+
 def _least(n, percent):
     """ceil(percent n / 100): shingles that a linked set shares at least."""
     return -(-(n * percent) // 100)
@@ -101,17 +166,15 @@ def needed(a, b, percent):
 SET_FIELDS = "n_shingles bigint, d1 bigint, d2 bigint, prefix array<bigint>"
 
 
-def _sets(docs: DataFrame, text: str, size: int, percent: int, levels) -> DataFrame:
+def _sets(docs: DataFrame, text: str, size: int, percent: int, order) -> DataFrame:
     def run(texts):
-        key, n = ordered_sets(texts, size, levels.value)
+        key, n = ordered_sets(texts, size, order.value)
         first = np.concatenate([[0], np.cumsum(n)])
         sums = []
         for salt in (0x51, 0xA7):
             total = np.concatenate([np.zeros(1, dtype=_U), np.cumsum(mix(key ^ _U(salt << 48)), dtype=_U)])
             sums.append((total[first[1:]] - total[first[:-1]]).view(np.int64))
-        take = np.where(n > 0, n - _least(n, percent) + 1, 0)
-        place = np.arange(len(key)) - np.repeat(first[:-1], n)
-        head = place < np.repeat(take, n)
+        head, take = prefixes(key, n, percent)
         return [pa.array(n, pa.int64()), pa.array(sums[0]), pa.array(sums[1]),
                 list_array(key[head].view(np.int64), take, pa.int64())]
 
@@ -162,13 +225,11 @@ def _verify(pairs: DataFrame, docs: DataFrame, text: str, size: int, percent: in
     asked = counts.select("q", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("q").alias("x"))
     uses = stored(dealt.unionByName(asked), "uses")
     rows = uses.join(docs.select(F.col("_id").alias("x"), F.col(text).alias("body")), "x")
-    flat = np.zeros(2, dtype=np.uint8)  # any one order serves inside a block
-
     def search(block: pa.Table) -> pa.Table:
         q = block.column("q")[0].as_py()
         is_query = np.asarray(block.column("x")) == q
         body = block.column("body").combine_chunks()
-        keys, sizes = ordered_sets(body, size, flat)
+        keys, sizes = ordered_sets(body, size, PLAIN)  # any one order serves inside a block
         owner = np.repeat(np.arange(len(sizes)), sizes)
         query = np.flatnonzero(is_query)[:1]
         links = np.zeros(len(sizes), dtype=bool)
@@ -247,8 +308,8 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: i
     """One row per document: doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
     docs = clean(docs, doc_id, text).withColumnRenamed(doc_id, "_id")
-    levels = spark.sparkContext.broadcast(_sketch(docs, text, size, SKETCH_BITS))
-    sets = stored(_sets(docs, text, size, percent, levels), "sets")
+    order = _frequent(docs, text, size, percent, _sketch(docs, text, size, SKETCH_BITS))
+    sets = stored(_sets(docs, text, size, percent, spark.sparkContext.broadcast(order)), "sets")
     keys = ["n_shingles", "d1", "d2"]
     filled = sets.where("n_shingles > 0")
     folded = stored(filled.groupBy(*keys).agg(F.min("_id").alias("rep")), "classes")
