@@ -26,7 +26,7 @@ from martforge.functions.columns import normalize_columns  # noqa: E402
 from martforge.operators import bi  # noqa: E402
 from martforge.operators import quality as Q  # noqa: E402
 from martforge.plans import catalog  # noqa: E402
-from martforge.session import local_session, work_path  # noqa: E402
+from martforge.session import clean_work, local_session, work_path  # noqa: E402
 from martforge.sources.files import write_table  # noqa: E402
 
 END_TO_END = ["wide_analytics", "engineer_features", "rolling_sales", "days_until_next_holiday",
@@ -84,6 +84,7 @@ def main():
     print(json.dumps({"metric": "headline_total_wall", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf_name, "cpus": cpus,
                       "repeat": repeat, "spark": spark.version}))
+    clean_work(spark)
     spark.stop()
 
 
