@@ -224,7 +224,8 @@ def _verify(pairs: DataFrame, docs: DataFrame, text: str, size: int, percent: in
              .select("q", F.pmod(F.xxhash64(F.lit(5), "x"), F.col("blocks")).cast("int").alias("block"), "x"))
     asked = counts.select("q", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("q").alias("x"))
     uses = stored(dealt.unionByName(asked), "uses")
-    rows = uses.join(docs.select(F.col("_id").alias("x"), F.col(text).alias("body")), "x")
+    # the pairs grow with the documents: the same join at every size, never a broadcast
+    rows = uses.hint("merge").join(docs.select(F.col("_id").alias("x"), F.col(text).alias("body")), "x")
     def search(block: pa.Table) -> pa.Table:
         q = block.column("q")[0].as_py()
         is_query = np.asarray(block.column("x")) == q
