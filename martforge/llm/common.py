@@ -20,6 +20,9 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_written: list[str] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
@@ -31,11 +34,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = work_path(spark, name)
     df.write.parquet(path)
+    _written.append(path)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_stored(spark: SparkSession) -> None:
+    """Delete the tables written by ``stored`` so far; for callers that have
+    written the results made from them."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def clean(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so that extra columns cannot clash."""
     return df.select(*[F.col(f"`{n}`") for n in names])
