@@ -1,7 +1,8 @@
 """Corpus pipeline: toxicity, near duplicates, benchmark leaks, secrets, packing.
 
 Each stage is ``f(spark, docs, sf_dir) -> DataFrame``; its result is written
-and read again as the next stage's ``docs``.  Column names of the input are
+and read again as the next stage's ``docs``, so a stage first deletes the
+intermediate tables of the one before it.  Column names of the input are
 set aside while a stage works, so that extra columns cannot clash with its own.
 """
 
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martforge.llm import decontaminate, jaccard, packing, secrets, toxicity
-from martforge.llm.common import clean, read
+from martforge.llm.common import clean, drop_stored, read
 from martforge.session import work_path
 
 
@@ -27,6 +28,7 @@ def _back(docs: DataFrame, names: dict[str, str]) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays below the threshold."""
+    drop_stored(spark)
     labels = clean(read(spark, sf_dir, "labels"), "doc_id", "toxic")
     model = toxicity.train(clean(docs, "doc_id", "text"), labels)
     rows, names = _aside(docs)
@@ -38,6 +40,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Rows without id stay; of rows that share an id one stays.
     """
+    drop_stored(spark)
     found = jaccard.classes(docs)
     kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
@@ -46,6 +49,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
+    drop_stored(spark)
     rows, names = _aside(docs)
     marked = decontaminate.decontaminate(rows, read(spark, sf_dir, "benchmark"), text=names["text"])
     return _back(marked.where(F.col("n_hit") == 0), names)
@@ -53,6 +57,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secret spans replaced; n_chars follows the text."""
+    drop_stored(spark)
     rows, names = _aside(docs)
     text = names["text"]
     done = secrets.redact(rows, text=text)
@@ -65,6 +70,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining documents, packed."""
+    drop_stored(spark)
     return packing.report(docs)
 
 
