@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_left, insort
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,8 @@ CAPACITY = 2048
 END_ID = 0
 GROUPS = 64
 LARGE = (CAPACITY // 2 + 1, CAPACITY // 3 + 1, CAPACITY // 4 + 1)  # cuts between large and small that are tried
-CACHE_WORDS = 200_000  # words whose ids a worker keeps
+SLICE = 4 << 20  # bytes of text at a time: fewer distinct pieces to look up
+CACHE_WORDS = 500_000  # distinct pieces whose ids a worker keeps, about 150 bytes each
 
 
 def tokenizer_path() -> str:
@@ -43,42 +45,102 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: ASCII marks that end a run of letters or digits; the tokenizer always cuts there
+MARKS = np.zeros(256, dtype=bool)
+MARKS[list(b'.,;:!?"()*%&$#')] = True
+ALNUM = np.zeros(256, dtype=bool)
+ALNUM[list(b"abcdefghijklmnopqrstuvwxyz0123456789")] = True
+
+
 class _Tokens:
-    """Ids of white-space-separated chunks; the tokenizer never joins across white space."""
+    """Ids of pieces of text that the tokenizer never joins with their neighbours."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
-
-    def of(self, chunks: list[str]) -> list[np.ndarray]:
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[str, int] = {}  # piece -> its number; ids of number k: flat[begin[k]:begin[k + 1]]
+        self.flat = np.zeros(1 << 16, dtype=np.uint32)
+        self.begin = np.zeros(1 << 16, dtype=np.int64)
+
+    def add(self, chunks: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Append pieces whose ids follow each other in ``ids``."""
+        have = len(self.known)
+        at = self.begin[have]
+        while len(self.begin) <= have + len(chunks):
+            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
+        while len(self.flat) < at + len(ids):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[at:at + len(ids)] = ids
+        self.begin[have + 1:have + 1 + len(chunks)] = at + np.cumsum(sizes)
+        self.known.update(zip(chunks, range(have, have + len(chunks))))
+
+    def of(self, chunks: list[str]) -> np.ndarray:
+        """Numbers of distinct pieces, encoded now where they are new."""
         new = [c for c in chunks if c not in self.known]
         if len(self.known) + len(new) > CACHE_WORDS:
-            self.known, new = {}, chunks
-        for chunk, coded in zip(new, self.model.encode_batch(new, add_special_tokens=False)):
-            self.known[chunk] = np.array(coded.ids, dtype=np.uint32)
-        return [self.known[c] for c in chunks]
+            self.clear()
+            new = chunks
+        words, others = [], []
+        for chunk in new:
+            (words if _one_word(chunk) else others).append(chunk)
+        for lo in range(0, len(words), 200):  # many words as one text: each is one word of it
+            group = words[lo:lo + 200]
+            coded = self.model.encode(" ".join(group), add_special_tokens=False)
+            sizes = np.bincount(np.array(coded.word_ids, dtype=np.int64), minlength=len(group))
+            if len(sizes) == len(group) and sizes.all():
+                self.add(group, np.array(coded.ids, dtype=np.uint32), sizes)
+            else:
+                others += group
+        for lo in range(0, len(others), 1000):
+            group = others[lo:lo + 1000]
+            coded = [c.ids for c in self.model.encode_batch(group, add_special_tokens=False)]
+            flat = np.array([i for ids in coded for i in ids], dtype=np.uint32)
+            self.add(group, flat, np.array([len(ids) for ids in coded], dtype=np.int64))
+        return np.fromiter(map(self.known.__getitem__, chunks), dtype=np.int64, count=len(chunks))
+
+
+def _one_word(chunk: str) -> bool:
+    """Letters only, also after the tokenizer's normalisation."""
+    return chunk.isalpha() and (chunk.isascii() or (chunk.lower().isalpha() and is_normalized("NFC", chunk)))
 
 
 _TOKENS: dict[str, _Tokens] = {}
 
 
+def _pieces_of_words(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Byte ranges of the words, cut further between letters or digits and marks."""
+    inside = np.zeros(len(words.buf) + 1, dtype=bool)
+    if len(words.buf):
+        mark, alnum = MARKS[words.buf], ALNUM[words.buf]
+        inside[1:-1] = (mark[1:] & alnum[:-1]) | (alnum[1:] & mark[:-1])
+    starts = np.zeros(len(words.buf) + 1, dtype=bool)
+    starts[words.start] = True
+    cuts = np.flatnonzero(inside & ~starts)
+    # a cut lies strictly inside a word, so it ends one piece and starts the next
+    return np.sort(np.concatenate([words.start, cuts])), np.sort(np.concatenate([words.end, cuts]))
+
+
 def token_ids(texts: pa.Array, path: str, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
     """Ids of each text followed by the end id: flat values and row offsets."""
     if path not in _TOKENS:
         _TOKENS[path] = _Tokens(path)
-    words = Words(texts)
-    coded = words.strings().dictionary_encode()
-    parts = _TOKENS[path].of(coded.dictionary.to_pylist())
-    sizes = np.array([len(p) for p in parts], dtype=np.int64)
-    flat = np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint32)
-    begin = np.cumsum(sizes) - sizes
-    which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    count = sizes[which]
-    ids = flat[np.repeat(begin[which], count) + row_ranges(count)] if len(which) else flat
+    words = Words(texts, lower=True)
+    start, end = _pieces_of_words(words)
+    if b"<|" in words.buf.tobytes():  # special tokens: their case counts, and their marks
+        words = Words(texts)
+        start, end = words.start, words.end
+    coded = words.text_of(start, end).dictionary_encode()
+    store = _TOKENS[path]
+    number = store.of(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
+    begin, count = store.begin[number], store.begin[number + 1] - store.begin[number]
+    ids = store.flat[np.repeat(begin, count) + row_ranges(count)]
     total = np.concatenate([[0], np.cumsum(count)])
-    per_doc = total[words.first[1:]] - total[words.first[:-1]]
+    first = np.searchsorted(start, words.offsets)
+    per_doc = total[first[1:]] - total[first[:-1]]
     offsets = np.concatenate([[0], np.cumsum(per_doc + 1)])
     out = np.full(offsets[-1], end_id, dtype="<u4")
     out[np.arange(len(ids)) + np.repeat(np.arange(words.docs), per_doc)] = ids
@@ -98,7 +160,7 @@ def pieces(docs: DataFrame, text: str = "text", path: str | None = None, capacit
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, SLICE):
                 ids, offsets = token_ids(part.column(text), path)
                 size = np.diff(offsets)
                 count = -(-size // capacity)
