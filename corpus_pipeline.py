@@ -15,6 +15,9 @@ from martforge.llm import decontaminate, jaccard, packing, secrets, toxicity
 from martforge.llm.common import clean, drop_stored, read
 from martforge.session import work_path
 
+#: near duplicates: five-word shingles, Jaccard similarity 0.8 (op5's query has its own 4 and 85)
+NEAR_SIZE, NEAR_PERCENT = 5, 80
+
 
 def _aside(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with neutral column names, and the neutral name of each column."""
@@ -41,7 +44,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows without id stay; of rows that share an id one stays.
     """
     drop_stored(spark)
-    found = jaccard.classes(docs)
+    found = jaccard.classes(docs, size=NEAR_SIZE, percent=NEAR_PERCENT)
     kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)

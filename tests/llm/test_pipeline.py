@@ -4,7 +4,7 @@ import corpus_pipeline as cp
 from martforge.llm import secrets
 from martforge.session import work_path
 
-from .helpers import prose
+from .helpers import SPACE, lower, prose
 from .test_jaccard import brute as classes_of
 from .test_jaccard import near
 
@@ -91,3 +91,33 @@ def test_empty_documents(spark):
         stage(spark, docs, path).write.parquet(out)
         docs = spark.read.parquet(out)
         assert docs.count() == 0
+
+
+def linked(a, b, size, percent):
+    x, y = ({tuple(w[k:k + size]) for k in range(max(1, len(w) - size + 1))} for w in (SPACE.findall(lower(t)) for t in (a, b)))
+    return bool(x and y) and 100 * len(x & y) >= percent * len(x | y)
+
+
+def test_near_duplicates_at_five_words_and_four_fifths(spark):
+    rng = random.Random(9)
+    rows = []
+    for c in range(3):
+        base = [f"w{c}x{k}" for k in range(200)]
+        rows.append((100 * c, " ".join(base)))
+        for edits in range(1, 8):  # spread replacements; the fourth lies between 4/85 and 5/80
+            words = list(base)
+            for e in range(edits):
+                words[20 + 25 * e] = f"new{c}x{edits}x{e}"
+            rows.append((100 * c + edits, " ".join(words)))
+    rows += [(900 + k, prose(rng, 60)) for k in range(5)]
+    rng.shuffle(rows)
+    assert linked(dict(rows)[0], dict(rows)[4], 5, 80) and not linked(dict(rows)[0], dict(rows)[4], 4, 85)
+    root = {i: i for i, _ in rows}
+    for _ in range(3):
+        for i, a in rows:
+            for j, b in rows:
+                if linked(a, b, 5, 80):
+                    root[i] = root[j] = min(root[i], root[j])
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id for r in cp.drop_near_duplicates(spark, docs, "").collect()}
+    assert got == {i for i in root if root[i] == i}
