@@ -23,9 +23,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 _written: list[str] = []
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, by: tuple = (), **options) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
+    ``by`` names the columns that become folders, ``options`` go to the writer.
+
     Cuts the lineage: a lost executor rereads files instead of recomputing,
     and every later use sees the same rows in the same files.  The shuffle
     files behind it are garbage then; a collection on the driver lets Spark's
@@ -33,22 +35,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = work_path(spark, name)
-    df.write.parquet(path)
+    writer = df.write.options(**options)
+    (writer.partitionBy(*by) if by else writer).parquet(path)
     _written.append(path)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def drop_stored(spark: SparkSession) -> None:
-    """Delete the tables written by ``stored`` so far; for callers that have
-    written the results made from them."""
+def drop_stored(spark: SparkSession, tables: slice = slice(None)) -> None:
+    """Delete the tables written by ``stored`` so far, or a slice of them; for
+    callers that have written the results made from them."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+    gone = _written[tables]
+    del _written[tables]
+    for name in gone:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)
 
 
+def written() -> int:
+    """How many tables ``drop_stored`` would delete now."""
+    return len(_written)
+
+
 def clean(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so that extra columns cannot clash."""
     return df.select(*[F.col(f"`{n}`") for n in names])

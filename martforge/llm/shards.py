@@ -5,7 +5,8 @@ one: (1) every input partition's row count is known; (2) how many rows each
 partition sends to each shard is drawn exactly, from the multivariate
 hypergeometric law, so that row sums are the partition sizes and column sums
 the shard sizes; (3) each partition is permuted locally and cut by its row of
-the matrix; (4) rows are exchanged and (5) permuted again inside the shard.
+the matrix; (4) whole rows are exchanged and (5) permuted again inside the shard,
+which is a folder of the written result; digests are taken from its rows.
 
 Only partition counts meet on the driver.  Partitions and the second
 permutation are worked on in blocks of bounded size, so neither a large shard
@@ -19,15 +20,16 @@ gives no rows; more shards than rows leaves shards empty.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import clean, ranked, stored
+from .common import clean, ranked, ship, stored
 
 SHARDS = 8
 SEED = 20260104
 BLOCK_ROWS = 200_000
+PART_BITS = 33  # bits of monotonically_increasing_id that number the rows of a partition
 
 
 def draw_matrix(sizes: np.ndarray, shards: int, seed: int) -> np.ndarray:
@@ -70,34 +72,48 @@ def _hypergeometric(rng, good: int, bad: int, size: int) -> int:
     return int(k[np.searchsorted(total, rng.random() * total[-1])])
 
 
+def _placed(kept: DataFrame, blocks: list[tuple], ends: np.ndarray, seed: int) -> DataFrame:
+    """``kept`` plus ``shard``: each block (part, chunk, rows) is permuted and cut by its row of the matrix."""
+    spark = kept.sparkSession
+    ship(spark)
+    shared = spark.sparkContext.broadcast(({(p, c): i for i, (p, c, _) in enumerate(blocks)}, [n for _, _, n in blocks], ends))
+
+    def place(uid: pd.Series) -> pd.Series:
+        number, sizes, cuts = shared.value
+        value = uid.to_numpy()
+        part, at = value >> PART_BITS, value & ((1 << PART_BITS) - 1)
+        chunk = at // BLOCK_ROWS
+        out = np.zeros(len(value), dtype=np.int32)
+        for p, c in sorted(set(zip(part.tolist(), chunk.tolist()))):
+            i = number[p, c]
+            mine = np.flatnonzero((part == p) & (chunk == c))
+            order = np.random.default_rng([seed, p, c]).permutation(sizes[i])
+            out[mine] = np.searchsorted(cuts[i], order[at[mine] - c * BLOCK_ROWS], side="right")
+        return pd.Series(out)
+
+    return kept.withColumn("shard", F.pandas_udf(place, "int")("_uid"))
+
+
 def shuffle_to_shards(rows: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """Rows plus ``shard`` and ``slot`` (gapless from 0 in its shard)."""
-    kept = stored(rows.withColumn("_uid", F.monotonically_increasing_id())
-                  .withColumn("_part", F.spark_partition_id()), "shard-rows")
+    """Whole rows plus ``shard`` and ``slot`` (gapless from 0 in its shard), written to a folder per shard."""
+    kept = stored(rows.withColumn("_uid", F.monotonically_increasing_id()), "shard-rows", compression="zstd")
     # blocks of a partition: one task's worth of rows, however large the partition is
-    first = kept.groupBy("_part").agg(F.min("_uid").alias("_first"))
-    kept = (kept.join(F.broadcast(first), "_part")
-            .withColumn("_chunk", F.floor((F.col("_uid") - F.col("_first")) / BLOCK_ROWS)).drop("_first"))
-    sizes = kept.groupBy("_part", "_chunk").count().orderBy("_part", "_chunk").collect()
-    matrix = draw_matrix(np.array([r["count"] for r in sizes], dtype=np.int64), shards, seed)
-    ends = matrix.cumsum(axis=1)
-    plan = rows.sparkSession.createDataFrame(
-        [(r["_part"], r["_chunk"], row.tolist()) for r, row in zip(sizes, ends)],
-        "_part int, _chunk bigint, _ends array<bigint>")
-    local = W.partitionBy("_part", "_chunk").orderBy(F.xxhash64(F.lit(seed), F.col("_uid")), "_uid")
-    sent = (kept.withColumn("_rank", F.row_number().over(local) - 1)
-            .join(plan, ["_part", "_chunk"])
-            .withColumn("shard", F.size(F.filter("_ends", lambda e: e <= F.col("_rank"))).cast("int"))
-            .drop("_rank", "_ends", "_part", "_chunk"))
-    sent = stored(sent, "shard-sent")
+    row = F.col("_uid").bitwiseAND(F.lit((1 << PART_BITS) - 1))
+    sizes = (kept.groupBy(F.shiftright("_uid", PART_BITS).alias("part"), F.floor(row / BLOCK_ROWS).alias("chunk"))
+             .count().orderBy("part", "chunk").collect())
+    blocks = [tuple(r) for r in sizes]
+    matrix = draw_matrix(np.array([n for _, _, n in blocks], dtype=np.int64), shards, seed)
+    sent = _placed(kept, blocks, matrix.cumsum(axis=1), seed)
     order = [F.xxhash64(F.lit(seed + 1), F.col("_uid")), F.col("_uid")]
-    return ranked(sent, ["shard"], "_uid", order, "slot").drop("_uid")
+    done = ranked(sent, ["shard"], "_uid", order, "slot").drop("_uid")
+    return stored(done, "shards", by=("shard",), compression="zstd")
 
 
 def report(docs: DataFrame) -> DataFrame:
+    """The query's columns, taken from the documents that lie in the shards."""
+    sharded = shuffle_to_shards(clean(docs, "doc_id", "text"))
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    rows = clean(docs, "doc_id", "text").select(
-        "doc_id", (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body).cast("long").alias("text_crc32"))
-    return shuffle_to_shards(rows).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
+    return sharded.select(
+        "doc_id", (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body).cast("long").alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"))

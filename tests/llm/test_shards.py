@@ -48,3 +48,16 @@ def test_repeatable(spark):
     df = frame(spark, corpus(6)).repartition(4).persist()
     a, b = (sorted(map(tuple, shards.report(df).collect()), key=str) for _ in range(2))
     assert a == b
+
+
+def test_whole_documents_lie_in_their_shards(spark):
+    rows = corpus(8) + [(5, "same")] * 40 + [(6, "long " * 50_000), (None, None)]
+    sharded = shards.shuffle_to_shards(frame(spark, rows).select("doc_id", "text").repartition(3))
+    got = sharded.collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted(rows, key=str)
+    assert len({(r["shard"], r["slot"]) for r in got}) == len(rows)
+    files = sharded.inputFiles()  # the written result itself, one folder per shard
+    assert {f.split("/shard=")[1].split("/")[0] for f in files} == {str(s) for s in range(8)}
+    for s in range(8):
+        inside = spark.read.schema("text string").parquet(*[f for f in files if f"/shard={s}/" in f])
+        assert sorted(map(str, (r["text"] for r in inside.collect()))) == sorted(str(r["text"]) for r in got if r["shard"] == s)
