@@ -71,10 +71,10 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return _back(done, names)
 
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the remaining documents, packed."""
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str, out: str | None = None) -> DataFrame:
+    """Pieces of the remaining documents, packed; the sequences are written under ``out``."""
     drop_stored(spark)
-    return packing.report(docs)
+    return packing.report(docs, out)
 
 
 STAGES = [
@@ -89,11 +89,16 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``, each written as Parquet and read again."""
+def run(spark: SparkSession, sf_dir: str, out: str | None = None) -> DataFrame:
+    """Apply the stages to ``documents``, each written as Parquet and read again.
+
+    The packed sequences with their token ids, the training data, are written
+    under ``out`` (a work path if None); the result lists their pieces.
+    """
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = work_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        done = stage(spark, docs, sf_dir, out) if stage is pack else stage(spark, docs, sf_dir)
+        done.write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

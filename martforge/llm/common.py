@@ -38,9 +38,13 @@ def stored(df: DataFrame, name: str, by: tuple = (), **options) -> DataFrame:
     writer = df.write.options(**options)
     (writer.partitionBy(*by) if by else writer).parquet(path)
     _written.append(path)
+    collect_garbage(spark)
+    return spark.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def collect_garbage(spark: SparkSession) -> None:
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def drop_stored(spark: SparkSession, tables: slice = slice(None)) -> None:

@@ -9,7 +9,8 @@ actual lengths take the places of the rounded ones, group by group, and what
 is left over, then all small pieces, longest first, go by best fit into the
 room that is really left.  The plan says which ranks of a length go where; its
 size depends on the capacity and the number of groups only.  Ranks are given
-to the pieces by Spark, and the plan is joined to them.
+to the pieces by Spark, and the plan is joined to them.  The token ids of each
+piece travel to its sequence and are written with it.
 
 A null or empty text is one piece that holds the end token alone.  Texts of any
 length are cut whole; ties and repeated rows are separate pieces; an empty
@@ -18,7 +19,6 @@ table gives no pieces.
 
 from __future__ import annotations
 
-import zlib
 from bisect import bisect_left, insort
 from unicodedata import is_normalized
 
@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import clean, map_arrow, ranked, stored
+from ..session import work_path
+from .common import clean, collect_garbage, drop_stored, map_arrow, ranked, stored, written
 from .textkit import Words, row_ranges, slices
 
 CAPACITY = 2048
@@ -147,11 +148,15 @@ def token_ids(texts: pa.Array, path: str, end_id: int = END_ID) -> tuple[np.ndar
     return out, offsets
 
 
-PIECE_FIELDS = "piece int, start bigint, length bigint, ids_crc32 bigint"
+PIECE_FIELDS = "piece int, start bigint, length bigint, ids binary"
 
 
 def pieces(docs: DataFrame, text: str = "text", path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """One row per piece, with the columns of ``docs`` but the text."""
+    """One row per piece, with its token ids and the columns of ``docs`` but the text.
+
+    Ids are little-endian, of 2 bytes each where those of the slice fit in, else
+    of 4; ``_widened`` makes 4 of all.
+    """
     path = path or tokenizer_path()
     new = T.StructType.fromDDL(PIECE_FIELDS)
     docs = docs.drop(*new.names)
@@ -168,18 +173,36 @@ def pieces(docs: DataFrame, text: str = "text", path: str | None = None, capacit
                 piece = row_ranges(count)
                 start = piece * capacity
                 length = np.minimum(size[row] - start, capacity)
-                view = memoryview(ids).cast("B")
-                lo = (offsets[row] + start) * 4
-                crc = [zlib.crc32(view[a:b]) for a, b in zip(lo.tolist(), (lo + length * 4).tolist())]
+                if not len(ids) or ids.max() < 1 << 16:
+                    ids = ids.astype("<u2")
+                # pieces follow each other in ``ids`` without gaps
+                ends = np.concatenate([[0], np.cumsum(length * ids.itemsize)]).astype(np.int32)
+                cut = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(ends), pa.py_buffer(ids)])
                 rows = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(i).take(rows) for i in at]
                     + [pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
-                       pa.array(crc, pa.int64())], [f.name for f in keep] + new.names)
+                       cut], [f.name for f in keep] + new.names)
 
     return map_arrow(docs, run, T.StructType(keep + new.fields))
 
 
+def _widened(placed: DataFrame) -> DataFrame:
+    """``placed`` with ids of 4 bytes, rows in their order."""
+    names = placed.columns
+
+    def wide(ids: bytes, length: int) -> bytes:
+        return ids if len(ids) == 4 * length else np.frombuffer(ids, dtype="<u2").astype("<u4").tobytes()
+
+    def run(batches):
+        for batch in batches:
+            rows = zip(batch.column(names.index("ids")).to_pylist(), batch.column(names.index("length")).to_pylist())
+            ids = pa.array([wide(*r) for r in rows], pa.binary())
+            yield batch.set_column(names.index("ids"), "ids", ids)
+
+    return map_arrow(placed, run, placed.schema)
+
+
 def linear_groups(counts: np.ndarray, large: int, groups: int) -> list[tuple[int, int, list]]:
     """(rounded size, members, [(length, count), ...] longest first) of equal-cardinality groups."""
     lengths = [l for l in range(len(counts) - 1, large - 1, -1) if counts[l]]
@@ -371,25 +394,42 @@ def _substitute(out: _Plan, taken: list[list], times: int) -> None:
         out.add_run(out.capacity - offset, first + lo, hi - lo)
 
 
-def pack(docs: DataFrame, text: str = "text", path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """Pieces plus sequence_id and offset."""
-    cut = stored(pieces(docs, text, path, capacity).withColumn("_uid", F.monotonically_increasing_id()), "pieces")
+def pack(docs: DataFrame, text: str = "text", path: str | None = None, capacity: int = CAPACITY,
+         out: str | None = None) -> DataFrame:
+    """Pieces with their token ids, sequence_id and offset, written under ``out``
+    (a new folder if None): all pieces of a sequence in one file, in their order."""
+    spark, have = docs.sparkSession, written()
+    cut = stored(pieces(docs, text, path, capacity).withColumn("_uid", F.monotonically_increasing_id()), "pieces",
+                 compression="zstd")
     counts = np.zeros(capacity + 1, dtype=np.int64)
     for row in cut.groupBy("length").count().collect():  # at most ``capacity`` rows
         counts[row["length"]] = row["count"]
     rows = plan(counts, capacity).rows
-    placed = docs.sparkSession.createDataFrame(
+    placed = spark.createDataFrame(
         rows, "length bigint, _lo bigint, _hi bigint, _first bigint, _per bigint, _offset bigint")
-    # the plan's size is bounded by the capacity and the number of groups
-    ranks = ranked(cut, ["length"], "_uid", [F.col("_uid")], "_rank")
+    # the plan's size is bounded by the capacity and the number of groups; ranks need lengths only
+    ranks = ranked(cut.select("_uid", "length"), ["length"], "_uid", [F.col("_uid")], "_rank")
     inside = (F.col("_rank") >= F.col("_lo")) & (F.col("_rank") < F.col("_hi"))
     step = F.col("_rank") - F.col("_lo")
-    return (ranks.join(F.broadcast(placed), "length").where(inside)
-            .withColumn("sequence_id", F.col("_first") + F.expr("(_rank - _lo) div _per"))
-            .withColumn("offset", F.col("_offset") + (step % F.col("_per")) * F.col("length"))
-            .drop("_uid", "_rank", "_lo", "_hi", "_first", "_per", "_offset"))
-
-
-def report(docs: DataFrame) -> DataFrame:
-    return pack(clean(docs, "doc_id", "text")).select(
-        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    places = (ranks.join(F.broadcast(placed), "length").where(inside)
+              .select("_uid", (F.col("_first") + F.expr("(_rank - _lo) div _per")).alias("sequence_id"),
+                      (F.col("_offset") + (step % F.col("_per")) * F.col("length")).alias("offset")))
+    places = stored(places, "places")
+    # pieces grow with the documents: the same join at every size, never a broadcast
+    whole = stored(cut.drop("sequence_id", "offset").hint("merge").join(places, "_uid").drop("_uid"), "placed", compression="zstd")
+    if whole.count() != int(counts.sum()):
+        raise RuntimeError("the plan did not place every piece once")
+    drop_stored(spark, slice(have, have + 1))
+    collect_garbage(spark)  # once more, now that the last job no longer holds the join's shuffle
+    out = out or work_path(spark, "sequences")
+    (_widened(whole.repartition("sequence_id").sortWithinPartitions("sequence_id", "offset"))
+     .write.option("compression", "zstd").parquet(out))
+    packed = spark.read.schema(whole.schema).parquet(out)
+    drop_stored(spark, slice(have, None))
+    return packed
+
+
+def report(docs: DataFrame, out: str | None = None) -> DataFrame:
+    """The query's columns, taken from the written sequences."""
+    return pack(clean(docs, "doc_id", "text"), out=out).select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").cast("long").alias("ids_crc32"), "sequence_id", "offset")

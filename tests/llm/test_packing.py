@@ -2,8 +2,10 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from martforge.llm import packing
+from martforge.session import work_path
 
 from .helpers import corpus, frame
 
@@ -36,6 +38,30 @@ def test_pieces_and_sequences(spark):
     assert bins <= -(-sum(w[3] for w in want) // 2048) + 1
 
 
+def test_sequences_hold_the_token_ids(spark):
+    from tokenizers import Tokenizer
+
+    rows = corpus(9) + [(1, "wörd " * 9000), (2, None), (3, "same text"), (4, "same text"), (None, "no id")]
+    path = work_path(spark, "sequences-test")
+    packing.report(frame(spark, rows), path)
+    written = spark.read.parquet(path).withColumn("file", F.input_file_name()).collect()
+    model = Tokenizer.from_file(packing.tokenizer_path())
+    texts, sequences, files = {}, {}, {}
+    for r in written:
+        ids = np.frombuffer(r["ids"], dtype="<u4")
+        assert len(ids) == r["length"]
+        texts.setdefault(r["doc_id"], {})[r["start"]] = ids
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], ids))
+        files.setdefault(r["sequence_id"], set()).add(r["file"])
+    for i, t in rows:
+        got = np.concatenate([ids for _, ids in sorted(texts.pop(i).items())])
+        assert got.tolist() == [*model.encode(t or "", add_special_tokens=False).ids, 0]
+    assert not texts and all(len(f) == 1 for f in files.values())
+    for members in sequences.values():  # in order and gapless as they stand in the file
+        assert [at for at, _ in members] == np.cumsum([0] + [len(ids) for _, ids in members])[:-1].tolist()
+        assert sum(len(ids) for _, ids in members) <= 2048
+
+
 def test_empty_table(spark):
     assert packing.report(frame(spark, [])).count() == 0
 
