@@ -148,6 +148,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id
     """Documents plus n_words, n_hit, hit_words (word ranges, flattened),
     hit_spans (code-point ranges of the original text, flattened) and hit_items."""
     items = items.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("body"))
+    # equal rows add nothing, and all of them would be dealt to one block
+    items = items.distinct()
     total = items.agg(F.sum(F.coalesce(F.octet_length("body"), F.lit(0)) + 16)).first()[0] or 0
     blocks = -(-total // block_bytes) if total else 1
     deal = F.pmod(F.xxhash64("item", "body"), F.lit(blocks))

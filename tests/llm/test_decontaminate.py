@@ -65,3 +65,13 @@ def test_empty_tables(spark):
     bench = spark.createDataFrame([], "item_id bigint, text string")
     assert dc.report(frame(spark, []), bench).count() == 0
     assert not by_id(dc.report(frame(spark, [(1, "a b")]), bench))[1]["contaminated"]
+
+
+def test_equal_items_are_dealt_once(spark, monkeypatch):
+    rows, items = data(5)
+    bench = spark.createDataFrame(items + [items[2]] * 300, "item_id bigint, text string")
+    held, build = [], dc._patterns
+    monkeypatch.setattr(dc, "_patterns", lambda rows, size: held.append(rows) or build(rows, size))
+    got = by_id(dc.report(frame(spark, rows), bench))
+    assert sum(map(len, held)) == len(set(items))
+    assert {i: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for i, r in got.items()} == brute(rows, items)
