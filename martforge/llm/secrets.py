@@ -14,7 +14,8 @@ controlled per encoding and length band, over the whole table: the runs with p
 above ``CLEAR`` tell how many are random, which gives the share of others among
 those accepted at each cut; the lowest cut with a share of at most ``FDR``
 holds, and a band where no cut does adds no span.  One extra false discovery is
-always counted, so a band with few runs adds none.
+always counted, so no cut holds with fewer than ``FLOOR`` accepted runs: bands
+with fewer are pooled by encoding, and those still below are pooled together.
 
 Null texts are empty; repeated rows get equal spans; an empty table gives no
 rows.  Offsets are code points, ends exclusive.
@@ -35,6 +36,7 @@ RUN = r"[A-Za-z0-9+/_=-]{20,}"
 ASSIGN_LEAST, ACCESS_LEAST = 12, 18
 FDR = 0.05
 CLEAR = 0.2  # runs with p above this are taken as random when their number is estimated
+FLOOR = 20  # 1 / FDR: no cut can hold with fewer accepted runs
 CUTS = (0.001, 0.002, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.5)
 BANDS = (24, 32, 48, 64, 128)  # upper ends of the length bands, then the rest
 
@@ -132,17 +134,35 @@ def _cuts(scanned: DataFrame) -> dict[int, float]:
     runs = scanned.select(F.explode("_runs").alias("r")).select("r.stratum", "r.p")
     above = [F.sum((F.col("p") >= c).cast("long")).alias(f"c{i}") for i, c in enumerate(CUTS)]
     rows = runs.groupBy("stratum").agg(F.count(F.lit(1)).alias("m"), F.sum((F.col("p") > CLEAR).cast("long")).alias("clear"), *above)
-    found = {}
+    found, small = {}, []
     for row in rows.collect():
-        random = min(row["m"], row["clear"] / (1 - CLEAR))
-        for i, cut in enumerate(CUTS):
-            accepted = row[f"c{i}"]
-            if accepted and (max(0.0, accepted - random * (1 - cut)) + 1) / accepted <= FDR:
-                found[row["stratum"]] = cut
-                break
+        counts = [row["m"], row["clear"], *(row[f"c{i}"] for i in range(len(CUTS)))]
+        if counts[2] < FLOOR:
+            small.append((row["stratum"], counts))
+        else:
+            _settle(found, [(row["stratum"], counts)])
+    # too few for a verdict of their own: pooled by encoding, then all that are left
+    rest = []
+    for encoding in sorted({stratum // 10 for stratum, _ in small}):
+        pool = [x for x in small if x[0] // 10 == encoding]
+        if sum(counts[2] for _, counts in pool) < FLOOR:
+            rest += pool
+        else:
+            _settle(found, pool)
+    _settle(found, rest)
     return found
 
 
+def _settle(found: dict[int, float], pool: list[tuple[int, list]]) -> None:
+    """Give the strata of ``pool`` the lowest cut that holds for all their runs together."""
+    m, clear, *above = (sum(column) for column in zip(*(counts for _, counts in pool))) if pool else (0, 0)
+    random = min(m, clear / (1 - CLEAR))
+    for cut, accepted in zip(CUTS, above):
+        if accepted and (max(0.0, accepted - random * (1 - cut)) + 1) / accepted <= FDR:
+            found.update({stratum: cut for stratum, _ in pool})
+            return
+
+
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """Documents plus base_spans and secret_spans: arrays of (start, kind, end), sorted."""
     scanned = stored(_scanned(docs, text), "secrets")

@@ -66,3 +66,14 @@ def test_redaction_and_empty_tables(spark):
 def test_plan_has_no_python(spark):
     plan = secrets.report(frame(spark, [(1, "a")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_small_bands_are_pooled(spark):
+    rng = random.Random(6)
+    seeds = ["".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(n)) for n in (22, 30, 44, 60) for _ in range(15)]
+    few = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(28)) for _ in range(12)]
+    few += ["".join(rng.choice("0123456789") for _ in range(28)) for _ in range(19)]
+    rows = [(k, f"x {key} y") for k, key in enumerate(seeds + few)]
+    got = by_id(secrets.report(frame(spark, rows)))
+    found = [f"random:2:{2 + len(key)}" in got[k]["spans"] for k, key in enumerate(seeds + few)]
+    assert sum(found[:60]) >= 45 and sum(found[60:]) >= 21
