@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, jaccard, langid, packing, quality, secrets, shards, substrings, toxicity, warc
+from . import decontaminate, idfiles, jaccard, langid, packing, quality, secrets, shards, substrings, toxicity, warc
 from .common import read
 
 
@@ -34,6 +34,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secrets": _documents(secrets.report),
         "op9_quality": _documents(quality.report),
         "op10_toxicity": op10_toxicity,
+        "op13_idfiles": _documents(idfiles.report),
     }
 
 
