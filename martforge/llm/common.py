@@ -6,8 +6,12 @@ import gc
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
+from contextvars import ContextVar
+from functools import wraps
 from pathlib import Path
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,6 +25,37 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 _written: list[str] = []
+#: tables of the operator that runs now in this thread; None outside of one
+_owned: ContextVar[list[str] | None] = ContextVar("tables of the running operator", default=None)
+
+
+def scoped(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """An operator that owns the tables it stores: its result is written, then the
+    others are deleted.  The result belongs to the caller, if that is such an
+    operator too, and else stays until ``session.clean_work``."""
+    @wraps(operator)
+    def run(*args, **kwargs):
+        mine: list[str] = []
+        outer = _owned.set(mine)
+        try:
+            lazy = operator(*args, **kwargs)
+            result = stored(lazy, operator.__name__)
+            result_path = mine.pop()
+        finally:
+            _owned.reset(outer)
+            for path in mine:
+                delete(path)
+        if _owned.get() is not None:
+            _owned.get().append(result_path)
+        return result
+
+    return run
+
+
+def delete(name: str) -> None:
+    context = SparkContext._active_spark_context
+    path = context._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, name: str, by: tuple = (), **options) -> DataFrame:
@@ -37,7 +72,7 @@ def stored(df: DataFrame, name: str, by: tuple = (), **options) -> DataFrame:
     path = work_path(spark, name)
     writer = df.write.options(**options)
     (writer.partitionBy(*by) if by else writer).parquet(path)
-    _written.append(path)
+    (_written if _owned.get() is None else _owned.get()).append(path)
     collect_garbage(spark)
     return spark.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])
 
@@ -96,6 +131,28 @@ def ranked(df: DataFrame, keys: list[str], uid: str, order: list, name: str,
             .drop("_block", "_before", "_local"))
 
 
+#: a key is hot if more rows than the first and than one in so many of all rows have it
+HOT_ROWS, HOT_KEYS = 10_000, 10_000
+
+
+def looked_up(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` joined with ``table`` (left), whose keys are unique; its column ``_n``
+    says how many rows have a key.
+
+    Rows of hot keys meet a broadcast: at most ``HOT_KEYS`` keys can be hot.  All
+    others meet by a shuffle, where none of their keys can fill a task.  ``rows``
+    and ``table`` are read more than once if there are hot keys.
+    """
+    total = table.agg(F.sum("_n")).first()[0] or 0
+    hot = F.col("_n") > max(HOT_ROWS, total // HOT_KEYS)
+    few = table.where(hot).drop("_n")
+    if few.isEmpty():
+        return rows.join(table.drop("_n"), keys, "left")
+    marked = rows.join(F.broadcast(few.withColumn("_hot", F.lit(True))), keys, "left")
+    rest = marked.where(F.col("_hot").isNull()).select(*rows.columns).join(table.where(~hot).drop("_n"), keys, "left")
+    return marked.where("_hot").drop("_hot").unionByName(rest)
+
+
 _shipped: dict[str, str] = {}
 
 
