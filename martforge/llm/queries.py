@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontaminate, idfiles, jaccard, langid, packing, prefixtrie, quality, secrets, shards, substrings, toxicity,
-               warc)
+from . import (decontaminate, idfiles, jaccard, langid, packing, prefixtrie, quality, secrets, shards, spelling, substrings,
+               toxicity, warc)
 from .common import read
 
 
@@ -35,6 +35,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secrets": _documents(secrets.report),
         "op9_quality": _documents(quality.report),
         "op10_toxicity": op10_toxicity,
+        "op11_spelling": _documents(spelling.report),
         "op12_prefixtrie": prefixtrie.report,
         "op13_idfiles": _documents(idfiles.report),
     }
@@ -47,5 +48,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_decontaminate": decontaminate.ORACLE_SQL,
         "op5_jaccard": jaccard.ORACLE_SQL,
         "op9_quality": quality.ORACLE_SQL,
+        "op11_spelling": spelling.ORACLE_SQL,
         "op12_prefixtrie": prefixtrie.ORACLE_SQL,
     }

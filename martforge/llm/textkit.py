@@ -70,6 +70,19 @@ def _range_hash(values: np.ndarray, base: int, starts: np.ndarray, ends: np.ndar
     return mix((prefix[ends] - prefix[starts]) * _power(inverse, n + 1)[starts])
 
 
+def power(n: int) -> np.ndarray:
+    """Powers of the base of ``polynomial``."""
+    return _power(_MULT[0][0], n)
+
+
+def polynomial(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Polynomials (not mixed, so they can be put together) of values[starts:ends]."""
+    base, n = _MULT[0][0], len(values)
+    prefix = np.zeros(n + 1, dtype=_U)
+    np.cumsum(values * _power(base, n), dtype=_U, out=prefix[1:])
+    return (prefix[ends] - prefix[starts]) * _power(pow(base, -1, 1 << 64), n + 1)[starts]
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
     """Row slices of a batch whose texts sum to at most ``limit`` bytes (or one row)."""
     if batch.num_rows == 0:
@@ -201,7 +214,3 @@ def list_array(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa
     offsets = np.zeros(len(lengths) + 1, dtype=np.int32)
     np.cumsum(lengths, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, type=kind))
-
-
-def pick(batch: pa.RecordBatch, names: list[str]) -> list[pa.Array]:
-    return [batch.column(n) for n in names]
