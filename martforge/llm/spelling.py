@@ -432,7 +432,7 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 ORACLE_SQL = r"""
-WITH bits AS (SELECT list(c ORDER BY n) AS t FROM (
+WITH RECURSIVE bits AS (SELECT list(c ORDER BY n) AS t FROM (
     SELECT n, list_reduce(list_prepend(n, range(8)), lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
     FROM (SELECT unnest(range(256)) AS n))),
 runs AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS u FROM documents),
@@ -450,8 +450,8 @@ top AS (SELECT w, any_value(n) AS n, count(*) AS n_near, max(m) AS m FROM near G
 form AS (SELECT top.w, min(encode(u)) AS f, any_value(top.m) AS form_n FROM top JOIN near ON near.w = top.w AND near.m = top.m
     WHERE top.m >= 10 * top.n GROUP BY top.w),
 forms AS (SELECT w, decode(f) AS form, form_n FROM form),
-way AS (WITH RECURSIVE r(w, at, d) AS (SELECT w, w, 0 FROM v UNION ALL SELECT r.w, forms.form, d + 1 FROM r JOIN forms ON forms.w = r.at)
-    SELECT w, arg_max(at, d) AS root FROM r GROUP BY w)
+r(w, f, d) AS (SELECT w, w, 0 FROM v UNION ALL SELECT r.w, forms.form, d + 1 FROM r JOIN forms ON forms.w = r.f),
+way AS (SELECT w, arg_max(f, d) AS root FROM r GROUP BY w)
 SELECT v.w AS word, form, root, v.n, coalesce(n_near, 0) AS n_near, form_n
 FROM v JOIN way ON way.w = v.w LEFT JOIN top ON top.w = v.w LEFT JOIN forms ON forms.w = v.w
 """
