@@ -1,13 +1,18 @@
-"""Customer dimension build and upsert."""
+"""Customer dimension build, upsert and merge in place."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import rename_positional
 from ..schemas import CUSTOMER_DIM, CUSTOMER_EXTRACT_COLUMNS, CUSTOMER_STAGING_COLUMNS
+from ..sources.publish import Folders, missing, read_table, recover, stage, switch
+from .sizing import materialize
 
 DIM_VALUE_COLUMNS = [f.name for f in CUSTOMER_DIM.fields[1:]]
 
@@ -53,7 +58,7 @@ def ensure_dimension(spark: SparkSession, path: str) -> DataFrame:
     try:
         found = spark.read.schema(CUSTOMER_DIM).parquet(path)
     except AnalysisException as exc:
-        if not (exc.getCondition() or "").startswith("PATH_NOT_FOUND"):
+        if not missing(exc):
             raise
         spark.createDataFrame([], CUSTOMER_DIM).write.parquet(path)
         found = spark.read.schema(CUSTOMER_DIM).parquet(path)
@@ -63,6 +68,58 @@ def ensure_dimension(spark: SparkSession, path: str) -> DataFrame:
     return found
 
 
+BUCKETS = 64  # folders of a stored dimension; a merge rewrites those that its rows fall into
+LAYOUT = "_layout"  # hidden from table readers
+
+
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+
+
+def merge_dimension(spark: SparkSession, path: str, source: DataFrame, buckets: int = BUCKETS,
+                    key: str = "customer_id") -> list[int]:
+    """Upsert ``source`` into the dimension stored at ``path``, made with the first load.
+
+    Rows lie in folders by a hash of their key.  Only the folders that the source's
+    keys fall into are read, merged, written beside the table and switched in when
+    they are complete (``sources.publish``); the files of all others stay as they
+    are.  A key is in one folder and a merge groups by key, so the keys of the whole
+    table stay unique; the number of folders is kept with the table.  Returns the
+    numbers of the rewritten folders.
+    """
+    recover(spark, path)
+    folders, note = Folders(spark, path), f"{path}/{LAYOUT}"
+    stored = folders.exists(note)
+    if stored:
+        layout = json.loads(folders.text(note))
+        if layout["key"] != key:
+            raise ValueError(f"{path} is kept by {layout['key']}, not {key}")
+        buckets = layout["buckets"]
+    elif folders.exists(path) and folders.children(path):
+        raise ValueError(f"{path} holds a table that is not a dimension in folders by key")
+    columns = CUSTOMER_DIM.fieldNames()
+    rows = materialize(customer_dim_build(source, key).withColumn("bucket", _bucket(key, buckets)), "dimension-rows")
+    touched = sorted(r["bucket"] for r in rows.select("bucket").distinct().collect())  # at most ``buckets``
+    new = rows
+    if stored:
+        old = read_dimension(spark, path, with_bucket=True).where(F.col("bucket").isin(touched))
+        new = upsert_by_key(old, rows, key).withColumn("bucket", _bucket(key, buckets))
+    staging, _ = stage(new.select(*columns, "bucket").repartition("bucket"), path, ["bucket"])
+    if not stored:
+        Folders(spark, staging).write(f"{staging}/{LAYOUT}", json.dumps({"key": key, "buckets": buckets}))
+        switch(spark, staging, path)
+    else:
+        switch(spark, staging, path, [f"bucket={b}" for b in touched])
+    return touched
+
+
+def read_dimension(spark: SparkSession, path: str, with_bucket: bool = False) -> DataFrame:
+    """The dimension stored by ``merge_dimension`` as its last complete merge left it."""
+    schema = T.StructType([*CUSTOMER_DIM.fields, T.StructField("bucket", T.IntegerType())])
+    table = read_table(spark, path, schema)
+    return table if with_bucket else table.drop("bucket")
+
+
 def key_violations(df: DataFrame, key: str = "customer_id") -> DataFrame:
     """Primary-key check: rows, NULL keys, keys seen more than once."""
     per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))

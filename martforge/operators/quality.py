@@ -10,6 +10,7 @@ cannot be evaluated is one failed row with its error; the others keep theirs.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.errors import PySparkException
@@ -184,14 +185,37 @@ def _counted(df: DataFrame, bad: dict[int, tuple]) -> tuple[int | None, dict[int
     return rows, counts, errors
 
 
+#: writes a table, counting metrics meanwhile: (df, {name: column}) -> (table read back, counts with ``rows``)
+Writer = Callable[[DataFrame, dict[str, Column]], tuple[DataFrame, dict]]
+
+
+def _counted_in_write(df: DataFrame, bad: dict[int, tuple], write: Writer) -> tuple:
+    """The written table and the counts of ``_counted``, taken while it was written."""
+    try:
+        table, got = write(df, {f"__u{i}": F.count_if(pred) for i, (pred, _) in bad.items()})
+    except PySparkException:  # a rule that cannot run must not stop the table
+        table, _ = write(df, {})
+        return table, _counted(table, bad)
+    return table, (int(got["rows"]), {i: int(got[f"__u{i}"]) for i in bad}, {})
+
+
+def rule_columns(df: DataFrame, rules: list[Rule], order: list[str] | None = None) -> DataFrame:
+    """``df`` with the columns that value rules and their samples read."""
+    wanted = {r.column for r in rules} | set(order or [])
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c in wanted])
+
+
 def validate(df: DataFrame, rules: list[Rule], dataset: str,
-             sample_order: list[str] | None = None, samples: bool = True) -> DataFrame:
+             sample_order: list[str] | None = None, samples: bool = True, write: Writer | None = None) -> DataFrame:
     """One result row per rule (schema ``RESULT_SCHEMA``).
 
     The counts come from ONE aggregate action over ``df`` (a single row of
     ``#rules`` numbers reaches the driver, never data rows); a list of schema
     rules alone reads nothing.  Failing values are then fetched for the value
     rules that failed, in one more scan.
+
+    With ``write``, ``df`` runs once: the counts are taken while the table is
+    written (published, or a copy), and the failing values come from the table.
     """
     plans, bad = [], {}
     for i, rule in enumerate(rules):
@@ -205,7 +229,9 @@ def validate(df: DataFrame, rules: list[Rule], dataset: str,
                 ok, error = False, f"{type(exc).__name__}: {exc}"
         plans.append((i, rule, ok, observed, error))
     n, counts, errors = None, {}, {}
-    if bad or any(rule.kind == "row_count" for rule in rules):
+    if write is not None:
+        df, (n, counts, errors) = _counted_in_write(df, bad, write)
+    elif bad or any(rule.kind == "row_count" for rule in rules):
         n, counts, errors = _counted(df, bad)
     rows, sample_specs = [], []
     for i, rule, ok, observed, error in plans:

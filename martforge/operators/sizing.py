@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import work_path
@@ -17,11 +19,17 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     the rows written, so a folder that not every machine sees is an error and
     not an empty table.
     """
-    obs = Observation(f"rows_{name}")
+    return materialize_counted(df, {}, name)[0]
+
+
+def materialize_counted(df: DataFrame, metrics: dict[str, Column], name: str = "table") -> tuple[DataFrame, dict]:
+    """``materialize``, and aggregates over the rows counted while they were written, ``rows`` among them."""
+    obs = Observation(f"rows_{uuid.uuid4().hex}")
     path = work_path(df.sparkSession, name)
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()]).write.parquet(path)
+    got = dict(obs.get)
     # the schema is known: read back without a footer-inference job
-    return verified(df.sparkSession.read.schema(df.schema).parquet(path), int(obs.get["rows"]), path)
+    return verified(df.sparkSession.read.schema(df.schema).parquet(path), int(got["rows"]), path), got
 
 
 def verified(df: DataFrame, rows: int, path: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,12 +27,13 @@ from ..operators.features import engineer_features, row_features
 from ..operators.joins import join_sales_customers, join_sales_holidays, join_sales_weather
 from ..operators.reshape import (filter_dedup_holidays, flatten_holidays, flatten_weather,
                                  holiday_types, to_documents, union_all)
-from ..operators.sizing import materialize
+from ..operators.sizing import materialize, materialize_counted
 from ..schemas import CUSTOMER_DIM, CUSTOMER_EXTRACT_COLUMNS, HOLIDAYS, HOLIDAY_DOCUMENT, RAW_LEDGER, WEATHER
 from ..session import work_path
 from ..sources import derived as D
 from ..sources import files
 from ..sources.lookups import region_lookup
+from ..sources.publish import read_table
 from . import suites
 from .wide import build_wide, clean_sales, holidays_from_documents, sales_with_holidays
 
@@ -128,6 +130,47 @@ def publish_replaces(spark, sf):
     return spark.read.parquet(path).groupBy("year").agg(F.count(F.lit(1)).alias("line_count"))
 
 
+@query
+def csv_misordered_parts(spark, sf):
+    """Parts of one extract with their columns in another order, one without Postal Code
+    and with a column more."""
+    ledger, root = raw(spark, sf), work_path(spark, "ledger-parts")
+    air, mail = F.col("Ship Mode") == "1-URGENT", F.col("Ship Mode") == "2-HIGH"
+    air, mail = F.coalesce(air, F.lit(False)), F.coalesce(mail, F.lit(False))
+    files.write_csv(ledger.where(~air & ~mail), f"{root}/a", encoding=files.LATIN_1)
+    files.write_csv(ledger.where(air).select(*[F.col(f"`{c}`") for c in reversed(ledger.columns)]), f"{root}/b", encoding=files.LATIN_1)
+    files.write_csv(ledger.where(mail).drop("Postal Code").withColumn("Carrier", F.lit("M")), f"{root}/c", encoding=files.LATIN_1)
+    return files.read_csv(spark, f"{root}/*/part-*", RAW_LEDGER, encoding=files.LATIN_1, null_value="null")
+
+
+@query
+def publish_keeps_old(spark, sf):
+    """K2: a publish whose rows cannot all be made leaves the table before it; the next one replaces it."""
+    path = work_path(spark, "published")
+    table = clean(spark, sf).select("Row ID", "Sales", F.year("Order Date").alias("year"))
+    files.write_table(table, path, partition_by=["year"])
+    broken = F.when(F.col("year") == 1997, F.raise_error(F.lit("bad line")).cast("double")).otherwise(F.col("Sales"))
+    try:
+        files.write_table(table.withColumn("Sales", broken), path, partition_by=["year"])
+        raise AssertionError("a broken publish ended well")
+    except PySparkException:
+        kept = read_table(spark, path).groupBy("year").agg(F.count(F.lit(1)).alias("first_lines"))
+        kept = materialize(kept, "kept")
+    files.write_table(table.where(F.col("year") >= 1997), path, partition_by=["year"])
+    now = read_table(spark, path).groupBy("year").agg(F.count(F.lit(1)).alias("second_lines"))
+    return kept.join(now, "year", "left")
+
+
+@query
+def dim_merge_in_place(spark, sf):
+    """Two loads onto one stored dimension; the second rewrites the folders its keys fall into."""
+    path, r = work_path(spark, "customer-dim-folders"), raw(spark, sf)
+    early = F.coalesce(F.col("Ship Mode").isin("1-URGENT", "2-HIGH"), F.lit(False))  # NULL: late
+    dims.merge_dimension(spark, path, _staging_rows(r.where(early)))
+    dims.merge_dimension(spark, path, _staging_rows(r.where(~early)))
+    return dims.read_dimension(spark, path)
+
+
 @query
 def union_weather_partial(spark, sf):
     """Weather of two regions, one part that is missing, weather of the rest."""
@@ -512,9 +555,26 @@ def _suite_inputs(spark, sf):
     }
 
 
+def _writer(spark, name, rules, order):
+    """How a suite's dataset is written while it is checked: the final table is published
+    as dashboards read it, of the others a copy of the checked columns is kept."""
+    if name == "final_analytics":
+        def publish(df, metrics):
+            path = work_path(spark, "final-analytics")
+            counted = files.write_table(df, path, partition_by=["year", "month"], cluster_by=["Row ID"], metrics=metrics)
+            return read_table(spark, path, df.schema), counted
+        return publish
+    return lambda df, metrics: materialize_counted(Q.rule_columns(df, rules, order), metrics, f"checked-{name}")
+
+
 def _suite(spark, sf, name):
     load, rules, order = _suite_inputs(spark, sf)[name]
-    return Q.validate(load(), rules, name, sample_order=order)
+    return Q.validate(load(), rules, name, sample_order=order, write=_writer(spark, name, rules, order))
+
+
+def _suites(spark, sf):
+    inputs = _suite_inputs(spark, sf)
+    return suites.run_suites(inputs, lambda name: _writer(spark, name, *inputs[name][1:]))
 
 
 @query
@@ -539,12 +599,12 @@ def dq_suite_final(spark, sf):
 
 @query
 def dq_results(spark, sf):
-    return _dq(suites.run_suites(_suite_inputs(spark, sf)))
+    return _dq(_suites(spark, sf))
 
 
 @query
 def dq_summary(spark, sf):
-    return Q.summary(suites.run_suites(_suite_inputs(spark, sf)))
+    return Q.summary(_suites(spark, sf))
 
 
 @query

@@ -352,6 +352,10 @@ _DIMV = ["customer_name", "segment", "city", "state", "region"]
 
 ORACLE["publish_replaces"] = sql(["clean"], """SELECT CAST(year("Order Date") AS INTEGER) AS year,
   COUNT(*) AS line_count FROM clean WHERE year("Order Date") >= 1997 GROUP BY 1""")
+ORACLE["publish_keeps_old"] = sql(["clean"], """SELECT CAST(year("Order Date") AS INTEGER) AS year, COUNT(*) AS first_lines,
+  CASE WHEN year("Order Date") >= 1997 THEN COUNT(*) END AS second_lines FROM clean GROUP BY year("Order Date")""")
+ORACLE["csv_misordered_parts"] = sql(["raw"], "SELECT * REPLACE (CASE WHEN \"Ship Mode\" = '2-HIGH' THEN NULL ELSE \"Postal Code\" END"
+                                     " AS \"Postal Code\") FROM raw")
 ORACLE["union_weather_partial"] = sql(["weather"], "SELECT * FROM weather")
 ORACLE["load_published"] = sql(["sh"], "SELECT " + ", ".join(
     f"{q(c)} AS {FOLDED[c]}" for c in RAW_LEDGER_COLUMNS if c not in ("Order Date", "Ship Date")) + """,
@@ -384,6 +388,8 @@ ORACLE["customer_dim_upsert"] = sql(["raw"], f"""SELECT coalesce(s.customer_id,
 FROM ({_dim_build(f"({_staging(_EARLY)})")}) t
 FULL OUTER JOIN ({_dim_build(f"({_staging('NOT (' + _EARLY + ')')})")}) s ON t.customer_id = s.customer_id""")
 
+ORACLE["dim_merge_in_place"] = ORACLE["customer_dim_upsert"]
+
 # ------------------------------------------------------------------ BI sheets
 _BI = {
     "bi_sales_trend_by_year": ("year", "year", "Sales", "sum"),

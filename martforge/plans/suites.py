@@ -76,19 +76,20 @@ def _error_row(dataset: str, exc: Exception) -> DataFrame:
     return spark.createDataFrame([row], Q.RESULT_SCHEMA)
 
 
-def run_suites(datasets: dict[str, tuple[Callable[[], DataFrame | None], list, list[str] | None]]
-               ) -> DataFrame | None:
+def run_suites(datasets: dict[str, tuple[Callable[[], DataFrame | None], list, list[str] | None]],
+               write: Callable[[str], Q.Writer | None] = lambda name: None) -> DataFrame | None:
     """Validate every dataset that is present; absent ones (loader returns
     None) are skipped, and a dataset whose load or validation raises is
     recorded as one failed ``suite_error`` row.  Returns the union of result
-    rows, or None if no dataset ran."""
+    rows, or None if no dataset ran.  ``write`` gives the writer of a dataset
+    that is to run once (``quality.validate``)."""
     results = []
     for name, (load, rules, order) in datasets.items():
         try:
             df = load()
             if df is None:
                 continue
-            results.append(Q.validate(df, rules, name, sample_order=order))
+            results.append(Q.validate(df, rules, name, sample_order=order, write=write(name)))
         except Exception as exc:  # noqa: BLE001 - a failing dataset becomes a failed row
             results.append(_error_row(name, exc))
     if not results:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,23 +13,50 @@ from pyspark.sql import types as T
 from ..functions.cleaning import to_timestamp_tolerant
 from ..functions.columns import normalize_columns
 from ..operators.reshape import union_all
+from .headers import align, header_groups
+from .publish import missing, publish
 
 LATIN_1 = "ISO-8859-1"  # encoding of the sales extract
 
 
-def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None,
              encoding: str = "UTF-8", null_value: str | None = None) -> DataFrame:
-    """Header CSV with an explicit schema; '"' escapes quotes inside fields.
+    """Header CSV, columns taken by name; '"' escapes quotes inside fields.
 
-    ``path`` may be a glob (``dir/part-*.csv``) or a list, so multi-part
-    extracts are one distributed scan.
+    ``path`` may be a glob (``dir/part-*.csv``), a folder or a list.  Parts whose
+    headers are equal are one distributed scan.  A part may have its columns in any
+    order; those that ``schema`` does not name are left out, those that a part lacks
+    are NULL, empty files have no rows.  Without a schema the types are inferred per
+    header and widened to hold all parts.
     """
-    reader = (spark.read.schema(schema).option("header", True)
-              .option("encoding", encoding).option("escape", '"')
-              .option("mode", "PERMISSIVE"))
+    groups = header_groups(spark, path, encoding)
+    options = {"header": True, "encoding": encoding, "escape": '"', "mode": "PERMISSIVE"}
     if null_value is not None:
-        reader = reader.option("nullValue", null_value)
-    return reader.csv(path)
+        options["nullValue"] = null_value
+    if not groups:
+        return spark.createDataFrame([], schema or T.StructType([]))
+    parts = []
+    for header, members in groups.items():
+        reader = spark.read.options(**options)
+        if schema is None:
+            reader = reader.option("inferSchema", True)
+        else:
+            typed = {f.name: f.dataType for f in schema.fields}
+            reader = reader.schema(T.StructType([T.StructField(n, typed.get(n, T.StringType())) for n in header]))
+        if len(groups) == 1:
+            parts.append(reader.csv(path))
+        else:
+            root = path if isinstance(path, str) and "=" in members[0] and not set(path) & set("*?[{") else None
+            parts.append((reader.option("basePath", root) if root else reader).csv(members))
+    if schema is None:
+        return align(parts)
+
+    def shaped(part):
+        have = set(part.columns)
+        return part.select(*[(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+                             for f in schema.fields])
+
+    return reduce(DataFrame.unionByName, [shaped(p) for p in parts])
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite",
@@ -59,10 +87,12 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 fmt: str = "parquet", cluster_by: list[str] | None = None,
-                files_per_partition: int = 16, keep_others: bool = False) -> None:
+                files_per_partition: int = 16, keep_others: bool = False, metrics: dict | None = None) -> dict:
     """Publish a table in place of the one at ``path``: partitions that ``df``
     does not hold are gone afterwards.  ``keep_others`` replaces only the
-    partitions present in ``df`` instead.
+    partitions present in ``df`` instead.  The old table stays readable until
+    the new one is written and its rows are counted (``sources.publish``).
+    Returns ``rows`` and the aggregates in ``metrics``, counted while writing.
 
     With ``cluster_by`` the rows are hash-partitioned on (partition columns,
     hash(cluster columns) mod ``files_per_partition``) before writing: every
@@ -73,11 +103,7 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     if partition_by and cluster_by:
         salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cluster_by]), F.lit(files_per_partition))
         df = df.repartition(*[F.col(f"`{c}`") for c in partition_by], salt)
-    writer = df.write.mode("overwrite").format(fmt)
-    if partition_by:
-        mode = "dynamic" if keep_others else "static"
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", mode)
-    writer.save(path)
+    return publish(df, path, partition_by, fmt, keep_others, metrics)
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> None:
@@ -100,7 +126,7 @@ def read_or_empty(spark: SparkSession, load: Callable[[], DataFrame],
     try:
         return load()
     except AnalysisException as exc:
-        if (exc.getCondition() or "").startswith("PATH_NOT_FOUND"):
+        if missing(exc):
             return spark.createDataFrame([], schema)
         raise
 
