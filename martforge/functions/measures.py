@@ -80,3 +80,25 @@ def money_sum(c: Column | str) -> Column:
 def money_avg(c: Column | str) -> Column:
     """Order-independent AVG (exact sum / non-null count)."""
     return money_sum(c) / F.count(_c(c))
+
+
+def money_parts(c: Column | str, name: str) -> list[Column]:
+    """Aggregates that keep the sum and the average of a money column mergeable: rows of
+    partial results give the same ``money_sum`` and ``money_avg`` as the rows behind them."""
+    col = _c(c)
+    total, special = exact_total(col)
+    return [total.cast(EXACT).alias(f"{name}__total"), special.alias(f"{name}__special"), F.count(_exact(col)).alias(f"{name}__exact"),
+            F.sum(col.cast("double")).alias(f"{name}__double"), F.count(col).alias(f"{name}__values")]
+
+
+def merged_sum(name: str) -> Column:
+    """``money_sum`` of the rows behind partial results made with ``money_parts``."""
+    total, exact = F.col(f"{name}__total"), F.col(f"{name}__exact")
+    lost = F.bool_or((exact > 0) & total.isNull())  # a part was beyond the decimals' range
+    whole = F.when(~lost, F.try_sum(total))
+    some = F.sum(exact) > 0
+    return F.when(some & whole.isNull(), F.sum(f"{name}__double")).otherwise(as_double(whole, F.sum(f"{name}__special")))
+
+
+def merged_avg(name: str) -> Column:
+    return merged_sum(name) / F.sum(f"{name}__values")

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.measures import money_avg, money_sum
+from ..functions.measures import merged_avg, merged_sum, money_avg, money_parts, money_sum
+from .sizing import materialize
 
 
 def kpis(w: DataFrame) -> DataFrame:
@@ -54,20 +55,34 @@ def top_products(w: DataFrame, n: int = 10) -> DataFrame:
 
 def top_customers(w: DataFrame, n: int = 10) -> DataFrame:
     """Rows of the top ``n`` customer ids by AVG(profit); per customer *name*
-    the order lines, SUM(profit) and SUM(sales) (ids may share a name)."""
-    return (rows_in_top(w, "customer_id", "profit", "avg", n).groupBy("customer_name").agg(
-        F.count("order_id").alias("order_count"),
-        money_sum("profit").alias("sum_profit"),
-        money_sum("sales").alias("sum_sales")).orderBy("sum_profit", "customer_name"))
+    the order lines, SUM(profit) and SUM(sales) (ids may share a name).
 
+    ``w`` runs once: its rows are folded to one per id and name, with sums that
+    can be added up; both the top set and the sheet come from those.
+    """
+    folded = materialize(w.groupBy("customer_id", "customer_name").agg(
+        F.count("order_id").alias("orders"), *money_parts("profit", "p"), *money_parts("sales", "s")), "customers")
+    means = folded.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(merged_avg("p").alias("__m"))
+    top = means.orderBy(F.col("__m").desc(), F.col("customer_id").asc_nulls_first()).limit(n).select("customer_id")
+    return (folded.join(F.broadcast(top), "customer_id", "left_semi").groupBy("customer_name").agg(
+        F.sum("orders").alias("order_count"), merged_sum("p").alias("sum_profit"), merged_sum("s").alias("sum_sales"))
+        .orderBy("sum_profit", "customer_name"))
 
-def rows_in_top(w: DataFrame, dim: str, measure: str, how: str = "avg", n: int = 10) -> DataFrame:
+
+def rows_in_top(w: DataFrame, dim: str, measure: str, how: str = "avg", n: int = 10, columns: list[str] | None = None) -> DataFrame:
     """The rows whose ``dim`` member is in the top ``n`` by the aggregate
     (left-semi join with the top set, which is broadcast: its size is ``n``).
-    NULL is no member."""
+    NULL is no member.
+
+    With ``columns`` only those are returned and ``w`` runs once: they, the member
+    and the measure are kept, and the top set and the rows are read from there.
+    """
+    if columns is not None:
+        w = materialize(w.select(*dict.fromkeys([*columns, dim, measure])), "top-rows")
     known = w.where(F.col(dim).isNotNull())
     top = F.broadcast(top_n(known, dim, measure, how, n, "__m").select(dim))
-    return w.join(top, on=dim, how="left_semi")
+    kept = w.join(top, on=dim, how="left_semi")
+    return kept if columns is None else kept.select(*columns)
 
 
 def customers_by_segment(w: DataFrame) -> DataFrame:

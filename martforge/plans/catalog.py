@@ -19,7 +19,7 @@ from ..functions.calendar import back_to_school_flag, weekend_flag
 from ..functions.cleaning import parse_text_date, to_number, to_timestamp_tolerant
 from ..functions.columns import normalize_columns
 from ..functions.measures import extreme_weather_flag, holiday_flag, positive_flag, profit_margin
-from ..operators import bi, dims, profile
+from ..operators import bi, daystate, dims, profile
 from ..operators import quality as Q
 from ..operators import days
 from ..operators.days import add_proximity, add_season, daily_sales, holiday_calendar, thanksgiving_by_year
@@ -31,7 +31,7 @@ from ..operators.sizing import materialize, materialize_counted
 from ..schemas import CUSTOMER_DIM, CUSTOMER_EXTRACT_COLUMNS, HOLIDAYS, HOLIDAY_DOCUMENT, RAW_LEDGER, WEATHER
 from ..session import work_path
 from ..sources import derived as D
-from ..sources import files
+from ..sources import files, payloads
 from ..sources.lookups import region_lookup
 from ..sources.publish import read_table
 from . import suites
@@ -181,6 +181,72 @@ def union_weather_partial(spark, sf):
     return files.union_available(spark, [lambda p=p: files.read_json(spark, p, WEATHER) for p in parts], WEATHER)
 
 
+def _holiday_payloads(spark, sf):
+    """Holiday documents as files of JSON text, one a year: 1995 is cut off, 1997 has no list of
+    holidays, 1999 comes wrapped and with entries that are no records."""
+    path = work_path(spark, "holiday-payloads")
+    whole = F.to_json(F.struct("holidays"))
+    wrapped = F.concat(F.lit('{"response": {"holidays": [7, null, '), F.expr("substring(to_json(holidays), 2)"), F.lit("}}"))
+    text = (F.when(F.col("year") == 1995, F.expr("left(to_json(struct(holidays)), 40)"))
+            .when(F.col("year") == 1997, F.to_json(F.struct(F.lit("moved").alias("holidays")))).when(F.col("year") == 1999, wrapped).otherwise(whole))
+    D.holiday_documents(spark, sf).select(text.alias("value"), "year").write.partitionBy("year").text(path)
+    found = payloads.read_payloads(spark, f"{path}/year=*")
+    year = F.regexp_extract("source", "year=([0-9]+)", 1)
+    return payloads.holiday_documents(found.select(year.cast("int").alias("year"), year.alias("source"), "payload"))
+
+
+@query
+def holidays_tolerant(spark, sf):
+    """Retail holidays of the payloads that can be read; the bad years are left out."""
+    return holidays_from_documents(payloads.accepted(_holiday_payloads(spark, sf)))
+
+
+@query
+def payload_report(spark, sf):
+    """Payloads left out and why, entries skipped."""
+    weather_docs = _weather_payloads(spark, sf)
+    return payloads.report(_holiday_payloads(spark, sf)).unionByName(payloads.report(weather_docs, "region"))
+
+
+def _weather_payloads(spark, sf):
+    """Weather payloads as text: East answers with an error page, West has words among its temperatures."""
+    daily = F.col("payload.daily")
+    odd = F.transform(daily["temperature_2m_mean"].cast("array<string>"),
+                      lambda x, i: F.when(i % 10 == 3, "calm").otherwise(x))
+    text = (F.when(F.col("region") == "East", "<html>busy</html>")
+            .when(F.col("region") == "West", F.to_json(F.struct(daily.withField("temperature_2m_mean", odd).alias("daily"))))
+            .otherwise(F.to_json(F.struct(daily.alias("daily")))))
+    return payloads.weather_payloads(D.weather_payloads(spark, sf).select("region", text.alias("payload")))
+
+
+@query
+def weather_tolerant(spark, sf):
+    """Daily rows of the payloads that can be read."""
+    return flatten_weather(payloads.accepted(_weather_payloads(spark, sf)))
+
+
+def _day_state(spark, sf):
+    """The day state after two batches: all lines but the low-priority ones of March, then those, late."""
+    path, lines = work_path(spark, "day-state"), clean(spark, sf).select("Order Date", "Sales", "Ship Mode")
+    late = F.coalesce(F.col("Ship Mode") == "5-LOW", F.lit(False)) & (F.month("Order Date") == 3)
+    daystate.add_batch(spark, path, lines.where(~F.coalesce(late, F.lit(False))))
+    return path, daystate.add_batch(spark, path, lines.where(late))
+
+
+@query
+def rolling_sales_from_state(spark, sf):
+    """Averages of all days from the kept daily totals, after a late batch."""
+    path, _ = _day_state(spark, sf)
+    return daystate.rolling_from_state(spark, path, small_holidays(spark, sf))
+
+
+@query
+def rolling_sales_changed(spark, sf):
+    """The averages that the late batch changed."""
+    path, batch = _day_state(spark, sf)
+    return daystate.changed_averages(spark, path, batch, small_holidays(spark, sf))
+
+
 @query
 def dim_first_load(spark, sf):
     """Create the dimension table if missing, upsert the extract, store, check the key."""
@@ -648,7 +714,7 @@ for _name, _dim, _measure, _how, _by in [
 @query
 def bi_rows_in_top(spark, sf):
     """Order lines of the five products with the greatest sales."""
-    return bi.rows_in_top(bi_table(spark, sf), "product_name", "sales", "sum", 5).select("row_id", "product_name", "sales")
+    return bi.rows_in_top(bi_table(spark, sf), "product_name", "sales", "sum", 5, ["row_id", "product_name", "sales"])
 
 
 @query

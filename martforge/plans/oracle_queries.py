@@ -356,6 +356,20 @@ ORACLE["publish_keeps_old"] = sql(["clean"], """SELECT CAST(year("Order Date") A
   CASE WHEN year("Order Date") >= 1997 THEN COUNT(*) END AS second_lines FROM clean GROUP BY year("Order Date")""")
 ORACLE["csv_misordered_parts"] = sql(["raw"], "SELECT * REPLACE (CASE WHEN \"Ship Mode\" = '2-HIGH' THEN NULL ELSE \"Postal Code\" END"
                                      " AS \"Postal Code\") FROM raw")
+ORACLE["holidays_tolerant"] = sql(["fd"], """SELECT name AS holiday_name, TRY_CAST(substr(iso, 1, 10) AS DATE) AS holiday_date
+FROM fd WHERE year NOT IN (1995, 1997)""")
+_WORDS = """(SELECT *, row_number() OVER (PARTITION BY weather_region ORDER BY weather_date) % 10 = 4 AND weather_region = 'West' AS odd FROM weather)"""
+ORACLE["payload_report"] = sql(["weather", "years"], f"""SELECT CAST(year AS VARCHAR) AS source,
+  CASE year WHEN 1995 THEN 'not JSON' WHEN 1997 THEN 'no entries' END AS reason, CAST(CASE year WHEN 1999 THEN 2 ELSE 0 END AS BIGINT) AS skipped
+FROM years WHERE year IN (1995, 1997, 1999)
+UNION ALL SELECT DISTINCT 'East', 'not JSON', CAST(0 AS BIGINT) FROM weather WHERE weather_region = 'East'
+UNION ALL SELECT 'West', NULL, count(*) FROM {_WORDS} WHERE odd HAVING count(*) > 0""")
+ORACLE["weather_tolerant"] = sql(["weather"], f"""SELECT * EXCLUDE (odd) REPLACE (CASE WHEN odd THEN NULL ELSE temp_c END AS temp_c)
+FROM {_WORDS} WHERE weather_region <> 'East'""")
+ORACLE["rolling_sales_from_state"] = sql(["dayt"], "SELECT d AS day, rolling_sales_7d, rolling_sales_30d FROM dayt")
+ORACLE["rolling_sales_changed"] = sql(["dayt", "clean"], """SELECT d AS day, rolling_sales_7d, rolling_sales_30d FROM dayt
+WHERE EXISTS (SELECT 1 FROM clean WHERE "Ship Mode" = '5-LOW' AND month("Order Date") = 3
+  AND dayt.d BETWEEN "Order Date" AND "Order Date" + 29)""")
 ORACLE["union_weather_partial"] = sql(["weather"], "SELECT * FROM weather")
 ORACLE["load_published"] = sql(["sh"], "SELECT " + ", ".join(
     f"{q(c)} AS {FOLDED[c]}" for c in RAW_LEDGER_COLUMNS if c not in ("Order Date", "Ship Date")) + """,
