@@ -47,36 +47,37 @@ FILES, DICTIONARY = "ids", "dictionary"
 MAGIC = b"RVB1"
 HEADER = struct.Struct("<4sIIIQQQ")  # magic, partition, number, documents, ids, control bytes, data bytes
 #: bytes of each of the four ranks of a control byte
-LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1
+LENGTHS = (((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1).astype(np.uint8)
 
 
 def encode(ranks: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Control bytes, data bytes and, per document, how many it has of either."""
-    ranks = ranks.astype(np.uint32)
-    size = 1 + (ranks >= 1 << 8).astype(np.int64) + (ranks >= 1 << 16) + (ranks >= 1 << 24)
-    quads = -(-counts // 4)
-    place = np.arange(len(ranks)) + np.repeat((np.cumsum(quads) - quads) * 4 - (np.cumsum(counts) - counts), counts)
-    code = np.zeros(int(quads.sum()) * 4, dtype=np.uint8)
-    code[place] = size - 1
-    control = code.reshape(-1, 4) @ np.array([1, 4, 16, 64], dtype=np.uint8)
-    end = np.concatenate([[0], np.cumsum(size)])
-    data = np.zeros(int(end[-1]), dtype=np.uint8)
-    for k in range(4):
-        has = size > k
-        data[end[:-1][has] + k] = (ranks[has] >> np.uint32(8 * k)) & np.uint32(255)
+    more = (ranks >= 1 << 8).astype(np.uint8)  # bytes beyond the first
+    for bits in (16, 24):
+        if len(ranks) and ranks.max() >= 1 << bits:
+            more += ranks >= 1 << bits
     first = np.concatenate([[0], np.cumsum(counts)])
-    return control.astype(np.uint8), data, quads, end[first[1:]] - end[first[:-1]]
+    code = np.insert(more, np.repeat(first[1:], -counts % 4), 0)  # documents fill their last control byte
+    control = code[0::4] | code[1::4] << 2 | code[2::4] << 4 | code[3::4] << 6
+    at = np.arange(len(ranks) + 1)
+    at[1:] += np.cumsum(more, dtype=np.int64)
+    data = np.empty(int(at[-1]), dtype=np.uint8)
+    data[at[:-1]] = ranks & 255
+    for k in range(1, 4):
+        has = np.flatnonzero(more >= k)
+        data[at[has] + k] = ranks[has] >> 8 * k & 255
+    return control, data, -(-counts // 4), at[first[1:]] - at[first[:-1]]
 
 
 def decode(control: np.ndarray, data: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Ranks of all documents of a block, one after the other."""
-    quads = -(-counts // 4)
-    real = row_ranges(quads * 4) < np.repeat(counts, quads * 4)
-    size = LENGTHS[control].ravel()[real]
-    start = np.cumsum(size) - size
+    pad = -counts % 4
+    end = np.cumsum(counts + pad)
+    size = np.delete(LENGTHS[control].ravel(), np.repeat(end - pad, pad) + row_ranges(pad))
+    start = np.cumsum(size, dtype=np.int64) - size
     ranks = data[start].astype(np.uint32)
     for k in range(1, 4):
-        has = size > k
+        has = np.flatnonzero(size > k)
         ranks[has] |= data[start[has] + k].astype(np.uint32) << np.uint32(8 * k)
     return ranks
 

@@ -30,14 +30,14 @@ from pyspark.sql import types as T
 
 from ..session import work_path
 from .common import clean, collect_garbage, drop_stored, map_arrow, ranked, stored, written
-from .textkit import Words, row_ranges, slices
+from .textkit import Words, row_ranges, slices, text_bytes, text_hash
 
 CAPACITY = 2048
 END_ID = 0
 GROUPS = 64
 LARGE = (CAPACITY // 2 + 1, CAPACITY // 3 + 1, CAPACITY // 4 + 1)  # cuts between large and small that are tried
 SLICE = 4 << 20  # bytes of text at a time: fewer distinct pieces to look up
-CACHE_WORDS = 900_000  # distinct pieces whose ids a worker keeps, about 150 bytes each
+CACHE_WORDS = 1_500_000  # distinct pieces whose ids a worker keeps, about 60 bytes each
 
 
 def tokenizer_path() -> str:
@@ -54,7 +54,10 @@ ALNUM[list(b"abcdefghijklmnopqrstuvwxyz0123456789")] = True
 
 
 class _Tokens:
-    """Ids of pieces of text that the tokenizer never joins with their neighbours."""
+    """Ids of pieces of text that the tokenizer never joins with their neighbours.
+
+    Pieces are known by 128 bits of hash, in arrays sorted by the first 64.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -63,40 +66,54 @@ class _Tokens:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str | int, int] = {}  # piece -> its number; ids of number k: flat[begin[k]:begin[k + 1]]
+        self.first, self.second = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
+        self.number = np.zeros(0, dtype=np.int64)  # of the piece; ids of number k: flat[begin[k]:begin[k + 1]]
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
         self.begin = np.zeros(1 << 16, dtype=np.int64)
+        self.size = 0
+        self.ends: dict[int, int] = {}
 
-    def add(self, chunks: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        """Append pieces whose ids follow each other in ``ids``."""
-        have = len(self.known)
-        at = self.begin[have]
-        while len(self.begin) <= have + len(chunks):
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Numbers of new pieces whose ids follow each other in ``ids``."""
+        at = self.begin[self.size]
+        while len(self.begin) <= self.size + len(sizes):
             self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
         while len(self.flat) < at + len(ids):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.flat[at:at + len(ids)] = ids
-        self.begin[have + 1:have + 1 + len(chunks)] = at + np.cumsum(sizes)
-        self.known.update(zip(chunks, range(have, have + len(chunks))))
+        self.begin[self.size + 1:self.size + 1 + len(sizes)] = at + np.cumsum(sizes)
+        self.size += len(sizes)
+        return np.arange(self.size - len(sizes), self.size)
 
-    def of(self, chunks: list[str]) -> np.ndarray:
+    def of(self, chunks: pa.StringArray) -> np.ndarray:
         """Numbers of distinct pieces, encoded now where they are new."""
-        new = [c for c in chunks if c not in self.known]
-        if len(self.known) + len(new) > CACHE_WORDS:
+        buf, offsets = text_bytes(chunks)
+        first, second = (text_hash(buf, offsets[:-1], offsets[1:], family) for family in (0, 1))
+        place = np.searchsorted(self.first, first)
+        near = np.minimum(place, max(len(self.first) - 1, 0))
+        known = (self.first[near] == first) & (self.second[near] == second) if len(self.first) else np.zeros(len(first), dtype=bool)
+        new = np.flatnonzero(~known)
+        if self.size + len(new) > CACHE_WORDS and self.size:
             self.clear()
-            new = chunks
+            return self.of(chunks)
+        out = np.empty(len(first), dtype=np.int64)
+        out[known] = self.number[near[known]]
         for lo in range(0, len(new), 2000):
             group = new[lo:lo + 2000]
-            coded = [c.ids for c in self.model.encode_batch_fast(group, add_special_tokens=False)]
+            coded = [c.ids for c in self.model.encode_batch_fast(chunks.take(pa.array(group)).to_pylist(), add_special_tokens=False)]
             sizes = np.fromiter(map(len, coded), dtype=np.int64, count=len(group))
-            self.add(group, np.fromiter(chain.from_iterable(coded), dtype=np.uint32, count=int(sizes.sum())), sizes)
-        return np.fromiter(map(self.known.__getitem__, chunks), dtype=np.int64, count=len(chunks))
+            out[group] = self.add(np.fromiter(chain.from_iterable(coded), dtype=np.uint32, count=int(sizes.sum())), sizes)
+        new = new[np.argsort(first[new])]
+        self.first = np.insert(self.first, place[new], first[new])
+        self.second = np.insert(self.second, place[new], second[new])
+        self.number = np.insert(self.number, place[new], out[new])
+        return out
 
     def end(self, end_id: int) -> int:
         """Number of the piece that is the end id alone."""
-        if end_id not in self.known:  # other keys are text
-            self.add([end_id], np.array([end_id], dtype=np.uint32), np.ones(1, dtype=np.int64))
-        return self.known[end_id]
+        if end_id not in self.ends:
+            self.ends[end_id] = int(self.add(np.array([end_id], dtype=np.uint32), np.ones(1, dtype=np.int64))[0])
+        return self.ends[end_id]
 
 
 _TOKENS: dict[str, _Tokens] = {}
@@ -104,15 +121,16 @@ _TOKENS: dict[str, _Tokens] = {}
 
 def _pieces_of_words(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Byte ranges of the words, cut further between letters or digits and marks."""
-    inside = np.zeros(len(words.buf) + 1, dtype=bool)
+    starts, ends = (np.zeros(len(words.buf) + 1, dtype=bool) for _ in range(2))
+    starts[words.start], ends[words.end] = True, True
     if len(words.buf):
         mark, alnum = MARKS[words.buf], ALNUM[words.buf]
-        inside[1:-1] = (mark[1:] & alnum[:-1]) | (alnum[1:] & mark[:-1])
-    starts = np.zeros(len(words.buf) + 1, dtype=bool)
-    starts[words.start] = True
-    cuts = np.flatnonzero(inside & ~starts)
-    # a cut lies strictly inside a word, so it ends one piece and starts the next
-    return np.sort(np.concatenate([words.start, cuts])), np.sort(np.concatenate([words.end, cuts]))
+        cuts = (mark[1:] & alnum[:-1]) | (alnum[1:] & mark[:-1])
+        cuts &= ~starts[1:-1]
+        # a cut lies strictly inside a word, so it ends one piece and starts the next
+        starts[1:-1] |= cuts
+        ends[1:-1] |= cuts
+    return np.flatnonzero(starts), np.flatnonzero(ends)
 
 
 def token_ids(texts: pa.Array, path: str, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
@@ -126,7 +144,7 @@ def token_ids(texts: pa.Array, path: str, end_id: int = END_ID) -> tuple[np.ndar
         start, end = words.start, words.end
     coded = words.text_of(start, end).dictionary_encode()
     store = _TOKENS[path]
-    number = store.of(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
+    number = store.of(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
     last = np.searchsorted(start, words.offsets)[1:]
     number = np.insert(number, last, store.end(end_id))  # after the last piece of each text
     begin = store.begin[number]
@@ -175,18 +193,29 @@ def pieces(docs: DataFrame, text: str = "text", path: str | None = None, capacit
     return map_arrow(docs, run, T.StructType(keep + new.fields))
 
 
+def runs_of(ends: np.ndarray, flags: np.ndarray):
+    """(first byte, last byte, flag) of every stretch of neighbouring values with one flag."""
+    edge = np.flatnonzero(np.concatenate([[True], flags[1:] != flags[:-1], [True]])) if len(flags) else [0]
+    return [(ends[a], ends[b], flags[a]) for a, b in zip(edge[:-1], edge[1:])]
+
+
 def _widened(placed: DataFrame) -> DataFrame:
     """``placed`` with ids of 4 bytes, rows in their order."""
     names = placed.columns
 
-    def wide(ids: bytes, length: int) -> bytes:
-        return ids if len(ids) == 4 * length else np.frombuffer(ids, dtype="<u2").astype("<u4").tobytes()
-
     def run(batches):
         for batch in batches:
-            rows = zip(batch.column(names.index("ids")).to_pylist(), batch.column(names.index("length")).to_pylist())
-            ids = pa.array([wide(*r) for r in rows], pa.binary())
-            yield batch.set_column(names.index("ids"), "ids", ids)
+            for part in slices(batch, "ids", SLICE):
+                _, ends, data = part.column("ids").buffers()
+                ends = np.frombuffer(ends, dtype=np.int32)[part.column("ids").offset:][:part.num_rows + 1]
+                length = part.column("length").to_numpy()
+                short = np.diff(ends) < 4 * length
+                raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8)
+                ids = [raw[a:b].view("<u2" if s else "<u4") for a, b, s in runs_of(ends, short)]
+                flat = np.concatenate([x.astype("<u4") for x in ids]) if ids else np.zeros(0, dtype="<u4")
+                at = np.concatenate([[0], np.cumsum(4 * length)]).astype(np.int32)
+                wide = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(at), pa.py_buffer(flat)])
+                yield part.set_column(names.index("ids"), "ids", wide)
 
     return map_arrow(placed, run, placed.schema)
 

@@ -70,6 +70,11 @@ def _range_hash(values: np.ndarray, base: int, starts: np.ndarray, ends: np.ndar
     return mix((prefix[ends] - prefix[starts]) * _power(inverse, n + 1)[starts])
 
 
+def text_hash(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, family: int = 0) -> np.ndarray:
+    """64-bit hash of the bytes buf[starts:ends]."""
+    return _range_hash(buf.astype(_U) + _U(1), _MULT[family][0], starts, ends)
+
+
 def power(n: int) -> np.ndarray:
     """Powers of the base of ``polynomial``."""
     return _power(_MULT[0][0], n)
@@ -140,7 +145,7 @@ class Words:
 
     def hashes(self, family: int = 0) -> np.ndarray:
         """64-bit hash of every word."""
-        return _range_hash(self.buf.astype(_U) + _U(1), _MULT[family][0], self.start, self.end)
+        return text_hash(self.buf, self.start, self.end, family)
 
     def strings(self) -> pa.Array:
         """Every word as text."""
@@ -150,7 +155,7 @@ class Words:
         size = end - start
         offsets = np.zeros(len(start) + 1, dtype=np.int32)
         np.cumsum(size, out=offsets[1:])
-        data = self.buf[np.repeat(start - offsets[:-1], size) + np.arange(offsets[-1])]
+        data = self.buf[np.repeat((start - offsets[:-1]).astype(np.int32), size) + np.arange(offsets[-1], dtype=np.int32)]
         return pa.StringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(data))
 
     def joined(self, keep: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
