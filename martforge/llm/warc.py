@@ -94,18 +94,33 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse(records: DataFrame) -> DataFrame:
-    """Fields of the record headers beside the payload's length and digest."""
-    head = F.col("header").cast("string")
+    """Fields of the records, read from their whole bytes, beside the payload's length and digest.
+
+    A record is cut at its first blank line; its block must have the stated length and be
+    followed by the end marks and nothing else.  A response's payload is taken from its
+    block, a revisit's (which has none) from the archive.
+    """
+    mark = b"\r\n\r\n"
+    head = F.substring_index(F.col("record").cast("string"), mark.decode(), 1)
+    begin = F.octet_length(head) + len(mark)
 
     def field(name):
-        return F.regexp_extract(head, rf"\r\n{name}: ([^\r]*)\r\n", 1)
+        return F.regexp_extract(F.concat(F.col("head"), F.lit("\r\n")), rf"\r\n{name}: ([^\r]*)\r\n", 1)
 
     def page(name):
         return F.nullif(F.regexp_extract(field(name), r"^<urn:page:(.*)>$", 1), F.lit("")).cast("long")
 
+    rows = records.select("record", F.col("payload").alias("whole"), head.alias("head"), begin.alias("begin"))
+    rows = rows.withColumn("size", field("Content-Length").cast("int"))
+    end = F.expr("substring(record, begin + size + 1)")
+    rows = rows.withColumn("block", F.when(end == F.lit(mark), F.expr("substring(record, begin + 1, size)")).otherwise(
+        F.raise_error(F.lit("a record does not end where its Content-Length says")).cast("binary")))
+    response = field("WARC-Type") == "response"
+    payload = F.when(response, F.expr(f"substring(block, {len(HTTP) + 1})")).when(F.octet_length("block") == len(HTTP), F.col("whole"))
+    rows = rows.withColumn("payload", payload)
     digest = F.sha1("payload")
     stated = F.regexp_extract(field("WARC-Payload-Digest"), "^sha1:(.*)$", 1)
-    return records.select(
+    return rows.select(
         page("WARC-Record-ID").alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"),
         F.when(digest == stated, digest).otherwise(
             F.raise_error(F.lit("header digest does not match")).cast("string")).alias("payload_digest"),

@@ -41,3 +41,22 @@ def test_empty_and_repeated_rows(spark):
     warc.write_archive(pages(spark, [(1, "u", "q" * 1200)] * 2 + [(None, "u", "q" * 1200)]), path)
     got = sorted((r["page_id"] or 0, r["record_type"], r["refers_to"]) for r in warc.parse(warc.read_archive(spark, path)).collect())
     assert got == [(0, "revisit", 1), (1, "response", None), (1, "response", None)]
+
+
+def test_records_are_read_whole(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    from pyspark.sql import functions as F
+
+    long = "long ünd breit " * 90_000
+    rows = [(1, "u", long), (2, "u", long), (3, "u", "x\r\n\r\ny"), (4, "u", "")]
+    path = work_path(spark, "warc-test")
+    warc.write_archive(pages(spark, rows), path)
+    records = warc.read_archive(spark, path)
+    assert {r.page_id: r.payload_bytes for r in warc.parse(records).collect()} == {i: len(h.encode()) for i, _, h in rows}
+    for broken in (F.expr("substring(record, 1, octet_length(record) - 1)"), F.concat("record", F.lit(b"x")),
+                   F.expr("cast(replace(cast(record as string), 'Content-Length: ', 'Content-Length: 1') as binary)")):
+        with pytest.raises(PySparkException, match="Content-Length"):
+            warc.parse(records.withColumn("record", broken)).collect()
+    plan = warc.parse(records)._jdf.queryExecution().optimizedPlan().toString()
+    assert "concat(header" in plan  # the record is built and read
