@@ -61,18 +61,44 @@ def _quoted(pattern: str) -> str:
     return "'" + pattern.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+CHUNK = 64  # list entries that one array grows by
+
+
+def _fold(items: str, step, emit, kind: str, region: str = "''", finish: str = "ALL") -> str:
+    """SQL: the entries that ``emit`` adds while a number goes through the entries ``x`` of the
+    list ``items`` by ``step``, from 0.
+
+    ``step`` maps the name of the number to its next value, ``emit`` the names of number
+    and array to the grown array.  An array is copied whenever it grows, which costs the
+    square of its length: entries go in chunks, and the numbers at which the chunks start
+    come first (``t``).  ``region`` is a text ``r`` made once a chunk, ``finish`` goes around
+    the result.
+    """
+    part = f"slice(f, k * {CHUNK} + 1, {CHUNK})"
+    many = f"sequence(0, cast(greatest(size(f) - 1, 0) div {CHUNK} as int))"
+    starts = f"aggregate({many}, array(0), (a, k) -> concat(a, array(aggregate({part}, a[size(a) - 1], (s, x) -> {step('s')}))))"
+    grown = (f"aggregate({part}, named_struct('s', t[k], 'out', cast(array() as array<{kind}>)), "
+             f"(a, x) -> named_struct('s', {step('a.s')}, 'out', {emit('a.s', 'a.out')}), a -> a.out)")
+    body = finish.replace("ALL", f"flatten(transform({many}, k -> transform(array({region}), r -> {grown})[0]))")
+    # lists of one entry: so that the list and the starts are made once
+    return f"transform(array({items}), f -> transform(array({starts}), t -> {body})[0])[0]"
+
+
 def _located(text: str, pattern: str, keep: str, entry: str, kind: str) -> Column:
     """Array of spans of the matches that ``keep`` accepts; ``entry`` builds one from
-    its begin ``b`` and the match ``x.hit`` (``x.val``: its last group)."""
+    its begin BEGIN and the match ``x.hit`` (``x.val``: its last group)."""
     regex, group = _quoted(pattern), 2 if pattern == ASSIGN else 0
     found = (f"transform(arrays_zip(split({text}, {regex}, -1), regexp_extract_all({text}, {regex}, 0), "
              f"regexp_extract_all({text}, {regex}, {group})), z -> named_struct('piece', z.`0`, 'hit', z.`1`, 'val', z.`2`))")
+
     # pieces and matches alternate: a match begins after all pieces and matches before it
-    folded = (f"aggregate({found}, named_struct('at', 0, 'out', cast(array() as array<{kind}>)), (acc, x) -> named_struct("
-              f"'at', acc.at + length(x.piece) + coalesce(length(x.hit), 0), "
-              f"'out', if(x.hit is not null and {keep}, concat(acc.out, array({entry.replace('BEGIN', '(acc.at + length(x.piece))')})), acc.out)), "
-              f"acc -> acc.out)")
-    return F.expr(f"if({text} rlike {regex}, {folded}, cast(array() as array<{kind}>))")
+    def step(at):
+        return f"{at} + length(x.piece) + coalesce(length(x.hit), 0)"
+
+    def emit(at, out):
+        return f"if(x.hit is not null and {keep}, concat({out}, array({entry.replace('BEGIN', f'({at} + length(x.piece))')})), {out})"
+
+    return F.expr(f"if({text} rlike {regex}, {_fold(found, step, emit, kind)}, cast(array() as array<{kind}>))")
 
 
 SPAN = "struct<start:int,kind:int,end:int>"
@@ -183,9 +209,10 @@ def named(spans: str) -> Column:
 def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """Documents with every secret span replaced by ``mark`` (overlapping spans by one)."""
     body = f"coalesce(`{text}`, '')"
-    cut = (f"aggregate(secret_spans, named_struct('at', 0, 'out', cast(array() as array<string>)), (acc, s) -> named_struct("
-           f"'at', greatest(acc.at, s.end), 'out', if(s.start >= acc.at, concat(acc.out, array(substring({body}, acc.at + 1, s.start - acc.at), '{mark}')), acc.out)), "
-           f"acc -> concat(array_join(acc.out, ''), substring({body}, acc.at + 1)))")
+    # what a chunk of spans keeps lies between the ends before and after it
+    cut = _fold("secret_spans", lambda at: f"greatest({at}, x.end)", lambda at, out:
+                f"if(x.start >= {at}, concat({out}, array(substring(r, {at} - t[k] + 1, x.start - {at}), '{mark}')), {out})", "string",
+                f"substring({body}, t[k] + 1, t[k + 1] - t[k])", f"concat(array_join(ALL, ''), substring({body}, t[size(t) - 1] + 1))")
     found = scan(docs, text)
     return found.withColumn(text, F.when(F.size("secret_spans") > 0, F.expr(cut)).otherwise(F.col(f"`{text}`")))
 

@@ -77,3 +77,60 @@ def test_small_bands_are_pooled(spark):
     got = by_id(secrets.report(frame(spark, rows)))
     found = [f"random:2:{2 + len(key)}" in got[k]["spans"] for k, key in enumerate(seeds + few)]
     assert sum(found[:60]) >= 45 and sum(found[60:]) >= 21
+
+
+def test_one_text_of_many_matches(spark):
+    import time
+
+    rng = random.Random(2)
+    parts = [f"é{k} token={rng.getrandbits(64):016x} {'x' * (k % 40)}" for k in range(60_000)]
+    text = "\n".join(parts)
+    assert len(text) > 2_000_000
+    docs = frame(spark, [(1, text), (1, "plain"), (None, "token=0123456789abcdef"), (None, "token=0123456789abcdef")]).select("doc_id", "text")
+    began = time.time()
+    got = secrets.report(docs).collect()
+    took = time.time() - began
+    spans = base(text)
+    joined = ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+    assert len(spans) == 120_000 and [r.base_sha256 for r in got if r.n_hex > 9] == [hashlib.sha256(joined.encode()).hexdigest()]
+    assert sorted(str(r.n_assign) for r in got) == ["0", "1", "1", "60000"]
+    assert took < 90
+    clear = [r.text for r in secrets.redact(docs).collect() if len(r.text) > 1000][0]
+    assert clear == "\n".join(f"é{k} [SECRET] {'x' * (k % 40)}" for k in range(60_000))
+
+
+def direct(body, letters):
+    """The battery of one run, computed directly: p of the least of three two-sided tests."""
+    import math
+
+    codes, a, n = [letters.index(c) for c in body], len(letters), len(body)
+
+    def p(z):
+        z = min(abs(z), 20)
+        return min(1.0, 2 / (1 + math.exp(1.5976 * abs(z) + 0.07056 * abs(z) ** 3)))
+
+    chi = sum(codes.count(v) ** 2 for v in set(codes)) * a / n - n
+    high = [2 * v >= a for v in codes]
+    runs, ones = 1 + sum(x != y for x, y in zip(high, high[1:])), sum(high)
+    q = 2 * ones * (n - ones)
+    z = [((max(chi, 0) / (a - 1)) ** (1 / 3) - (1 - 2 / (9 * (a - 1)))) / math.sqrt(2 / (9 * (a - 1))),
+         9.0 if q <= n else (runs - 1 - q / n) / math.sqrt(q * (q - n) / (n * n * (n - 1))),
+         sum((x - (a - 1) / 2) * (y - (a - 1) / 2) for x, y in zip(codes, codes[1:])) / ((a * a - 1) / 12) / math.sqrt(n - 1)]
+    return 1 - (1 - min(map(p, z))) ** 3
+
+
+def test_battery_against_a_direct_computation(spark):
+    rng = random.Random(4)
+    rows = []
+    for k in range(120):
+        letters = rng.choice([x for _, _, x in secrets.ENCODINGS])
+        rows.append((k, "".join(rng.choice(letters[:rng.choice([3, len(letters)])]) for _ in range(rng.randint(20, 90)))))
+    scanned = secrets._scanned(spark.createDataFrame(rows, "doc_id bigint, text string"), "text").collect()
+    checked = 0
+    for r in scanned:
+        for run in r["_runs"]:
+            body = dict(rows)[r.doc_id][run.start:run.end]
+            letters = next(x for i, (_, rule, x) in enumerate(secrets.ENCODINGS) if i == run.stratum // 10)
+            assert abs(run.p - direct(body.rstrip("="), letters)) < 1e-9
+            checked += 1
+    assert checked >= 100
