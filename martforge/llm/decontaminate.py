@@ -32,6 +32,8 @@ from .textkit import ALNUM_WORDS, Words, cover, list_array
 WINDOW = 10
 BLOCK_BYTES = 256 << 10  # item text per automaton: about ten trie nodes a byte
 
+KEPT_AUTOMATA = 8  # of one worker
+
 FIELDS = ("n_words bigint, n_hit bigint, hit_words array<int>, hit_spans array<int>, "
           "hit_items array<string>")
 
@@ -65,6 +67,8 @@ def _scanner(shared):
             for window, value in shared.value.items():
                 state.add_word(window, value)
             state.make_automaton()
+            while len(_AUTOMATA) >= KEPT_AUTOMATA:  # a reused worker forgets those of earlier queries
+                del _AUTOMATA[next(iter(_AUTOMATA))]
             _AUTOMATA[key] = state
         words = Words(texts, ALNUM_WORDS, lower=True)
         data, spans = words.joined()
