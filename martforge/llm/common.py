@@ -6,7 +6,8 @@ import gc
 import os
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from contextvars import ContextVar
 from functools import wraps
 from pathlib import Path
@@ -24,30 +25,53 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-_written: list[str] = []
-#: tables of the operator that runs now in this thread; None outside of one
-_owned: ContextVar[list[str] | None] = ContextVar("tables of the running operator", default=None)
+class Tables:
+    """Tables that an operator has stored: its own, and those handed to its caller."""
+
+    def __init__(self) -> None:
+        self.own: list[str] = []
+        self.handed: list[str] = []
+
+    def result(self, df: DataFrame, name: str, **options) -> DataFrame:
+        """``stored``, for a table that outlives the operator."""
+        table = stored(df, name, **options)
+        self.handed.append(self.own.pop())
+        return table
+
+    def drop(self, k: int) -> None:
+        """Delete the ``k``-th of the own tables now."""
+        delete(self.own.pop(k))
+
+
+_running: ContextVar[Tables | None] = ContextVar("tables of the operator that runs in this thread", default=None)
+
+
+@contextmanager
+def own_tables() -> Iterator[Tables]:
+    """Tables stored inside are deleted at the end, but for results.
+
+    A result belongs to the operator around this one, if there is one in this
+    thread, and else stays until ``session.clean_work``.  Other threads and
+    operators keep theirs.
+    """
+    mine, outer = Tables(), _running.get()
+    token = _running.set(mine)
+    try:
+        yield mine
+    finally:
+        _running.reset(token)
+        for path in mine.own:
+            delete(path)
+        if outer is not None:
+            outer.own += mine.handed
 
 
 def scoped(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """An operator that owns the tables it stores: its result is written, then the
-    others are deleted.  The result belongs to the caller, if that is such an
-    operator too, and else stays until ``session.clean_work``."""
+    """An operator whose result is written and whose other tables go with it."""
     @wraps(operator)
     def run(*args, **kwargs):
-        mine: list[str] = []
-        outer = _owned.set(mine)
-        try:
-            lazy = operator(*args, **kwargs)
-            result = stored(lazy, operator.__name__)
-            result_path = mine.pop()
-        finally:
-            _owned.reset(outer)
-            for path in mine:
-                delete(path)
-        if _owned.get() is not None:
-            _owned.get().append(result_path)
-        return result
+        with own_tables() as mine:
+            return mine.result(operator(*args, **kwargs), operator.__name__)
 
     return run
 
@@ -72,7 +96,8 @@ def stored(df: DataFrame, name: str, by: tuple = (), **options) -> DataFrame:
     path = work_path(spark, name)
     writer = df.write.options(**options)
     (writer.partitionBy(*by) if by else writer).parquet(path)
-    (_written if _owned.get() is None else _owned.get()).append(path)
+    if _running.get() is not None:
+        _running.get().own.append(path)
     collect_garbage(spark)
     return spark.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])
 
@@ -82,27 +107,18 @@ def collect_garbage(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def drop_stored(spark: SparkSession, tables: slice = slice(None)) -> None:
-    """Delete the tables written by ``stored`` so far, or a slice of them; for
-    callers that have written the results made from them."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    gone = _written[tables]
-    del _written[tables]
-    for name in gone:
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        path.getFileSystem(conf).delete(path, True)
-
-
-def written() -> int:
-    """How many tables ``drop_stored`` would delete now."""
-    return len(_written)
-
-
 def clean(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so that extra columns cannot clash."""
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def numbered(docs: DataFrame, number: str, **columns: str) -> DataFrame:
+    """The columns named by ``columns`` (new name = old one) with a number per row, stored: ids
+    may be null or shared, rows stay apart."""
+    rows = docs.select(*[F.col(f"`{old}`").alias(new) for new, old in columns.items()])
+    return stored(rows.withColumn(number, F.monotonically_increasing_id()), "numbered", compression="zstd")
+
+
 def fold(doc_id) -> F.Column:
     """crc32 of the id as text, modulo 4; remainder 2 is the held-out fold."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 4

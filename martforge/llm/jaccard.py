@@ -25,7 +25,9 @@ T = ceil(percent (a + b) / (100 + percent)) shingles.
 
 Null texts and texts without words have an empty set and link with nothing;
 texts of fewer words than a shingle have their whole sequence as one shingle;
-repeated rows fall into one class; an empty table gives no rows.
+repeated rows fall into one class; an empty table gives no rows.  Rows are told
+apart by a number of their own: ids may be null or shared; a component of rows
+without ids has a null id.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_columns, clean, map_arrow, ship, stored
+from .common import add_columns, clean, looked_up, map_arrow, numbered, scoped, ship, stored
 from .components import components
 from .textkit import Words, list_array, mix, sequence_hash, slices
 
@@ -304,27 +306,40 @@ def _more_pairs(postings: DataFrame, joined: DataFrame, percent: int) -> DataFra
             .select(F.col("x").alias("q"), F.col("y").alias("x")).distinct())
 
 
-def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SIZE,
-            percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
+@scoped
+def row_classes(docs: DataFrame, text: str = "text", number: str = "_id", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """number, n_shingles, class (number of a row of the component; null without shingles) of stored
+    rows with a number each."""
     spark = docs.sparkSession
-    docs = clean(docs, doc_id, text).withColumnRenamed(doc_id, "_id")
+    docs = clean(docs, number, text).withColumnRenamed(number, "_id")
     order = _frequent(docs, text, size, percent, _sketch(docs, text, size, SKETCH_BITS))
     sets = stored(_sets(docs, text, size, percent, spark.sparkContext.broadcast(order)), "sets")
     keys = ["n_shingles", "d1", "d2"]
     filled = sets.where("n_shingles > 0")
-    folded = stored(filled.groupBy(*keys).agg(F.min("_id").alias("rep")), "classes")
+    folded = stored(filled.groupBy(*keys).agg(F.min("_id").alias("rep"), F.count(F.lit(1)).alias("_n")), "classes")
     postings = _postings(filled, folded)
     links = stored(_verify(_first_pairs(postings, percent), docs, text, size, percent), "first-links")
     more = stored(_more_pairs(postings, components(links), percent), "more-pairs")
     if not more.isEmpty():
         links = links.unionByName(_verify(more, docs, text, size, percent))
     joined = stored(components(links).select(F.col("node").alias("rep"), "component"), "components")
-    named = folded.select(*keys, "rep").join(joined, "rep", "left").select(
-        *keys, F.coalesce("component", "rep").alias("class"))
-    return (sets.select("_id", *keys).join(stored(named, "named"), keys, "left")
-            .select(F.col("_id").alias(doc_id), "n_shingles",
-                    F.when(F.col("n_shingles") > 0, F.col("class")).otherwise(F.col("_id")).alias("component_id")))
+    named = stored(folded.join(joined, "rep", "left").select(*keys, "_n", F.coalesce("component", "rep").alias("class")), "named")
+    rows = sets.select("_id", *keys)
+    none = rows.where("n_shingles = 0").withColumn("class", F.lit(None).cast("long"))
+    return (looked_up(rows.where("n_shingles > 0"), named, keys).unionByName(none)
+            .select(F.col("_id").alias(number), "n_shingles", "class"))
+
+
+@scoped
+def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SIZE,
+            percent: int = PERCENT) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (the smallest id of the component's rows)."""
+    rows = numbered(docs, "_id", _doc=doc_id, text=text)
+    found = row_classes(rows, "text", "_id", size, percent)
+    found = stored(found.join(rows.select("_id", "_doc"), "_id"), "labelled")
+    least = found.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("_doc").alias("least"), F.count(F.lit(1)).alias("_n"))
+    return looked_up(found, stored(least, "least-ids"), ["class"]).select(
+        F.col("_doc").alias(doc_id), "n_shingles", F.when(F.col("class").isNotNull(), F.col("least")).otherwise(F.col("_doc")).alias("component_id"))
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import work_path
-from .common import clean, collect_garbage, drop_stored, map_arrow, ranked, stored, written
+from .common import clean, collect_garbage, map_arrow, own_tables, ranked, stored
 from .textkit import Words, row_ranges, slices, text_bytes, text_hash
 
 CAPACITY = 2048
@@ -415,35 +415,34 @@ def pack(docs: DataFrame, text: str = "text", path: str | None = None, capacity:
          out: str | None = None) -> DataFrame:
     """Pieces with their token ids, sequence_id and offset, written under ``out``
     (a new folder if None): all pieces of a sequence in one file, in their order."""
-    spark, have = docs.sparkSession, written()
-    cut = stored(pieces(docs, text, path, capacity).withColumn("_uid", F.monotonically_increasing_id()), "pieces",
-                 compression="zstd")
-    counts = np.zeros(capacity + 1, dtype=np.int64)
-    for row in cut.groupBy("length").count().collect():  # at most ``capacity`` rows
-        counts[row["length"]] = row["count"]
-    rows = plan(counts, capacity).rows
-    placed = spark.createDataFrame(
-        rows, "length bigint, _lo bigint, _hi bigint, _first bigint, _per bigint, _offset bigint")
-    # the plan's size is bounded by the capacity and the number of groups; ranks need lengths only
-    ranks = ranked(cut.select("_uid", "length"), ["length"], "_uid", [F.col("_uid")], "_rank")
-    inside = (F.col("_rank") >= F.col("_lo")) & (F.col("_rank") < F.col("_hi"))
-    step = F.col("_rank") - F.col("_lo")
-    places = (ranks.join(F.broadcast(placed), "length").where(inside)
-              .select("_uid", (F.col("_first") + F.expr("(_rank - _lo) div _per")).alias("sequence_id"),
-                      (F.col("_offset") + (step % F.col("_per")) * F.col("length")).alias("offset")))
-    places = stored(places, "places")
-    # pieces grow with the documents: the same join at every size, never a broadcast
-    whole = stored(cut.drop("sequence_id", "offset").hint("merge").join(places, "_uid").drop("_uid"), "placed", compression="zstd")
-    if whole.count() != int(counts.sum()):
-        raise RuntimeError("the plan did not place every piece once")
-    drop_stored(spark, slice(have, have + 1))
-    collect_garbage(spark)  # once more, now that the last job no longer holds the join's shuffle
-    out = out or work_path(spark, "sequences")
-    (_widened(whole.repartition("sequence_id").sortWithinPartitions("sequence_id", "offset"))
-     .write.option("compression", "zstd").parquet(out))
-    packed = spark.read.schema(whole.schema).parquet(out)
-    drop_stored(spark, slice(have, None))
-    return packed
+    spark = docs.sparkSession
+    with own_tables() as mine:
+        cut = stored(pieces(docs, text, path, capacity).withColumn("_uid", F.monotonically_increasing_id()), "pieces",
+                     compression="zstd")
+        counts = np.zeros(capacity + 1, dtype=np.int64)
+        for row in cut.groupBy("length").count().collect():  # at most ``capacity`` rows
+            counts[row["length"]] = row["count"]
+        rows = plan(counts, capacity).rows
+        placed = spark.createDataFrame(
+            rows, "length bigint, _lo bigint, _hi bigint, _first bigint, _per bigint, _offset bigint")
+        # the plan's size is bounded by the capacity and the number of groups; ranks need lengths only
+        ranks = ranked(cut.select("_uid", "length"), ["length"], "_uid", [F.col("_uid")], "_rank")
+        inside = (F.col("_rank") >= F.col("_lo")) & (F.col("_rank") < F.col("_hi"))
+        step = F.col("_rank") - F.col("_lo")
+        places = (ranks.join(F.broadcast(placed), "length").where(inside)
+                  .select("_uid", (F.col("_first") + F.expr("(_rank - _lo) div _per")).alias("sequence_id"),
+                          (F.col("_offset") + (step % F.col("_per")) * F.col("length")).alias("offset")))
+        places = stored(places, "places")
+        # pieces grow with the documents: the same join at every size, never a broadcast
+        whole = stored(cut.drop("sequence_id", "offset").hint("merge").join(places, "_uid").drop("_uid"), "placed", compression="zstd")
+        if whole.count() != int(counts.sum()):
+            raise RuntimeError("the plan did not place every piece once")
+        mine.drop(0)  # the pieces without places
+        collect_garbage(spark)  # once more, now that the last job no longer holds the join's shuffle
+        out = out or work_path(spark, "sequences")
+        (_widened(whole.repartition("sequence_id").sortWithinPartitions("sequence_id", "offset"))
+         .write.option("compression", "zstd").parquet(out))
+        return spark.read.schema(whole.schema).parquet(out)
 
 
 def report(docs: DataFrame, out: str | None = None) -> DataFrame:

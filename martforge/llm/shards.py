@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import clean, ranked, ship, stored
+from .common import clean, own_tables, ranked, ship, stored
 
 SHARDS = 8
 SEED = 20260104
@@ -96,17 +96,18 @@ def _placed(kept: DataFrame, blocks: list[tuple], ends: np.ndarray, seed: int) -
 
 def shuffle_to_shards(rows: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """Whole rows plus ``shard`` and ``slot`` (gapless from 0 in its shard), written to a folder per shard."""
-    kept = stored(rows.withColumn("_uid", F.monotonically_increasing_id()), "shard-rows", compression="zstd")
-    # blocks of a partition: one task's worth of rows, however large the partition is
-    row = F.col("_uid").bitwiseAND(F.lit((1 << PART_BITS) - 1))
-    sizes = (kept.groupBy(F.shiftright("_uid", PART_BITS).alias("part"), F.floor(row / BLOCK_ROWS).alias("chunk"))
-             .count().orderBy("part", "chunk").collect())
-    blocks = [tuple(r) for r in sizes]
-    matrix = draw_matrix(np.array([n for _, _, n in blocks], dtype=np.int64), shards, seed)
-    sent = _placed(kept, blocks, matrix.cumsum(axis=1), seed)
-    order = [F.xxhash64(F.lit(seed + 1), F.col("_uid")), F.col("_uid")]
-    done = ranked(sent, ["shard"], "_uid", order, "slot").drop("_uid")
-    return stored(done, "shards", by=("shard",), compression="zstd")
+    with own_tables() as mine:
+        kept = stored(rows.withColumn("_uid", F.monotonically_increasing_id()), "shard-rows", compression="zstd")
+        # blocks of a partition: one task's worth of rows, however large the partition is
+        row = F.col("_uid").bitwiseAND(F.lit((1 << PART_BITS) - 1))
+        sizes = (kept.groupBy(F.shiftright("_uid", PART_BITS).alias("part"), F.floor(row / BLOCK_ROWS).alias("chunk"))
+                 .count().orderBy("part", "chunk").collect())
+        blocks = [tuple(r) for r in sizes]
+        matrix = draw_matrix(np.array([n for _, _, n in blocks], dtype=np.int64), shards, seed)
+        sent = _placed(kept, blocks, matrix.cumsum(axis=1), seed)
+        order = [F.xxhash64(F.lit(seed + 1), F.col("_uid")), F.col("_uid")]
+        done = ranked(sent, ["shard"], "_uid", order, "slot").drop("_uid")
+        return mine.result(done, "shards", by=("shard",), compression="zstd")
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -21,8 +21,8 @@ Equality is decided by 128 bits (anchor and path or window hash are
 independent).  Equal word sequences are folded to one first: all windows of a
 text that has copies repeat.  Null or empty texts have no words; texts of
 fewer words than a window are left alone; repeated rows are copies; an empty
-table gives no rows.  Document ids must be unique (the coordinates of a row);
-rows that share an id and the words count as copies.
+table gives no rows.  Rows are told apart by a number of their own: ids may be
+null or shared, and every row is judged by its words alone.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_columns, clean, map_arrow, stored
+from .common import add_columns, looked_up, map_arrow, numbered, scoped, stored
 from .textkit import Words, cover, list_array, row_ranges, sequence_hash, slices
 
 WINDOW = 35
@@ -160,21 +160,25 @@ def _marks(docs: DataFrame, groups: DataFrame) -> DataFrame:
         "rep", F.col("m.lo").alias("los"), F.col("m.mask").alias("masks"))
 
 
+@scoped
 def find_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: id, n_words, n_removed, kept_sha256 and spans (removed word ranges, flattened)."""
-    docs = clean(docs, doc_id, text).toDF("_id", "text")
+    docs = numbered(docs, "_id", _doc=doc_id, text=text)
     scanned = stored(add_columns(docs, "text", SCAN_FIELDS, _scan).drop("text"), "scan")
     keys = ["n_words", "d1", "d2"]
-    groups = stored(scanned.where(F.col("n_words") >= WINDOW).groupBy(*keys).agg(
+    long = F.col("n_words") >= WINDOW
+    groups = stored(scanned.where(long).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("copies"), F.min("_id").alias("rep"), F.first("anchors").alias("anchors")), "groups")
-    marks = _marks(docs, groups)
-    cut = stored(_spans(docs.withColumnRenamed("_id", "rep").join(stored(marks, "marked"), "rep")), "cut")
+    marks = _marks(docs.drop("_doc"), groups)
+    cut = stored(_spans(docs.drop("_doc").withColumnRenamed("_id", "rep").join(stored(marks, "marked"), "rep")), "cut")
     # only texts without copies have marks, so a cut row belongs to one document
-    known = scanned.drop("anchors").join(groups.select(*keys, "copies"), keys, "left")
+    rows = scanned.drop("anchors")
+    copies = groups.select(*keys, "copies", F.col("copies").alias("_n"))
+    known = looked_up(rows.where(long), copies, keys).unionByName(rows.where(~long).withColumn("copies", F.lit(None).cast("long")))
     known = known.join(cut.withColumnRenamed("rep", "_id"), "_id", "left")
     copied = F.coalesce(F.col("copies"), F.lit(1)) > 1
     return known.select(
-        F.col("_id").alias(doc_id), "n_words",
+        F.col("_doc").alias(doc_id), "n_words",
         F.when(copied, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(copied, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.coalesce("kept_sha256", "whole_sha256")).alias("kept_sha256"),
         F.when(copied, F.array(F.lit(0).cast("long"), F.col("n_words")))

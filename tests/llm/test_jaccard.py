@@ -91,3 +91,19 @@ def test_empty_and_short(spark):
     got = by_id(jaccard.report(frame(spark, [(5, None), (6, ""), (7, "A b"), (8, "a  B"), (9, "a b c")])))
     assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == {
         5: (0, 5), 6: (0, 6), 7: (1, 7), 8: (1, 7), 9: (1, 9)}
+
+
+def test_rows_without_own_ids_and_texts_beyond_a_slice(spark):
+    rng = random.Random(6)
+    base, long = prose(rng, 120), prose(rng, 200_000)
+    assert len(long.encode()) > 1 << 20
+    texts = [base, near(rng, base, 1), prose(rng, 40), near(rng, base, 2), base, None, long, near(rng, long, 3), "a b", "A B", prose(rng, 30)]
+    ids = [9, 9, 9, None, 4, None, None, None, None, 5, None]
+    roots = brute(list(enumerate(texts)))
+    least = {}
+    for k, i in enumerate(ids):
+        if i is not None:
+            least[roots[k][1]] = min(i, least.get(roots[k][1], i))
+    want = [(i, roots[k][0], least.get(roots[k][1]) if roots[k][0] else i) for k, i in enumerate(ids)]
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.report(frame(spark, list(zip(ids, texts)))).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)

@@ -121,3 +121,14 @@ def test_near_duplicates_at_five_words_and_four_fifths(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = {r.doc_id for r in cp.drop_near_duplicates(spark, docs, "").collect()}
     assert got == {i for i in root if root[i] == i}
+
+
+def test_near_duplicates_keep_every_text(spark):
+    rng = random.Random(12)
+    base, lone = prose(rng, 90), prose(rng, 70)
+    rows = [(1, base), (1, lone), (1, lone), (2, base + " more"), (None, base), (None, prose(rng, 50)), (None, None), (3, None), (3, ""), (None, "")]
+    docs = spark.createDataFrame([(i, t, i, "x") for i, t in rows], "doc_id bigint, text string, _row bigint, n_shingles string")
+    out = cp.drop_near_duplicates(spark, docs, "")
+    assert out.columns == docs.columns
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    assert got == sorted([(1, base), (1, lone), rows[5], (None, None), (3, None), (3, ""), (None, "")], key=str)

@@ -90,11 +90,3 @@ def test_turnless_empty_and_long_texts(spark):
     assert run(spark, rows) == brute(rows)
     assert run(spark, []) == set()
     assert run(spark, [(None, 0, "user", "x")]) == set()
-
-
-def test_tables_of_an_operator_go_with_it(spark):
-    before = len(common._written)
-    result = prefixtrie.trie(spark.createDataFrame([(*r, "x", 1, 2.0) for r in random_rows(5)], SCHEMA))
-    assert len(common._written) == before and common._owned.get() is None
-    common.drop_stored(spark)
-    assert result.count() > 0

@@ -53,3 +53,16 @@ def test_boundaries_of_repeats(spark):
 def test_empty_table(spark):
     assert substrings.report(frame(spark, [])).count() == 0
     assert by_id(substrings.report(frame(spark, [(1, None)])))[1]["n_removed"] == 0
+
+
+def test_rows_without_own_ids_and_texts_beyond_a_slice(spark):
+    rng = random.Random(8)
+    shared, other = prose(rng, 60), prose(rng, 50)
+    texts = [f"{prose(rng, 30)} {shared}", f"{shared} {prose(rng, 10)}", f"{prose(rng, 5)} {shared} {prose(rng, 9)}", prose(rng, 80), None,
+             f"{other} {prose(rng, 12)}", other, other, prose(rng, 200_000) + " " + shared, "x"]
+    ids = [1, 1, 2, None, None, None, 7, 7, 8, 1]
+    assert len(texts[8].encode()) > 1 << 20
+    want = brute(list(enumerate(texts)))
+    got = [(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substrings.report(frame(spark, list(zip(ids, texts)))).collect()]
+    assert sorted(got, key=str) == sorted([(i, *want[k]) for k, i in enumerate(ids)], key=str)
+    assert want[0][1] and want[5][1] and want[8][1]
