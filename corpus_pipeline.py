@@ -1,9 +1,9 @@
 """Corpus pipeline: toxicity, near duplicates, benchmark leaks, secrets, packing.
 
 Each stage is ``f(spark, docs, sf_dir) -> DataFrame``; its result is written
-and read again as the next stage's ``docs``, so a stage first deletes the
-intermediate tables of the one before it.  Column names of the input are
-set aside while a stage works, so that extra columns cannot clash with its own.
+and read again as the next stage's ``docs``, and the stage's intermediate
+tables are deleted then.  Column names of the input are set aside while a
+stage works, so that extra columns cannot clash with its own.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martforge.llm import decontaminate, jaccard, packing, secrets, toxicity
-from martforge.llm.common import clean, drop_stored, read
+from martforge.llm.common import clean, numbered, own_tables, read
 from martforge.session import work_path
 
 #: near duplicates: five-word shingles, Jaccard similarity 0.8 (op5's query has its own 4 and 85)
@@ -31,7 +31,6 @@ def _back(docs: DataFrame, names: dict[str, str]) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays below the threshold."""
-    drop_stored(spark)
     labels = clean(read(spark, sf_dir, "labels"), "doc_id", "toxic")
     model = toxicity.train(clean(docs, "doc_id", "text"), labels)
     rows, names = _aside(docs)
@@ -41,18 +40,21 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates: the one with the smallest id.
 
-    Rows without id stay; of rows that share an id one stays.
+    Rows count by their texts: rows without id or with the same id stay unless they are
+    near duplicates.  A row without id gives way to one that has an id.
     """
-    drop_stored(spark)
-    found = jaccard.classes(docs, size=NEAR_SIZE, percent=NEAR_PERCENT)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+    rows, names = _aside(docs)
+    rows = numbered(rows, "_row", **{c: c for c in names.values()})
+    found = jaccard.row_classes(rows, names["text"], "_row", NEAR_SIZE, NEAR_PERCENT)
+    ids = found.join(rows.select("_row", F.col(names["doc_id"]).alias("_doc")), "_row")
+    first = F.min(F.struct(F.col("_doc").isNull().alias("none"), "_doc", "_row"))["_row"]
+    kept = ids.where(F.col("class").isNotNull()).groupBy("class").agg(first.alias("_row")).select("_row")
+    kept = kept.unionByName(ids.where(F.col("class").isNull()).select("_row"))  # no words: near nothing
+    return _back(rows.join(kept, "_row", "left_semi"), names)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
-    drop_stored(spark)
     rows, names = _aside(docs)
     marked = decontaminate.decontaminate(rows, read(spark, sf_dir, "benchmark"), text=names["text"])
     return _back(marked.where(F.col("n_hit") == 0), names)
@@ -60,7 +62,6 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secret spans replaced; n_chars follows the text."""
-    drop_stored(spark)
     rows, names = _aside(docs)
     text = names["text"]
     done = secrets.redact(rows, text=text)
@@ -73,7 +74,6 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str, out: str | None = None) -> DataFrame:
     """Pieces of the remaining documents, packed; the sequences are written under ``out``."""
-    drop_stored(spark)
     return packing.report(docs, out)
 
 
@@ -98,7 +98,8 @@ def run(spark: SparkSession, sf_dir: str, out: str | None = None) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = work_path(spark, f"pipeline-{name}")
-        done = stage(spark, docs, sf_dir, out) if stage is pack else stage(spark, docs, sf_dir)
-        done.write.parquet(path)
+        with own_tables():
+            done = stage(spark, docs, sf_dir, out) if stage is pack else stage(spark, docs, sf_dir)
+            done.write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
