@@ -10,18 +10,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.measures import merged_avg, merged_sum, money_avg, money_parts, money_sum
-from .sizing import materialize
+from .sizing import materialize, materialize_counted
 
 
 def kpis(w: DataFrame) -> DataFrame:
-    """B1-B5 in one pass."""
-    return w.agg(
-        money_sum("sales").alias("total_sales"),
-        money_sum("profit").alias("total_profit"),
-        F.count_distinct("order_id").alias("total_orders"),
-        money_avg("profit_margin").alias("avg_profit_margin"),
-        F.count_distinct("customer_id").alias("total_customers"),
-    )
+    """B1-B5, ``w`` run once: money is summed while the two id columns are written, and each
+    distinct count reads its own column back (one row per id and task is exchanged, and no row
+    is repeated per count)."""
+    ids, sums = materialize_counted(w, {
+        "total_sales": money_sum("sales"), "total_profit": money_sum("profit"), "avg_profit_margin": money_avg("profit_margin")},
+        "kpi-ids", ["order_id", "customer_id"])
+
+    def distinct(column, name):
+        counted = ids.groupBy(column).agg(F.count(F.lit(1)).alias("n")).agg(F.count(column).alias(name))
+        other = "total_customers" if name == "total_orders" else "total_orders"
+        return counted.withColumn(other, F.lit(None).cast("long"))
+
+    both = distinct("order_id", "total_orders").unionByName(distinct("customer_id", "total_customers"))
+    return both.agg(
+        F.max(F.lit(sums["total_sales"]).cast("double")).alias("total_sales"), F.max(F.lit(sums["total_profit"]).cast("double")).alias("total_profit"),
+        F.max("total_orders").alias("total_orders"), F.max(F.lit(sums["avg_profit_margin"]).cast("double")).alias("avg_profit_margin"),
+        F.max("total_customers").alias("total_customers"))
 
 
 def measure_by(w: DataFrame, dim: str, measure: str, how: str = "sum",

@@ -22,11 +22,15 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return materialize_counted(df, {}, name)[0]
 
 
-def materialize_counted(df: DataFrame, metrics: dict[str, Column], name: str = "table") -> tuple[DataFrame, dict]:
-    """``materialize``, and aggregates over the rows counted while they were written, ``rows`` among them."""
+def materialize_counted(df: DataFrame, metrics: dict[str, Column], name: str = "table",
+                        columns: list[str] | None = None) -> tuple[DataFrame, dict]:
+    """``materialize`` (of ``columns`` only, if given), and aggregates over the rows counted while
+    they were written, ``rows`` among them."""
     obs = Observation(f"rows_{uuid.uuid4().hex}")
     path = work_path(df.sparkSession, name)
-    df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()]).write.parquet(path)
+    seen = df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()])
+    df = seen if columns is None else seen.select(*columns)
+    df.write.parquet(path)
     got = dict(obs.get)
     # the schema is known: read back without a footer-inference job
     return verified(df.sparkSession.read.schema(df.schema).parquet(path), int(got["rows"]), path), got

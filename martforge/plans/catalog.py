@@ -19,7 +19,7 @@ from ..functions.calendar import back_to_school_flag, weekend_flag
 from ..functions.cleaning import parse_text_date, to_number, to_timestamp_tolerant
 from ..functions.columns import normalize_columns
 from ..functions.measures import extreme_weather_flag, holiday_flag, positive_flag, profit_margin
-from ..operators import bi, daystate, dims, profile
+from ..operators import bi, daystate, dims, distinct, profile
 from ..operators import quality as Q
 from ..operators import days
 from ..operators.days import add_proximity, add_season, daily_sales, holiday_calendar, thanksgiving_by_year
@@ -685,6 +685,27 @@ def bi_kpis(spark, sf):
     return bi.kpis(bi_table(spark, sf))
 
 
+@query
+def bi_distinct_by_month(spark, sf):
+    """Orders and customers per month and over all (year and month 0), from bitmaps of
+    two loads that were numbered and kept one after the other."""
+    w = bi_table(spark, sf).select("order_id", "customer_id", "year", "month", "ship_mode")
+    w = materialize(w, "bi-ids")
+    late = F.coalesce(F.col("ship_mode") == "5-LOW", F.lit(False))
+    out = None
+    for column, name in (("order_id", "orders"), ("customer_id", "customers")):
+        path, parts = work_path(spark, f"{name}-numbers"), []
+        for load in (w.where(~late), w.where(late)):
+            numbers = distinct.number_keys(spark, path, load, column)
+            parts.append(materialize(distinct.bitmaps(load, column, numbers, ["year", "month"]), f"{name}-bitmaps"))
+        kept = parts[0].unionByName(parts[1])
+        months = distinct.distinct_count(kept.where("year is not null"), ["year", "month"], name)
+        whole = distinct.distinct_count(kept.withColumns({c: F.lit(None).cast("int") for c in ("year", "month")}), ["year", "month"], name)
+        found = months.unionByName(whole).select(F.coalesce("year", F.lit(0)).alias("year"), F.coalesce("month", F.lit(0)).alias("month"), name)
+        out = found if out is None else out.join(found, ["year", "month"], "full")
+    return out
+
+
 def _bi_measure(dim, measure, how, by_measure):
     def run(spark, sf):
         return bi.measure_by(bi_table(spark, sf), dim, measure, how, by_measure=by_measure)

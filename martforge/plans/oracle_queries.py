@@ -405,6 +405,9 @@ FULL OUTER JOIN ({_dim_build(f"({_staging('NOT (' + _EARLY + ')')})")}) s ON t.c
 ORACLE["dim_merge_in_place"] = ORACLE["customer_dim_upsert"]
 
 # ------------------------------------------------------------------ BI sheets
+ORACLE["bi_distinct_by_month"] = sql(["clean"], """SELECT CAST(year("Order Date") AS INTEGER) AS year, CAST(month("Order Date") AS INTEGER) AS month,
+  COUNT(DISTINCT "Order ID") AS orders, COUNT(DISTINCT "Customer ID") AS customers FROM clean WHERE "Order Date" IS NOT NULL GROUP BY 1, 2
+UNION ALL SELECT 0, 0, COUNT(DISTINCT "Order ID"), COUNT(DISTINCT "Customer ID") FROM clean""")
 _BI = {
     "bi_sales_trend_by_year": ("year", "year", "Sales", "sum"),
     "bi_sales_by_category": ('"Category"', "category", "Sales", "sum"),

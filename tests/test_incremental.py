@@ -148,3 +148,51 @@ def test_top_customers_in_one_pass(spark):
     assert runs.value == 400
     once = bi.rows_in_top(w.withColumn("row_id", counted("row_id")), "customer_id", "profit", "avg", 5, ["row_id", "profit"])
     assert rows(once) == rows(kept.select("row_id", "profit")) and runs.value == 800
+
+
+def test_kpis_run_once_and_repeat_no_row(spark):
+    w = sheet(spark).withColumn("profit_margin", F.col("profit") / 3)
+    want = w.agg(money_sum("sales"), money_sum("profit"), F.count_distinct("order_id"), money_avg("profit_margin"),
+                 F.count_distinct("customer_id")).first()
+    got = bi.kpis(w)
+    assert tuple(got.first()) == tuple(want)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+    none = bi.kpis(w.where("row_id < 0")).first()
+    assert tuple(none) == (None, None, 0, None, 0)
+
+
+# ---------------------------------------------------------------- distinct counts
+def test_numbers_are_dense_and_stay(spark, tmp_path):
+    from martforge.operators import distinct
+
+    path = str(tmp_path / "numbers")
+    loads = [[f"k{i}" for i in range(500)] + [None, "k1"], ["k7", "x", "x"], [], [f"y{i}" for i in range(300)]]
+    seen = {}
+    for load in loads:
+        rows = spark.createDataFrame([(k,) for k in load], "id string")
+        numbers = {r.key: r.number for r in distinct.number_keys(spark, path, rows, "id", buckets=8).collect()}
+        assert {k: n for k, n in numbers.items() if k in seen} == seen
+        assert len(set(numbers.values())) == len(numbers) and set(numbers) == set(seen) | {k for k in load if k}
+        seen = numbers
+    assert max(seen.values()) < 2 * len(seen)
+
+
+def test_bitmaps_add_up(spark, tmp_path):
+    from martforge.operators import distinct
+
+    rng = random.Random(1)
+    rows = spark.createDataFrame([(rng.choice("abc"), rng.randrange(3), rng.choice([None, f"k{rng.randrange(300_000)}"])) for _ in range(60_000)],
+                                 "g string, load int, id string")
+    path, parts = str(tmp_path / "numbers"), []
+    for load in range(3):
+        one = rows.where(F.col("load") == load)
+        numbers = distinct.number_keys(spark, path, one, "id")
+        parts.append(distinct.bitmaps(one, "id", numbers, ["g"]).cache())
+        parts[-1].count()
+    kept = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    want = {r.g: r.n for r in rows.groupBy("g").agg(F.count_distinct("id").alias("n")).collect()}
+    assert {r.g: r.n for r in distinct.distinct_count(kept, ["g"], "n").collect()} == want
+    assert distinct.distinct_count(kept, [], "n").first().n == rows.agg(F.count_distinct("id")).first()[0]
+    assert kept.agg(F.max("slot")).first()[0] > 1  # several bitmaps a set
+    assert distinct.distinct_count(kept.where("g = 'z'"), [], "n").first().n == 0
