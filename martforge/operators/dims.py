@@ -113,6 +113,13 @@ def merge_dimension(spark: SparkSession, path: str, source: DataFrame, buckets:
     return touched
 
 
+def stored_key(spark: SparkSession, path: str) -> str | None:
+    """The key that the dimension at ``path`` holds once: every merge groups by it, and equal
+    keys share a folder.  None for a table that ``merge_dimension`` did not make."""
+    folders, note = Folders(spark, path), f"{path}/{LAYOUT}"
+    return json.loads(folders.text(note))["key"] if folders.exists(note) else None
+
+
 def read_dimension(spark: SparkSession, path: str, with_bucket: bool = False) -> DataFrame:
     """The dimension stored by ``merge_dimension`` as its last complete merge left it."""
     schema = T.StructType([*CUSTOMER_DIM.fields, T.StructField("bucket", T.IntegerType())])

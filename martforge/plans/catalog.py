@@ -506,6 +506,15 @@ def wide_analytics(spark, sf):
     return wide(spark, sf)
 
 
+@query
+def wide_from_stored_dimension(spark, sf):
+    """X4 on X6: the wide table over the stored dimension, whose key the store vouches for."""
+    path, r = work_path(spark, "customer-dim-wide"), raw(spark, sf)
+    dims.merge_dimension(spark, path, D.customer_dimension(spark, sf))
+    return build_wide(clean_sales(r), dims.read_dimension(spark, path), holidays(spark, sf), weather(spark, sf), raw=r,
+                      kept_by=dims.stored_key(spark, path))
+
+
 @query
 def holiday_order_count(spark, sf):
     return bi_table(spark, sf).agg(F.count_if(F.col("holiday_flag") == 1).alias("holiday_order_lines"))

@@ -402,6 +402,7 @@ ORACLE["customer_dim_upsert"] = sql(["raw"], f"""SELECT coalesce(s.customer_id,
 FROM ({_dim_build(f"({_staging(_EARLY)})")}) t
 FULL OUTER JOIN ({_dim_build(f"({_staging('NOT (' + _EARLY + ')')})")}) s ON t.customer_id = s.customer_id""")
 
+ORACLE["wide_from_stored_dimension"] = ORACLE["wide_analytics"]
 ORACLE["dim_merge_in_place"] = ORACLE["customer_dim_upsert"]
 
 # ------------------------------------------------------------------ BI sheets

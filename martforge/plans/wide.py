@@ -28,10 +28,12 @@ def holidays_from_documents(documents: DataFrame, names: list[str] | None = None
 
 
 def build_wide(clean: DataFrame, customers: DataFrame, holidays: DataFrame,
-               weather: DataFrame | None = None, raw: DataFrame | None = None) -> DataFrame:
+               weather: DataFrame | None = None, raw: DataFrame | None = None, kept_by: str | None = None) -> DataFrame:
     """Clean ledger ⟕ customers ⟕ holidays ⟕ weather, then features.
 
-    * customers: left join, shuffle or broadcast chosen by the planner/AQE;
+    * customers: left join, shuffle or broadcast chosen by the planner/AQE; a stored
+      dimension that is kept by its key (``kept_by``, see ``dims.stored_key``) is not
+      grouped again to see that each key is there once;
     * holidays and weather: day-grain tables, written once; the planner
       broadcasts them by their bytes;
     * the rolling table is summed from the ledger joined with holidays only:
@@ -41,7 +43,8 @@ def build_wide(clean: DataFrame, customers: DataFrame, holidays: DataFrame,
       pre-aggregated per date text, so the day job parses distinct texts only.
     """
     h = materialize(holidays.select("holiday_name", "holiday_date"), "holidays")
-    rows = join_sales_holidays(join_sales_customers(clean, unique_key(customers, ["customer_id"])), h)
+    customers = customers if kept_by == "customer_id" else unique_key(customers, ["customer_id"])
+    rows = join_sales_holidays(join_sales_customers(clean, customers), h)
     if weather is not None:
         w = materialize(weather, "weather")
         rows = join_sales_weather(rows, unique_key(w, ["weather_region", "weather_date"]))

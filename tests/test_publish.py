@@ -194,6 +194,22 @@ def test_merge_equals_upsert(spark, tmp_path):
     assert rows(dims.read_dimension(spark, path)) == rows(want.select(*dims.CUSTOMER_DIM.fieldNames()))
 
 
+def test_a_stored_key_spares_the_check(spark, tmp_path, monkeypatch):
+    from martforge.plans import wide
+
+    path = str(tmp_path / "dim")
+    dims.merge_dimension(spark, path, listing(spark, ("a", "x"), ("b", "y")), buckets=4)
+    assert dims.stored_key(spark, path) == "customer_id" and dims.stored_key(spark, str(tmp_path / "none")) is None
+    asked = []
+    monkeypatch.setattr(wide, "unique_key", lambda df, keys: asked.append(keys) or df)
+    ledger = spark.createDataFrame([("a", None, "r", 1.0, 1.0, "p")], "`Customer ID` string, `Order Date` date, Region string, Sales double, Profit double, `Product Name` string")
+    none = spark.createDataFrame([], "holiday_name string, holiday_date date")
+    for kept_by, checks in ((dims.stored_key(spark, path), 0), (None, 1), ("other", 1)):
+        asked.clear()
+        got = wide.build_wide(ledger, dims.read_dimension(spark, path), none, kept_by=kept_by)
+        assert got.select("db_customer_name").first()[0] == "x" and len(asked) == checks
+
+
 def test_failing_merge_leaves_the_dimension(spark, tmp_path):
     path = str(tmp_path / "dim")
     dims.merge_dimension(spark, path, listing(spark, ("a", "x"), ("b", "y")), buckets=4)
