@@ -48,6 +48,7 @@ from .textkit import LOWER, mix, polynomial, power, row_ranges, slices, text_byt
 LEAST_LENGTH, LEAST_COUNT = 7, 2
 RATIO = 10  # a form is so many times as frequent as its variant
 EDIT_ONE_IN = 31
+LONG_RUN = 64  # bytes up to which runs go through the checksum together
 PRUNE = 1 / 2000  # a gram in a greater share of the words is frequent
 NEXT = 4
 BUNDLE = 50_000
@@ -93,16 +94,18 @@ class Runs:
 
     def checksums(self, doc_ids: list) -> np.ndarray:
         """CRC-32 of '<doc_id>:<run>' of every run."""
-        state = np.array([zlib.crc32(f"{'' if d is None else d}:".encode()) for d in doc_ids], dtype=np.uint32)
-        state = state[self.doc] ^ np.uint32(0xFFFFFFFF)
+        prefix = np.array([zlib.crc32(f"{'' if d is None else d}:".encode()) for d in doc_ids], dtype=np.uint32)[self.doc]
         size = self.bytes_hi - self.bytes_lo
         order = np.argsort(-size, kind="stable")
-        state, at, size = state[order], self.bytes_lo[order], size[order]
-        for k in range(int(size[0]) if len(size) else 0):
-            n = int(np.searchsorted(-size, -k))  # runs longer than k come first
+        order = order[size[order] <= LONG_RUN]
+        state, at, size_of = prefix[order] ^ np.uint32(0xFFFFFFFF), self.bytes_lo[order], size[order]
+        for k in range(int(size_of[0]) if len(size_of) else 0):
+            n = int(np.searchsorted(-size_of, -k))  # runs longer than k come first
             state[:n] = CRC[(state[:n] ^ self.raw[at[:n] + k]) & np.uint32(255)] ^ (state[:n] >> np.uint32(8))
-        out = np.empty_like(state)
+        out = np.empty_like(prefix)
         out[order] = state ^ np.uint32(0xFFFFFFFF)
+        for i in np.flatnonzero(size > LONG_RUN).tolist():
+            out[i] = zlib.crc32(self.raw[self.bytes_lo[i]:self.bytes_hi[i]].tobytes(), int(prefix[i]))
         return out
 
 
