@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 BLOCK = 64
+AT_ONCE = 2048  # blocks whose messages are held at the same time
 
 
 class Chains:
@@ -35,7 +36,8 @@ class Chains:
         m = np.exp(trans)
         x = np.ones((BLOCK, self.blocks))
         x[self.step, self.block] = np.exp(np.clip(score, -30, 30))
-        p = self._products(m, x)
+        parts = [slice(lo, lo + AT_ONCE) for lo in range(0, self.blocks, AT_ONCE)]
+        p = np.concatenate([_products(m, x[:, s], self.valid[:, s]) for s in parts], axis=2) if parts else np.zeros((2, 2, 0))
         head = np.zeros((2, self.blocks))
         tail = np.zeros((2, self.blocks))
         last = self.first + self.per - 1
@@ -54,45 +56,55 @@ class Chains:
                 b, q = tail[:, at + 1], p[:, :, at + 1]
                 new = np.stack([q[0, 0] * b[0] + q[0, 1] * b[1], q[1, 0] * b[0] + q[1, 1] * b[1]])
                 tail[:, at] = new / new.sum(axis=0)
-        ahead = np.zeros((BLOCK + 1, 2, self.blocks))  # message before each step
-        ahead[0] = head
-        for j in range(BLOCK):
-            a, ok = ahead[j], self.valid[j]
-            clean = a[0] * m[0, 0] + a[1] * m[1, 0]
-            toxic = (a[0] * m[0, 1] + a[1] * m[1, 1]) * x[j]
-            total = clean + toxic
-            ahead[j + 1, 0] = np.where(ok, clean / total, a[0])
-            ahead[j + 1, 1] = np.where(ok, toxic / total, a[1])
-        behind = np.zeros((BLOCK + 1, 2, self.blocks))  # message after each step
-        behind[BLOCK] = tail
-        for j in range(BLOCK - 1, -1, -1):
-            b, ok = behind[j + 1], self.valid[j]
-            clean = m[0, 0] * b[0] + m[0, 1] * x[j] * b[1]
-            toxic = m[1, 0] * b[0] + m[1, 1] * x[j] * b[1]
-            total = clean + toxic
-            behind[j, 0] = np.where(ok, clean / total, b[0])
-            behind[j, 1] = np.where(ok, toxic / total, b[1])
-        both = ahead[1:] * behind[1:]
-        marginal = (both[:, 1] / both.sum(axis=1))[self.step, self.block]
-        pairs = np.empty((2, 2, BLOCK, self.blocks))
-        for i in (0, 1):
-            for j in (0, 1):
-                pairs[i, j] = ahead[:-1, i] * m[i, j] * (x if j else 1.0) * behind[1:, j]
-        pairs /= pairs.sum(axis=(0, 1))
         each = self.valid if weight is None else self.valid * np.repeat(weight, self.per)
-        return marginal, (pairs * each).sum(axis=(2, 3))
-
-    def _products(self, m: np.ndarray, x: np.ndarray) -> np.ndarray:
-        p = np.zeros((2, 2, self.blocks))
-        p[0, 0] = p[1, 1] = 1.0
-        for j in range(BLOCK):
-            new = np.empty_like(p)
-            for i in (0, 1):
-                new[i, 0] = p[i, 0] * m[0, 0] + p[i, 1] * m[1, 0]
-                new[i, 1] = (p[i, 0] * m[0, 1] + p[i, 1] * m[1, 1]) * x[j]
-            new /= new.sum(axis=(0, 1))
-            p = np.where(self.valid[j], new, p)
-        return p
+        toxic, counts = np.zeros((BLOCK, self.blocks)), np.zeros((2, 2))
+        for s in parts:
+            toxic[:, s], some = _inside(m, x[:, s], self.valid[:, s], head[:, s], tail[:, s], each[:, s])
+            counts += some
+        return toxic[self.step, self.block], counts
+
+
+def _inside(m, x, valid, head, tail, each):
+    """P(toxic) at every step of some blocks, and their expected transitions, from the messages at their ends."""
+    ahead = np.zeros((BLOCK + 1, 2, x.shape[1]))  # message before each step
+    ahead[0] = head
+    for j in range(BLOCK):
+        a, ok = ahead[j], valid[j]
+        clean = a[0] * m[0, 0] + a[1] * m[1, 0]
+        toxic = (a[0] * m[0, 1] + a[1] * m[1, 1]) * x[j]
+        total = clean + toxic
+        ahead[j + 1, 0] = np.where(ok, clean / total, a[0])
+        ahead[j + 1, 1] = np.where(ok, toxic / total, a[1])
+    behind = np.zeros((BLOCK + 1, 2, x.shape[1]))  # message after each step
+    behind[BLOCK] = tail
+    for j in range(BLOCK - 1, -1, -1):
+        b, ok = behind[j + 1], valid[j]
+        clean = m[0, 0] * b[0] + m[0, 1] * x[j] * b[1]
+        toxic = m[1, 0] * b[0] + m[1, 1] * x[j] * b[1]
+        total = clean + toxic
+        behind[j, 0] = np.where(ok, clean / total, b[0])
+        behind[j, 1] = np.where(ok, toxic / total, b[1])
+    both = ahead[1:] * behind[1:]
+    pairs = np.empty((2, 2, *x.shape))
+    for i in (0, 1):
+        for j in (0, 1):
+            pairs[i, j] = ahead[:-1, i] * m[i, j] * (x if j else 1.0) * behind[1:, j]
+    pairs /= pairs.sum(axis=(0, 1))
+    return both[:, 1] / both.sum(axis=1), (pairs * each).sum(axis=(2, 3))
+
+
+def _products(m: np.ndarray, x: np.ndarray, valid: np.ndarray) -> np.ndarray:
+    """Product of the transfer matrices of each block."""
+    p = np.zeros((2, 2, x.shape[1]))
+    p[0, 0] = p[1, 1] = 1.0
+    for j in range(BLOCK):
+        new = np.empty_like(p)
+        for i in (0, 1):
+            new[i, 0] = p[i, 0] * m[0, 0] + p[i, 1] * m[1, 0]
+            new[i, 1] = (p[i, 0] * m[0, 1] + p[i, 1] * m[1, 1]) * x[j]
+        new /= new.sum(axis=(0, 1))
+        p = np.where(valid[j], new, p)
+    return p
 
 
 def token_score(bins: np.ndarray, starts: np.ndarray, weights: np.ndarray) -> np.ndarray:

@@ -40,7 +40,8 @@ LEVELS = 6  # of support: documents that hold the n-gram, by powers of four
 BINS = STEPS * LEVELS + 1  # 0 stands beyond the ends of a text
 NEAR = 4  # bins below a document's strongest evidence that are tagged with it
 SHRINK = 1.0  # documents of the base rate added to each n-gram
-PER_CLASS = 800
+PER_CLASS = 800  # documents of each label that the field is fitted on, about
+FIT_TOKENS = 8192  # words of each of them, at most
 THRESHOLD = 0.3
 TAGGED = 0.5
 
@@ -82,8 +83,14 @@ def _sampled(docs: DataFrame, tables) -> DataFrame:
                 words, value = _token_bins(part.column("text"), tables.value[0])
                 _, other = _token_bins(part.column("text"), tables.value[1])
                 value = np.where(kinds[words.doc] == 1, other, value)
+                count = np.minimum(words.count, FIT_TOKENS)
+                kept = np.ones(len(value), dtype=bool)
+                for row in np.flatnonzero(words.count > FIT_TOKENS).tolist():  # the words around the strongest evidence
+                    lo, hi = words.first[row], words.first[row + 1]
+                    begin = min(max(lo, lo + int(value[lo:hi].argmax()) - FIT_TOKENS // 2), hi - FIT_TOKENS)
+                    kept[lo:begin], kept[begin + FIT_TOKENS:hi] = False, False
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("toxic"), list_array(value, words.count, pa.int16())],
+                    [part.column("id"), part.column("toxic"), list_array(value[kept], count, pa.int16())],
                     ["id", "toxic", "bins"])
 
     return map_arrow(docs, run, "id bigint, toxic int, bins array<smallint>")

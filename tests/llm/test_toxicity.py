@@ -92,3 +92,28 @@ def test_nothing_to_learn(spark):
     docs, labels, rows, _ = data(spark)
     assert {r["score"] for r in toxicity.report(docs, labels.limit(0)).collect()} == {0.0}
     assert toxicity.report(docs.limit(0), labels).count() == 0
+
+
+def test_long_documents_give_the_words_around_their_strongest(spark, monkeypatch):
+    import numpy as np
+
+    from martforge.llm import ngrams
+
+    monkeypatch.setattr(toxicity, "FIT_TOKENS", 10)
+    texts = [" ".join([f"w{k}" for k in range(30)]), "a b c", " ".join([f"v{k}" for k in range(11)])]
+    docs = spark.createDataFrame([(k, t, k % 2) for k, t in enumerate(texts)], "id bigint, text string, toxic int").coalesce(1)
+    bins = np.random.default_rng(1).integers(1, 50, 1 << toxicity.BITS).astype(np.int16)
+    run = {}
+    monkeypatch.setattr(toxicity, "map_arrow", lambda df, f, schema: run.setdefault("f", f) and df)
+
+    class Shared:
+        value = [bins, bins]
+
+    toxicity._sampled(docs, Shared)
+    got = [b for b in run["f"](docs.toArrow().to_batches())]
+    rows = [x for b in got for x in b.column(2).to_pylist()]
+    whole = [toxicity._token_bins(ngrams.pa.array([t]), bins)[1].tolist() for t in texts]
+    assert rows[1] == whole[1] and [len(r) for r in rows] == [10, 3, 10]
+    for k in (0, 2):
+        assert max(rows[k]) == max(whole[k])
+        assert any(whole[k][i:i + 10] == rows[k] for i in range(len(whole[k])))
