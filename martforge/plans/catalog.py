@@ -103,7 +103,7 @@ def proximity(spark, sf):
 @query
 def csv_roundtrip(spark, sf):
     path = work_path(spark, "ledger-csv")
-    files.write_csv(raw(spark, sf), path, encoding=files.LATIN_1)
+    files.write_csv(raw(spark, sf), path, encoding=files.LATIN_1, compression="gzip")
     return files.read_csv(spark, f"{path}/part-*", RAW_LEDGER, encoding=files.LATIN_1, null_value="null")
 
 

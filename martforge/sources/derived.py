@@ -66,9 +66,12 @@ def raw_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-           .join(_customer_geo(spark, sf_dir), o.o_custkey == F.col("c_custkey"))
-           .join(p, li.l_partkey == p.p_partkey))
+    # products meet the lines and customers the orders before lines and orders are joined: two exchanges
+    # of lines instead of three, and the lines of an order come out side by side
+    lines = li.join(p, li.l_partkey == p.p_partkey)
+    geo = _customer_geo(spark, sf_dir)
+    orders = o.join(geo, o.o_custkey == geo.c_custkey)
+    j = lines.join(orders, li.l_orderkey == o.o_orderkey)
     undated = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")
     nobody = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "4-NOT SPECIFIED")
     twice = F.when(F.col("l_orderkey") % 500 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))

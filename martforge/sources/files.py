@@ -17,6 +17,7 @@ from .headers import align, header_groups
 from .publish import missing, publish
 
 LATIN_1 = "ISO-8859-1"  # encoding of the sales extract
+COMPRESSED_ROWS = 1_000_000  # rows of a compressed CSV part, which cannot be split
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None,
@@ -60,15 +61,20 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite",
-              partition_by: list[str] | None = None, encoding: str = "UTF-8") -> None:
+              partition_by: list[str] | None = None, encoding: str = "UTF-8", compression: str | None = None) -> None:
     """Header CSV, NULL written as ``null`` (empty text stays ``""``, blanks at
     the ends of a value stay).
 
-    No ``coalesce(1)``: every task writes its own part file.
+    No ``coalesce(1)``: every task writes its own part file.  ``compression``
+    (``gzip``) writes each part compressed; ``read_csv`` tells by the file's
+    name.  A compressed part is read by one task, so parts end after
+    ``COMPRESSED_ROWS`` rows.
     """
     writer = (df.write.mode(mode).option("header", True).option("nullValue", "null")
               .option("escape", '"').option("encoding", encoding)
               .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    if compression:
+        writer = writer.option("compression", compression).option("maxRecordsPerFile", COMPRESSED_ROWS)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.csv(path)

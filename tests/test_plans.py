@@ -133,3 +133,35 @@ def test_bucketed_tables_join_without_shuffle(spark):
         assert j.where("db_customer_name = 'n'").count() == 2000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def _written_csv(spark, monkeypatch, name):
+    """(plan, compression) of each CSV that a query writes."""
+    seen, real = [], catalog.files.write_csv
+
+    def write(df, path, *args, **options):
+        seen.append((_plan(df), options.get("compression")))
+        real(df, path, *args, **options)
+
+    monkeypatch.setattr(catalog.files, "write_csv", write)
+    assert catalog.queries()[name](spark, SF).count() > 0
+    return seen
+
+
+def test_ledger_lines_are_exchanged_twice(spark):
+    """Customers meet the orders, not the order lines."""
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        lines = _plan(catalog.raw(spark, SF)).splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    at = next(i for i, x in enumerate(lines) if "SortMergeJoin [o_custkey" in x)
+    depth = lines[at].index("SortMergeJoin")
+    below = [x for x in lines[at + 1:] if x.lstrip(" :+-*()0123456789")]
+    end = next((i for i, x in enumerate(below) if len(x) - len(x.lstrip(" :+-")) <= depth - 4), len(below))
+    assert "orders.parquet" in " ".join(below[:end]) and "lineitem.parquet" not in " ".join(below[:end])
+
+
+def test_csv_roundtrip_writes_compressed_parts(spark, monkeypatch):
+    assert [c for _, c in _written_csv(spark, monkeypatch, "csv_roundtrip")] == ["gzip"]

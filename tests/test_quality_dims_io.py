@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import os
 
 from pyspark.sql import functions as F
 
@@ -175,6 +176,24 @@ def test_plain_csv_round_trip_keeps_other_scripts(spark):
     assert files.read_csv(spark, f"{path}/part-*", df.schema).first().v == " naïve – 東京 "
 
 
+def test_compressed_csv_parts_read_back(spark, tmp_path, monkeypatch):
+    """Compressed parts hold the same rows in fewer bytes and end after a bounded number of rows."""
+    monkeypatch.setattr(files, "COMPRESSED_ROWS", 300)
+    df = spark.range(0, 1000, 1, 1).select("id", F.when(F.col("id") % 3 > 0, F.concat(F.lit('two\u00e9, "x" '), F.col("id") % 5)).alias("name"))
+    plain, packed = f"{tmp_path}/plain", f"{tmp_path}/packed"
+    files.write_csv(df, plain, encoding=files.LATIN_1)
+    files.write_csv(df, packed, encoding=files.LATIN_1, compression="gzip")
+    parts = [p for p in os.listdir(packed) if p.startswith("part-")]
+    assert len(parts) == 4 and all(p.endswith(".csv.gz") for p in parts)
+
+    def size(folder):
+        return sum(os.path.getsize(f"{folder}/{p}") for p in os.listdir(folder) if p.startswith("part-"))
+
+    assert 3 * size(packed) < size(plain)
+    back = files.read_csv(spark, f"{packed}/part-*", df.schema, encoding=files.LATIN_1, null_value="null")
+    assert sorted(back.collect()) == sorted(df.collect())
+
+
 def test_load_published_parts(spark):
     df = spark.createDataFrame([(1, "2014-01-05", "1/6/2014", None), (2, "bad", None, "x")],
                                "`Row ID` int, `Order Date` string, `Ship Date` string, `Sub-Category` string")
