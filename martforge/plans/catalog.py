@@ -112,7 +112,7 @@ def load_published(spark, sf):
     """The published CSV parts back as one table with folded names and typed dates."""
     table = sales_with_holidays(clean(spark, sf), holidays(spark, sf))
     path = work_path(spark, "published-csv")
-    files.write_csv(table, path)
+    files.write_csv(table, path, compression="gzip")
     text = T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.DateType) else f.dataType)
                          for f in table.schema.fields])
     dates = ["order_date", "ship_date", "holiday_date"]

@@ -165,3 +165,7 @@ def test_ledger_lines_are_exchanged_twice(spark):
 
 def test_csv_roundtrip_writes_compressed_parts(spark, monkeypatch):
     assert [c for _, c in _written_csv(spark, monkeypatch, "csv_roundtrip")] == ["gzip"]
+
+
+def test_load_published_writes_compressed_parts(spark, monkeypatch):
+    assert [c for _, c in _written_csv(spark, monkeypatch, "load_published")] == ["gzip"]
