@@ -169,3 +169,8 @@ def test_csv_roundtrip_writes_compressed_parts(spark, monkeypatch):
 
 def test_load_published_writes_compressed_parts(spark, monkeypatch):
     assert [c for _, c in _written_csv(spark, monkeypatch, "load_published")] == ["gzip"]
+
+
+def test_misordered_parts_run_the_ledger_once(spark, monkeypatch):
+    seen = _written_csv(spark, monkeypatch, "csv_misordered_parts")
+    assert [c for _, c in seen] == ["gzip"] * 3 and not any("Join" in plan for plan, _ in seen)
