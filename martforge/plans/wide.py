@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from ..operators.features import engineer_features
 from ..operators.joins import join_sales_customers, join_sales_holidays, join_sales_weather
 from ..operators.reshape import filter_dedup_holidays
 from ..operators.sizing import materialize
+from ..schemas import LINE_COLUMNS
 
 
 def clean_sales(raw: DataFrame, date_col: str = "Order Date",
@@ -28,7 +31,8 @@ def holidays_from_documents(documents: DataFrame, names: list[str] | None = None
 
 
 def build_wide(clean: DataFrame, customers: DataFrame, holidays: DataFrame,
-               weather: DataFrame | None = None, raw: DataFrame | None = None, kept_by: str | None = None) -> DataFrame:
+               weather: DataFrame | None = None, raw: DataFrame | None = None, kept_by: str | None = None,
+               place: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
     """Clean ledger ⟕ customers ⟕ holidays ⟕ weather, then features.
 
     * customers: left join, shuffle or broadcast chosen by the planner/AQE; a stored
@@ -40,11 +44,16 @@ def build_wide(clean: DataFrame, customers: DataFrame, holidays: DataFrame,
       the customer dimension is keyed and weather is one row per region-day
       (``unique_key`` checks say so), so those joins cannot change the daily
       totals; given the ``raw`` ledger ``clean`` was made from, the totals are
-      pre-aggregated per date text, so the day job parses distinct texts only.
+      pre-aggregated per date text, so the day job parses distinct texts only;
+    * ``place`` exchanges the rows as their files will want them (``files.clustered``)
+      before the broadcast joins and the features make them wide.
     """
     h = materialize(holidays.select("holiday_name", "holiday_date"), "holidays")
     customers = customers if kept_by == "customer_id" else unique_key(customers, ["customer_id"])
-    rows = join_sales_holidays(join_sales_customers(clean, customers), h)
+    rows = join_sales_customers(_line_columns_last(clean), customers)
+    columns = [*clean.columns, *rows.columns[len(clean.columns):]]
+    rows = place(_line_columns_last(rows)).select(*[F.col(f"`{c}`") for c in columns])
+    rows = join_sales_holidays(rows, h)
     if weather is not None:
         w = materialize(weather, "weather")
         rows = join_sales_weather(rows, unique_key(w, ["weather_region", "weather_date"]))
@@ -55,6 +64,13 @@ def build_wide(clean: DataFrame, customers: DataFrame, holidays: DataFrame,
     return engineer_features(rows, h, daily_source=daily_source)
 
 
+def _line_columns_last(df: DataFrame) -> DataFrame:
+    """Columns that lines of one order share first: neighbouring rows then begin alike, and
+    exchanged blocks compress better."""
+    last = [c for c in LINE_COLUMNS if c in df.columns]
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in last], *[F.col(f"`{c}`") for c in last])
+
+
 def unique_key(df: DataFrame, keys: list[str]) -> DataFrame:
     """``df``, checked to hold each non-NULL key once (one small aggregate); else an error."""
     present = df.where(F.concat(*[F.col(k).cast("string") for k in keys]).isNotNull())

@@ -18,6 +18,9 @@ RAW_LEDGER = _struct(
     ("Sales", D), ("Quantity", I), ("Discount", D), ("Profit", D),
 )
 RAW_LEDGER_COLUMNS = RAW_LEDGER.fieldNames()
+# Columns in which the lines of one order differ.
+LINE_COLUMNS = ["Row ID", "Sales", "Quantity", "Discount", "Profit", "Ship Date", "Product ID",
+                "Category", "Sub-Category", "Product Name"]
 
 # Customer staging extract (8 columns) and the keyed dimension (6 columns).
 CUSTOMER_EXTRACT_COLUMNS = [

@@ -174,3 +174,14 @@ def test_load_published_writes_compressed_parts(spark, monkeypatch):
 def test_misordered_parts_run_the_ledger_once(spark, monkeypatch):
     seen = _written_csv(spark, monkeypatch, "csv_misordered_parts")
     assert [c for _, c in seen] == ["gzip"] * 3 and not any("Join" in plan for plan, _ in seen)
+
+
+def test_wide_exchanges_line_columns_last(spark, monkeypatch):
+    """What lines of an order share comes first in the rows that the customer join exchanges; the result keeps its order."""
+    from martforge.plans import wide
+    seen, real = [], wide.join_sales_customers
+    monkeypatch.setattr(wide, "join_sales_customers", lambda sales, dim: seen.append(sales.columns) or real(sales, dim))
+    df = catalog.wide_from_stored_dimension(spark, SF)
+    assert seen[0].index("Region") < seen[0].index("Row ID") < seen[0].index("Ship Date") < seen[0].index("Product Name")
+    assert sorted(seen[0]) == sorted(catalog.RAW_LEDGER.fieldNames())
+    assert df.columns[:4] == ["Order Date", "Row ID", "Order ID", "Ship Date"]
