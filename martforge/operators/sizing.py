@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from ..session import work_path
 
 
+COPY_CODEC = "zstd"  # of tables that only Spark reads
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
 
@@ -30,7 +33,7 @@ def materialize_counted(df: DataFrame, metrics: dict[str, Column], name: str = "
     path = work_path(df.sparkSession, name)
     seen = df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()])
     df = seen if columns is None else seen.select(*columns)
-    df.write.parquet(path)
+    df.write.option("compression", COPY_CODEC).parquet(path)
     got = dict(obs.get)
     # the schema is known: read back without a footer-inference job
     return verified(df.sparkSession.read.schema(df.schema).parquet(path), int(got["rows"]), path), got

@@ -72,10 +72,10 @@ def small_holidays(spark, sf):
     return materialize(holidays(spark, sf), "holidays")
 
 
-def wide(spark, sf):
-    r = raw(spark, sf)
+def wide(spark, sf, r=None, **how):
+    r = raw(spark, sf) if r is None else r
     return build_wide(clean_sales(r), D.customer_dimension(spark, sf), holidays(spark, sf),
-                      weather(spark, sf), raw=r)
+                      weather(spark, sf), raw=r, **how)
 
 
 def features(spark, sf):
@@ -619,31 +619,49 @@ SUITE_RULES = {
 }
 
 
-def _suite_inputs(spark, sf):
+def _suite_inputs(spark, sf, name=None):
+    """Dataset -> (loader, rules, sample order).  Suites that read the ledger more than once share
+    one copy of it (a suite of the sales alone reads it once)."""
+    copies = []
+
+    def ledger():
+        if name == "raw_sales":
+            return raw(spark, sf)
+        if not copies:
+            copies.append(materialize(raw(spark, sf), "ledger"))
+        return copies[0]
+
     return {
-        "raw_sales": (lambda: raw(spark, sf), SUITE_RULES["raw_sales"], ["Row ID"]),
+        "raw_sales": (ledger, SUITE_RULES["raw_sales"], ["Row ID"]),
         "raw_holidays": (lambda: holidays(spark, sf), SUITE_RULES["raw_holidays"],
                          ["holiday_date", "holiday_name"]),
         "raw_weather": (lambda: weather(spark, sf), SUITE_RULES["raw_weather"],
                         ["weather_region", "weather_date"]),
-        "final_analytics": (lambda: wide(spark, sf), SUITE_RULES["final_analytics"], ["Row ID"]),
+        "final_analytics": (lambda: wide(spark, sf, ledger(), place=_by_month), SUITE_RULES["final_analytics"], ["Row ID"]),
     }
 
 
+def _by_month(rows):
+    """Rows placed for a table in folders of ``year`` and ``month``, each written by few tasks;
+    the lines of an order stay together."""
+    return files.clustered(rows, [F.year("Order Date"), F.month("Order Date")], ["Order ID"])
+
+
 def _writer(spark, name, rules, order):
     """How a suite's dataset is written while it is checked: the final table is published
-    as dashboards read it, of the others a copy of the checked columns is kept."""
+    as dashboards read it (``_by_month`` has placed its rows), of the others a copy of the
+    checked columns is kept."""
     if name == "final_analytics":
         def publish(df, metrics):
             path = work_path(spark, "final-analytics")
-            counted = files.write_table(df, path, partition_by=["year", "month"], cluster_by=["Row ID"], metrics=metrics)
+            counted = files.write_table(df, path, partition_by=["year", "month"], metrics=metrics, compression="zstd")
             return read_table(spark, path, df.schema), counted
         return publish
     return lambda df, metrics: materialize_counted(Q.rule_columns(df, rules, order), metrics, f"checked-{name}")
 
 
 def _suite(spark, sf, name):
-    load, rules, order = _suite_inputs(spark, sf)[name]
+    load, rules, order = _suite_inputs(spark, sf, name)[name]
     return Q.validate(load(), rules, name, sample_order=order, write=_writer(spark, name, rules, order))
 
 

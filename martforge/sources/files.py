@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,12 +93,14 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 fmt: str = "parquet", cluster_by: list[str] | None = None,
-                files_per_partition: int = 16, keep_others: bool = False, metrics: dict | None = None) -> dict:
+                files_per_partition: int = 16, keep_others: bool = False, metrics: dict | None = None,
+                **options) -> dict:
     """Publish a table in place of the one at ``path``: partitions that ``df``
     does not hold are gone afterwards.  ``keep_others`` replaces only the
     partitions present in ``df`` instead.  The old table stays readable until
     the new one is written and its rows are counted (``sources.publish``).
-    Returns ``rows`` and the aggregates in ``metrics``, counted while writing.
+    Returns ``rows`` and the aggregates in ``metrics``, counted while writing;
+    ``options`` go to the writer.
 
     With ``cluster_by`` the rows are hash-partitioned on (partition columns,
     hash(cluster columns) mod ``files_per_partition``) before writing: every
@@ -107,9 +109,18 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     One shuffle, no sampling pass over the input.
     """
     if partition_by and cluster_by:
-        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cluster_by]), F.lit(files_per_partition))
-        df = df.repartition(*[F.col(f"`{c}`") for c in partition_by], salt)
-    return publish(df, path, partition_by, fmt, keep_others, metrics)
+        df = clustered(df, [F.col(f"`{c}`") for c in partition_by], cluster_by, files_per_partition)
+    return publish(df, path, partition_by, fmt, keep_others, metrics, **options)
+
+
+def clustered(df: DataFrame, parts: list[Column], cluster_by: list[str], files_per_partition: int = 16) -> DataFrame:
+    """Rows of equal ``parts`` in at most ``files_per_partition`` tasks, by a hash of ``cluster_by``.
+
+    A table that gets most of its columns from broadcast joins can be placed before them and
+    written without ``cluster_by``: narrower rows are exchanged, the files are the same.
+    """
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cluster_by]), F.lit(files_per_partition))
+    return df.repartition(*parts, salt)
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> None:

@@ -176,6 +176,36 @@ def test_misordered_parts_run_the_ledger_once(spark, monkeypatch):
     assert [c for _, c in seen] == ["gzip"] * 3 and not any("Join" in plan for plan, _ in seen)
 
 
+def test_suites_publish_rows_placed_before_they_are_wide(spark, monkeypatch):
+    """The final table is made from one copy of the ledger and exchanged by month before its day-grain joins."""
+    seen, real = [], catalog.files.write_table
+
+    def write(df, *args, **options):
+        seen.append((_plan(df), options.get("cluster_by")))
+        return real(df, *args, **options)
+
+    monkeypatch.setattr(catalog.files, "write_table", write)
+    for name in ("dq_suite_final", "dq_results", "dq_summary"):
+        assert catalog.queries()[name](spark, SF).count() > 0
+    assert len(seen) == 3
+    for plan, cluster_by in seen:
+        assert cluster_by is None and "lineitem.parquet" not in plan
+        at = plan.index("Exchange hashpartitioning(year(Order Date")
+        assert "BroadcastHashJoin [Order Date" in plan[:at] and "BroadcastHashJoin [Order Date" not in plan[at:]
+
+
+def test_placed_rows_are_written_by_few_tasks(spark, tmp_path):
+    import os
+    from pyspark.sql import functions as F
+    rows = spark.range(0, 4000, 1, 8).select("id", (F.col("id") % 3).cast("int").alias("part"))
+    placed = catalog.files.clustered(rows, [F.col("part")], ["id"], 2).withColumn("more", F.col("id") + 1)
+    catalog.files.write_table(placed, str(tmp_path / "t"), partition_by=["part"], compression="zstd")
+    for part in range(3):
+        names = [n for n in os.listdir(tmp_path / "t" / f"part={part}") if n.startswith("part-")]
+        assert 1 <= len(names) <= 2 and all(".zstd." in n for n in names)
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 4000
+
+
 def test_wide_exchanges_line_columns_last(spark, monkeypatch):
     """What lines of an order share comes first in the rows that the customer join exchanges; the result keeps its order."""
     from martforge.plans import wide
