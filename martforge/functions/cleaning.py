@@ -26,7 +26,10 @@ def parse_text_date(c: Column | str, pattern: str = LEDGER_DATE_PATTERN) -> Colu
 def clean_text(c: Column | str) -> Column:
     """Every ',' -> ' -', curly quotes -> '"', no-break space -> ' '."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.translate(F.replace(col, F.lit(","), F.lit(" -")), ODD_CHARACTERS, ODD_REPLACEMENTS)
+    # plain replaces work on the bytes; ``translate`` takes every text apart into characters
+    for odd, plain in ((",", " -"), *zip(ODD_CHARACTERS, ODD_REPLACEMENTS)):
+        col = F.replace(col, F.lit(odd), F.lit(plain))
+    return col
 
 
 def iso_to_date(c: Column | str) -> Column:

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import types as T
 
+from martforge.functions.cleaning import clean_text
 from martforge.functions.columns import add_missing_columns, normalize_columns, rename_positional, schema_table
 from martforge.operators.reshape import (filter_dedup_holidays, flatten_holidays, flatten_weather,
                                          holiday_types, union_all)
@@ -29,6 +30,13 @@ def test_clean_sales_dates_and_names(spark):
     assert clean_sales(df).columns == ["Order Date", "Product Name"]
 
 
+def test_names_are_cleaned_without_taking_texts_apart(spark):
+    rows = [("a,b,,c",), ("\u0093\u0094\u00a0,\u00a0é\u0093x\U0001F600",), ("",), (None,), ("plain",)]
+    out = spark.createDataFrame(rows, "name string").select(clean_text("name").alias("name"))
+    assert [r.name for r in out.collect()] == ["a -b - -c", '""  - é"x\U0001F600', "", None, "plain"]
+    assert "translate(" not in out._jdf.queryExecution().toString()
+
+
 def test_flatten_holidays_and_edge_arrays(spark):
     doc = [([("New Year's Day", ("2014-01-01",), "National"), ("Christmas Day", ("2014-12-25",), "National")],),
            ([],), (None,), ([("Equinox", ("2014-03-20T12:57:00-04:00",), "Season")],)]
