@@ -38,6 +38,7 @@ from .textkit import Words, cover, list_array, row_ranges, sequence_hash, slices
 WINDOW = 35
 K = 8
 PLACE_BITS = 28  # word places inside one slice
+PART_BYTES = 1 << 18  # texts of one slice: a worker holds some 100 times that in arrays
 
 _U = np.uint64
 
@@ -82,7 +83,7 @@ def _paths(docs: DataFrame) -> DataFrame:
     ladder holds the hashes of the path's windows."""
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PART_BYTES):
                 words = Words(part.column("text"))
                 anchor, lo, hi, row, second = zones(words)
                 wanted = part.column("wanted")
@@ -113,7 +114,7 @@ def _spans(marked: DataFrame) -> DataFrame:
     """Documents with text, ``los`` and ``masks`` -> n_removed, kept_sha256, spans (word ranges, flattened)."""
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PART_BYTES):
                 words = Words(part.column("text"))
                 lo, mask = (part.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("los", "masks"))
                 row = np.repeat(np.arange(words.docs), part.column("los").value_lengths().to_numpy(zero_copy_only=False))
@@ -164,7 +165,7 @@ def _marks(docs: DataFrame, groups: DataFrame) -> DataFrame:
 def find_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: id, n_words, n_removed, kept_sha256 and spans (removed word ranges, flattened)."""
     docs = numbered(docs, "_id", _doc=doc_id, text=text)
-    scanned = stored(add_columns(docs, "text", SCAN_FIELDS, _scan).drop("text"), "scan")
+    scanned = stored(add_columns(docs, "text", SCAN_FIELDS, _scan, PART_BYTES).drop("text"), "scan")
     keys = ["n_words", "d1", "d2"]
     long = F.col("n_words") >= WINDOW
     groups = stored(scanned.where(long).groupBy(*keys).agg(

@@ -41,7 +41,7 @@ def _power(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2^64, cached and grown as needed."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        size = max(n, SLICE_BYTES + 1)
+        size = max(n, min(2 * len(have), SLICE_BYTES + 1) if have is not None else 0)
         have = np.full(size, base, dtype=_U)
         have[0] = 1
         with np.errstate(over="ignore"):

@@ -1,9 +1,11 @@
 import hashlib
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 
-from martforge.llm import substrings
+from martforge.llm import substrings, textkit
 
 from .helpers import SPACE, by_id, corpus, frame, prose
 
@@ -66,3 +68,29 @@ def test_rows_without_own_ids_and_texts_beyond_a_slice(spark):
     got = [(r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substrings.report(frame(spark, list(zip(ids, texts)))).collect()]
     assert sorted(got, key=str) == sorted([(i, *want[k]) for k, i in enumerate(ids)], key=str)
     assert want[0][1] and want[5][1] and want[8][1]
+
+
+def test_a_worker_holds_little_beside_its_batch(monkeypatch):
+    rng = random.Random(9)
+    batch = pa.RecordBatch.from_arrays([pa.array([prose(rng, 500) for _ in range(800)])], ["text"])
+    assert batch.nbytes > 2 << 20
+    monkeypatch.setattr(textkit, "_powers", {})
+
+    class Stop(Exception):
+        pass
+
+    def scan(docs, text, fields, func, *limit):
+        for part in textkit.slices(batch, text, *limit):
+            func(part.column(text))
+        raise Stop
+
+    monkeypatch.setattr(substrings, "add_columns", scan)
+    monkeypatch.setattr(substrings, "numbered", lambda docs, *names, **columns: docs)
+    tracemalloc.start()
+    try:
+        with pytest.raises(Stop):
+            substrings.find_repeats.__wrapped__(None)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 50 << 20
