@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import WEATHER_COLUMNS
@@ -15,6 +15,8 @@ DIM_COLUMNS = {
     "region": "db_region",
 }
 
+HASHED_CUSTOMERS = 500_000  # of one task: about 100 MB
+
 
 def join_sales_customers(sales: DataFrame, customers: DataFrame,
                          sales_key: str = "Customer ID", dim_key: str = "customer_id") -> DataFrame:
@@ -29,6 +31,31 @@ def join_sales_customers(sales: DataFrame, customers: DataFrame,
     return sales.join(dim, sales[sales_key] == dim["__dim_key"], "left").drop("__dim_key")
 
 
+def join_sales_customers_in_place(sales: DataFrame, customers: DataFrame, task: Column, tasks: int,
+                                  sales_key: str = "Customer ID", dim_key: str = "customer_id") -> DataFrame:
+    """``join_sales_customers`` of rows that are to go to the tasks numbered ``task``: the ledger rows
+    are exchanged once, to their place, and the customers follow them there.
+
+    A customer is sent once to each task that has rows of it; the list of these tasks has no more
+    than ``tasks`` numbers, however many rows the customer has.  Rows without a customer id are
+    placed like the others.  Both sides are dealt by the number itself (``repartitionById``), so
+    that the planner does not deal them again by all keys of the join.  Ledger rows are not sorted
+    for the join, unless a task gets more than ``HASHED_CUSTOMERS`` (one scan tells).
+    """
+    key = F.col(f"`{sales_key}`")
+    at_task = sales.groupBy(task.alias("__task")).agg(F.approx_count_distinct(key).alias("n"))
+    most = at_task.agg(F.max("n")).first()[0] or 0
+    seen = sales.select(key, task.alias("__task")).where(key.isNotNull())
+    seen = seen.groupBy(key).agg(F.collect_set("__task").alias("__tasks"))
+    known = join_sales_customers(seen, customers, sales_key, dim_key)
+    known = known.select(F.explode("__tasks").alias("__at"), key.alias("__key"), *DIM_COLUMNS.values())
+    known = known.repartitionById(tasks, F.col("__at"))
+    placed = sales.withColumn("__task", task).repartitionById(tasks, F.col("__task"))
+    same = (placed["__task"] == known["__at"]) & (placed[sales_key] == known["__key"])
+    known = known.hint("shuffle_hash") if most <= HASHED_CUSTOMERS else known
+    return placed.join(known, same, "left").drop("__task", "__at", "__key")
+
+
 def join_sales_holidays(sales: DataFrame, holidays: DataFrame,
                         date_col: str = "Order Date") -> DataFrame:
     """Ledger ⟕ holidays on date; two holidays on one date give two rows."""

@@ -39,6 +39,12 @@ def materialize_counted(df: DataFrame, metrics: dict[str, Column], name: str = "
     return verified(df.sparkSession.read.schema(df.schema).parquet(path), int(got["rows"]), path), got
 
 
+def broadcasts(df: DataFrame) -> bool:
+    """Whether the planner expects ``df`` to be small enough to be broadcast (of a stored table: by its files)."""
+    expected = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(expected)) <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def verified(df: DataFrame, rows: int, path: str) -> DataFrame:
     """``df`` if it has ``rows`` rows, else an error."""
     found = df.count()

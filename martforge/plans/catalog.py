@@ -24,10 +24,11 @@ from ..operators import quality as Q
 from ..operators import days
 from ..operators.days import add_proximity, add_season, daily_sales, holiday_calendar, thanksgiving_by_year
 from ..operators.features import engineer_features, row_features
-from ..operators.joins import join_sales_customers, join_sales_holidays, join_sales_weather
+from ..operators.joins import (join_sales_customers, join_sales_customers_in_place, join_sales_holidays,
+                               join_sales_weather)
 from ..operators.reshape import (filter_dedup_holidays, flatten_holidays, flatten_weather,
                                  holiday_types, to_documents, union_all)
-from ..operators.sizing import materialize, materialize_counted
+from ..operators.sizing import broadcasts, materialize, materialize_counted
 from ..schemas import CUSTOMER_DIM, CUSTOMER_EXTRACT_COLUMNS, HOLIDAYS, HOLIDAY_DOCUMENT, RAW_LEDGER, WEATHER
 from ..session import work_path
 from ..sources import derived as D
@@ -35,7 +36,7 @@ from ..sources import files, payloads
 from ..sources.lookups import region_lookup
 from ..sources.publish import read_table
 from . import suites
-from .wide import build_wide, clean_sales, holidays_from_documents, sales_with_holidays
+from .wide import build_wide, clean_sales, holidays_from_documents, line_columns_last, sales_with_holidays
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -72,10 +73,10 @@ def small_holidays(spark, sf):
     return materialize(holidays(spark, sf), "holidays")
 
 
-def wide(spark, sf, r=None, **how):
+def wide(spark, sf, r=None, customers=None, **how):
     r = raw(spark, sf) if r is None else r
-    return build_wide(clean_sales(r), D.customer_dimension(spark, sf), holidays(spark, sf),
-                      weather(spark, sf), raw=r, **how)
+    customers = D.customer_dimension(spark, sf) if customers is None else customers
+    return build_wide(clean_sales(r), customers, holidays(spark, sf), weather(spark, sf), raw=r, **how)
 
 
 def features(spark, sf):
@@ -621,15 +622,19 @@ SUITE_RULES = {
 
 def _suite_inputs(spark, sf, name=None):
     """Dataset -> (loader, rules, sample order).  Suites that read the ledger more than once share
-    one copy of it (a suite of the sales alone reads it once)."""
-    copies = []
+    one copy of it (a suite of the sales alone reads it once); the customers are stored too."""
+    copies = {}
+
+    def stored(key, make):
+        if key not in copies:
+            copies[key] = materialize(make(spark, sf), key)
+        return copies[key]
 
     def ledger():
-        if name == "raw_sales":
-            return raw(spark, sf)
-        if not copies:
-            copies.append(materialize(raw(spark, sf), "ledger"))
-        return copies[0]
+        return raw(spark, sf) if name == "raw_sales" else stored("ledger", raw)
+
+    def final():
+        return wide(spark, sf, ledger(), stored("customers", D.customer_dimension), join_customers=_by_month)
 
     return {
         "raw_sales": (ledger, SUITE_RULES["raw_sales"], ["Row ID"]),
@@ -637,14 +642,19 @@ def _suite_inputs(spark, sf, name=None):
                          ["holiday_date", "holiday_name"]),
         "raw_weather": (lambda: weather(spark, sf), SUITE_RULES["raw_weather"],
                         ["weather_region", "weather_date"]),
-        "final_analytics": (lambda: wide(spark, sf, ledger(), place=_by_month), SUITE_RULES["final_analytics"], ["Row ID"]),
+        "final_analytics": (final, SUITE_RULES["final_analytics"], ["Row ID"]),
     }
 
 
-def _by_month(rows):
-    """Rows placed for a table in folders of ``year`` and ``month``, each written by few tasks;
-    the lines of an order stay together."""
-    return files.clustered(rows, [F.year("Order Date"), F.month("Order Date")], ["Order ID"])
+def _by_month(sales, customers):
+    """The sales with their customers, placed for a table in folders of ``year`` and ``month``, each
+    written by few tasks; the lines of an order stay together.  Customers too many for a broadcast
+    are sent to that place, so that the order lines need not move to them first."""
+    month, order = [F.year("Order Date"), F.month("Order Date")], ["Order ID"]
+    if broadcasts(customers):
+        return files.clustered(line_columns_last(join_sales_customers(sales, customers)), month, order)
+    tasks = int(sales.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return join_sales_customers_in_place(sales, customers, files.clustered_task(month, order, tasks), tasks)
 
 
 def _writer(spark, name, rules, order):

@@ -11,7 +11,7 @@ from ..functions.cleaning import clean_text, iso_to_date, parse_text_date
 from ..functions.measures import holiday_flag
 from ..operators.days import daily_totals_from_text
 from ..operators.features import engineer_features
-from ..operators.joins import join_sales_customers, join_sales_holidays, join_sales_weather
+from ..operators.joins import DIM_COLUMNS, join_sales_customers, join_sales_holidays, join_sales_weather
 from ..operators.reshape import filter_dedup_holidays
 from ..operators.sizing import materialize
 from ..schemas import LINE_COLUMNS
@@ -32,7 +32,7 @@ def holidays_from_documents(documents: DataFrame, names: list[str] | None = None
 
 def build_wide(clean: DataFrame, customers: DataFrame, holidays: DataFrame,
                weather: DataFrame | None = None, raw: DataFrame | None = None, kept_by: str | None = None,
-               place: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
+               join_customers: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> DataFrame:
     """Clean ledger ⟕ customers ⟕ holidays ⟕ weather, then features.
 
     * customers: left join, shuffle or broadcast chosen by the planner/AQE; a stored
@@ -45,14 +45,13 @@ def build_wide(clean: DataFrame, customers: DataFrame, holidays: DataFrame,
       (``unique_key`` checks say so), so those joins cannot change the daily
       totals; given the ``raw`` ledger ``clean`` was made from, the totals are
       pre-aggregated per date text, so the day job parses distinct texts only;
-    * ``place`` exchanges the rows as their files will want them (``files.clustered``)
-      before the broadcast joins and the features make them wide.
+    * ``join_customers`` may also place the rows as their files will want them
+      (``files.clustered``), before the broadcast joins and the features make them wide.
     """
     h = materialize(holidays.select("holiday_name", "holiday_date"), "holidays")
     customers = customers if kept_by == "customer_id" else unique_key(customers, ["customer_id"])
-    rows = join_sales_customers(_line_columns_last(clean), customers)
-    columns = [*clean.columns, *rows.columns[len(clean.columns):]]
-    rows = place(_line_columns_last(rows)).select(*[F.col(f"`{c}`") for c in columns])
+    rows = (join_customers or join_sales_customers)(line_columns_last(clean), customers)
+    rows = rows.select(*[F.col(f"`{c}`") for c in [*clean.columns, *DIM_COLUMNS.values()]])
     rows = join_sales_holidays(rows, h)
     if weather is not None:
         w = materialize(weather, "weather")
@@ -64,7 +63,7 @@ def build_wide(clean: DataFrame, customers: DataFrame, holidays: DataFrame,
     return engineer_features(rows, h, daily_source=daily_source)
 
 
-def _line_columns_last(df: DataFrame) -> DataFrame:
+def line_columns_last(df: DataFrame) -> DataFrame:
     """Columns that lines of one order share first: neighbouring rows then begin alike, and
     exchanged blocks compress better."""
     last = [c for c in LINE_COLUMNS if c in df.columns]

@@ -119,8 +119,17 @@ def clustered(df: DataFrame, parts: list[Column], cluster_by: list[str], files_p
     A table that gets most of its columns from broadcast joins can be placed before them and
     written without ``cluster_by``: narrower rows are exchanged, the files are the same.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cluster_by]), F.lit(files_per_partition))
-    return df.repartition(*parts, salt)
+    return df.repartition(*parts, _salt(cluster_by, files_per_partition))
+
+
+def clustered_task(parts: list[Column], cluster_by: list[str], tasks: int, files_per_partition: int = 16) -> Column:
+    """The number of the task, of ``tasks``, that ``clustered`` rows go to when a join places them
+    (``joins.join_sales_customers_in_place``)."""
+    return F.pmod(F.xxhash64(*parts, _salt(cluster_by, files_per_partition)), F.lit(tasks)).cast("int")
+
+
+def _salt(cluster_by: list[str], files_per_partition: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cluster_by]), F.lit(files_per_partition))
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> None:

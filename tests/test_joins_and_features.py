@@ -3,6 +3,7 @@
 import datetime as dt
 
 
+import pytest
 from pyspark.sql import functions as F
 
 from martforge.operators.days import daily_sales, thanksgiving_by_year
@@ -166,3 +167,44 @@ def test_distances_beyond_and_between_holidays(spark):
     got = {r[0]: (r[1], r[2]) for r in add_proximity(rows, h).collect()}
     assert got == {D(2010, 1, 1): (1520, None), D(2014, 2, 28): (1, None), D(2014, 3, 1): (0, 0), D(2014, 3, 3): (2, 2),
                    D(2014, 3, 5): (0, 0), D(2014, 3, 9): (None, 4), None: (None, None)}
+
+
+def _lines_and_customers(spark):
+    """Lines of a hot customer, of one without id, of ids that no customer has, without date or order id; customers of one name."""
+    lines = spark.range(0, 600).select(
+        F.col("id").alias("Row ID"), F.when(F.col("id") % 17 > 0, (F.col("id") / 3).cast("int").cast("string")).alias("Order ID"),
+        F.when(F.col("id") % 11 > 0, F.date_add(F.lit("1996-01-30").cast("date"), (F.col("id") % 90).cast("int"))).alias("Order Date"),
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 > 0, F.concat(F.lit("C"), (F.col("id") % 40).cast("string")))
+        .alias("Customer ID"))
+    dim = spark.range(0, 30).select(
+        F.when(F.col("id") == 0, "hot").otherwise(F.concat(F.lit("C"), F.col("id").cast("string"))).alias("customer_id"),
+        F.concat(F.lit("name-"), (F.col("id") % 4).cast("string")).alias("customer_name"), F.lit("S").alias("segment"),
+        F.when(F.col("id") % 5 > 0, "c").alias("city"), F.lit("t").alias("state"), F.lit("r").alias("region"))
+    return lines, dim
+
+
+@pytest.mark.parametrize("hashed", [500_000, 0])
+def test_customers_follow_the_lines_to_their_place(spark, monkeypatch, hashed):
+    """The rows are those of the plain join; lines are exchanged once and lie where ``clustered_task`` says."""
+    from martforge.operators import joins
+    from martforge.sources import files
+    monkeypatch.setattr(joins, "HASHED_CUSTOMERS", hashed)
+    lines, dim = _lines_and_customers(spark)
+    task = files.clustered_task([F.year("Order Date"), F.month("Order Date")], ["Order ID"], 5, 2)
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        placed = joins.join_sales_customers_in_place(lines, dim, task, 5)
+        plain = joins.join_sales_customers(lines, dim)
+        plan = placed._jdf.queryExecution().executedPlan().toString()
+        assert ("ShuffledHashJoin [__task" in plan) == (hashed > 0) and ("SortMergeJoin [__task" in plan) == (hashed == 0)
+        assert plan.count("Exchange shufflepartitionidpassthrough") == 2  # of the lines and of the customers
+        assert plan.count("Exchange") == 4  # and by customer: of the ids with their tasks, and of the dimension
+        assert placed.columns == plain.columns and placed.count() == 600
+        assert placed.exceptAll(plain).isEmpty() and plain.exceptAll(placed).isEmpty()
+        assert placed.where("db_customer_name is not null").count() > 300
+        where = placed.select(F.spark_partition_id().alias("at"), task.alias("task"), F.year("Order Date").alias("y"), F.month("Order Date").alias("m"))
+        assert where.where("at != task").isEmpty()
+        assert where.groupBy("y", "m").agg(F.count_distinct("at").alias("n")).where("n > 2").isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)

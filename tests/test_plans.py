@@ -215,3 +215,39 @@ def test_wide_exchanges_line_columns_last(spark, monkeypatch):
     assert seen[0].index("Region") < seen[0].index("Row ID") < seen[0].index("Ship Date") < seen[0].index("Product Name")
     assert sorted(seen[0]) == sorted(catalog.RAW_LEDGER.fieldNames())
     assert df.columns[:4] == ["Order Date", "Row ID", "Order ID", "Ship Date"]
+
+
+def test_suites_send_many_customers_to_the_lines(spark, monkeypatch):
+    """Customers that are too many for a broadcast go to the place of the order lines, which are exchanged
+    once; the published rows are those of the wide table."""
+    import glob
+    plans, paths, real = [], [], catalog.files.write_table
+
+    def write(df, path, *args, **options):
+        plans.append(_plan(df))
+        paths.append(path.removeprefix("file:"))
+        return real(df, path, *args, **options)
+
+    plain = catalog.queries()["dq_suite_final"](spark, SF).collect()
+    monkeypatch.setattr(catalog.files, "write_table", write)
+    monkeypatch.setattr(catalog, "broadcasts", lambda df: False)
+    assert catalog.queries()["dq_suite_final"](spark, SF).collect() == plain
+    assert plans[0].count("Exchange shufflepartitionidpassthrough") == 2 and "lineitem.parquet" not in plans[0]
+    assert "Exchange hashpartitioning(year(Order Date" not in plans[0]
+    wide = catalog.materialize(catalog.wide(spark, SF))
+    published = spark.read.schema(wide.schema).parquet(paths[0]).select(wide.columns)
+    assert published.exceptAll(wide).isEmpty() and wide.exceptAll(published).isEmpty()
+    months = [len(glob.glob(f"{m}/part-*")) for m in glob.glob(f"{paths[0]}/year=*/month=*")]
+    assert months and max(months) <= 16
+
+
+def test_broadcasts_by_stored_bytes(spark):
+    from martforge.operators.sizing import broadcasts, materialize
+    table = materialize(spark.range(0, 50))
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit, small in (("10MB", True), ("100b", False), ("-1", False)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            assert broadcasts(table) == small
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
