@@ -73,10 +73,10 @@ def small_holidays(spark, sf):
     return materialize(holidays(spark, sf), "holidays")
 
 
-def wide(spark, sf, r=None, customers=None, **how):
+def wide(spark, sf, r=None, customers=None, w=None, **how):
     r = raw(spark, sf) if r is None else r
     customers = D.customer_dimension(spark, sf) if customers is None else customers
-    return build_wide(clean_sales(r), customers, holidays(spark, sf), weather(spark, sf), raw=r, **how)
+    return build_wide(clean_sales(r), customers, holidays(spark, sf), weather(spark, sf) if w is None else w, raw=r, **how)
 
 
 def features(spark, sf):
@@ -621,8 +621,8 @@ SUITE_RULES = {
 
 
 def _suite_inputs(spark, sf, name=None):
-    """Dataset -> (loader, rules, sample order).  Suites that read the ledger more than once share
-    one copy of it (a suite of the sales alone reads it once); the customers are stored too."""
+    """Dataset -> (loader, rules, sample order).  What several suites read is stored once for all of
+    them: the ledger and the weather (a suite of one of them alone reads it once), and the customers."""
     copies = {}
 
     def stored(key, make):
@@ -633,14 +633,17 @@ def _suite_inputs(spark, sf, name=None):
     def ledger():
         return raw(spark, sf) if name == "raw_sales" else stored("ledger", raw)
 
+    def days_weather():
+        return weather(spark, sf) if name else stored("weather", weather)
+
     def final():
-        return wide(spark, sf, ledger(), stored("customers", D.customer_dimension), join_customers=_by_month)
+        return wide(spark, sf, ledger(), stored("customers", D.customer_dimension), days_weather(), join_customers=_by_month)
 
     return {
         "raw_sales": (ledger, SUITE_RULES["raw_sales"], ["Row ID"]),
         "raw_holidays": (lambda: holidays(spark, sf), SUITE_RULES["raw_holidays"],
                          ["holiday_date", "holiday_name"]),
-        "raw_weather": (lambda: weather(spark, sf), SUITE_RULES["raw_weather"],
+        "raw_weather": (days_weather, SUITE_RULES["raw_weather"],
                         ["weather_region", "weather_date"]),
         "final_analytics": (final, SUITE_RULES["final_analytics"], ["Row ID"]),
     }
@@ -676,8 +679,8 @@ def _suite(spark, sf, name):
 
 
 def _suites(spark, sf):
-    inputs = _suite_inputs(spark, sf)
-    return suites.run_suites(inputs, lambda name: _writer(spark, name, *inputs[name][1:]))
+    inputs = _suite_inputs(spark, sf)  # the ledger and the weather are stored already
+    return suites.run_suites(inputs, lambda name: None if name in ("raw_sales", "raw_weather") else _writer(spark, name, *inputs[name][1:]))
 
 
 @query

@@ -251,3 +251,25 @@ def test_broadcasts_by_stored_bytes(spark):
             assert broadcasts(table) == small
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_stored_tables_are_checked_without_another_copy(spark, monkeypatch):
+    """The ledger and the weather are stored once for all suites that read them."""
+    names, real = [], catalog.materialize_counted
+
+    def counted(df, metrics, name="table", *args):
+        names.append(name)
+        return real(df, metrics, name, *args)
+
+    def stored(df, name="table"):
+        return counted(df, {}, name)[0]
+
+    monkeypatch.setattr(catalog, "materialize_counted", counted)
+    monkeypatch.setattr(catalog, "materialize", stored)
+    runs, real_weather = [], catalog.weather
+    monkeypatch.setattr(catalog, "weather", lambda *at: runs.append(at) or real_weather(*at))
+    for key in ("dq_results", "dq_summary"):
+        names.clear()
+        runs.clear()
+        assert catalog.queries()[key](spark, SF).count() > 0
+        assert sorted(names) == ["checked-raw_holidays", "customers", "ledger", "weather"] and len(runs) == 1
