@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.columns import pack_texts, unpack_texts
 from ..schemas import WEATHER_COLUMNS
 
 DIM_COLUMNS = {
@@ -38,9 +40,10 @@ def join_sales_customers_in_place(sales: DataFrame, customers: DataFrame, task:
 
     A customer is sent once to each task that has rows of it; the list of these tasks has no more
     than ``tasks`` numbers, however many rows the customer has.  Rows without a customer id are
-    placed like the others.  Both sides are dealt by the number itself (``repartitionById``), so
-    that the planner does not deal them again by all keys of the join.  Ledger rows are not sorted
-    for the join, unless a task gets more than ``HASHED_CUSTOMERS`` (one scan tells).
+    placed like the others.  The texts of a row travel as one (``pack_texts``).  Both sides are
+    dealt by the number itself (``repartitionById``), so that the planner does not deal them again
+    by all keys of the join.  Ledger rows are not sorted for the join, unless a task gets more than
+    ``HASHED_CUSTOMERS`` (one scan tells).
     """
     key = F.col(f"`{sales_key}`")
     at_task = sales.groupBy(task.alias("__task")).agg(F.approx_count_distinct(key).alias("n"))
@@ -50,10 +53,14 @@ def join_sales_customers_in_place(sales: DataFrame, customers: DataFrame, task:
     known = join_sales_customers(seen, customers, sales_key, dim_key)
     known = known.select(F.explode("__tasks").alias("__at"), key.alias("__key"), *DIM_COLUMNS.values())
     known = known.repartitionById(tasks, F.col("__at"))
-    placed = sales.withColumn("__task", task).repartitionById(tasks, F.col("__task"))
+    texts = [f.name for f in sales.schema.fields if f.dataType == T.StringType() and f.name != sales_key]
+    rest = [F.col(f"`{c}`") for c in sales.columns if c not in texts]
+    placed = sales.select(*rest, pack_texts(texts).alias("__packed"), task.alias("__task"))
+    placed = placed.repartitionById(tasks, F.col("__task"))
     same = (placed["__task"] == known["__at"]) & (placed[sales_key] == known["__key"])
     known = known.hint("shuffle_hash") if most <= HASHED_CUSTOMERS else known
-    return placed.join(known, same, "left").drop("__task", "__at", "__key")
+    joined = unpack_texts(placed.join(known, same, "left"), "__packed", texts)
+    return joined.select(*[F.col(f"`{c}`") for c in sales.columns], *DIM_COLUMNS.values())
 
 
 def join_sales_holidays(sales: DataFrame, holidays: DataFrame,

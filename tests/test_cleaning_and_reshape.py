@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martforge.functions.cleaning import clean_text
@@ -93,3 +94,20 @@ def test_union_all_fills_missing(spark):
     b = spark.createDataFrame([(2, "s")], "k int, y string")
     got = sorted(tuple(r) for r in union_all([a, b]).collect())
     assert got == [(1, 2.0, None), (2, None, "s")]
+
+
+def test_packed_texts_come_back_as_they_were(spark):
+    """Empty texts, NULL, the marks themselves and bytes that are no UTF-8."""
+    from martforge.functions.columns import pack_texts, unpack_texts
+    texts = ["", None, "plain", "\u0001", "\u0002", "\u0002n", "\u0002e", "\u0002x41", "a\u0001\u0002m\u0002\u0002b\u0001",
+             "\u0093é\u0094 ", "bad"]
+    rows = [(i, a, b) for i, (a, b) in enumerate((a, b) for a in texts for b in texts)]
+    df = spark.createDataFrame(rows, "id int, `a b` string, b string")
+    bad = F.when(F.col("b") == "bad", F.unhex(F.lit("41FFC30201")).cast("string")).otherwise(F.col("b"))
+    df = df.withColumn("b", bad)
+    back = unpack_texts(df.select("id", pack_texts(["a b", "b"]).alias("p")).repartition(3), "p", ["a b", "b"])
+    assert back.columns == ["id", "a b", "b"]
+    hexed = [F.hex(F.col(f"`{c}`").cast("binary")).alias(c) for c in ("a b", "b")]
+    assert sorted(map(str, back.select("id", *hexed).collect())) == sorted(map(str, df.select("id", *hexed).collect()))
+    none = df.select("id", pack_texts([]).alias("p"))
+    assert unpack_texts(none, "p", []).columns == ["id"]
